@@ -148,7 +148,7 @@ KILL_GRACE_MS = 2 * 86_400_000
 @query("kill_noop", f"""WITH {KNOWN_CTE},
 kills AS (SELECT message_id AS kill_id, ts AS kill_ts, job_id FROM job_events WHERE kind = 'utilisation' AND k >= 70)
 SELECT kill_id, kills.job_id, CASE
-  WHEN f.ts IS NULL OR epoch_us(f.ts) - epoch_us(kill_ts) > {KILL_GRACE_MS} * 1000 THEN 'cancelled'
+  WHEN f.ts IS NULL OR epoch_us(f.ts) - epoch_us(kill_ts) > {KILL_GRACE_MS * 1000} THEN 'cancelled'
   WHEN f.ts >= kill_ts THEN 'noop' ELSE 'already_terminal' END AS outcome
 FROM kills LEFT JOIN first_terminal f ON f.job_id = kills.job_id""")
 def kill_noop(t):
@@ -187,7 +187,7 @@ DECOMMISSION_GRACE_MS = 86_400_000
 
 @query("decommission_pairs", f"""WITH {KNOWN_CTE}
 SELECT p.message_id, p.job_id, f.message_id AS terminal_id, epoch_us(f.ts) - epoch_us(p.ts) AS gap_us,
-  epoch_us(f.ts) - epoch_us(p.ts) <= {DECOMMISSION_GRACE_MS} * 1000 AS within_grace
+  epoch_us(f.ts) - epoch_us(p.ts) <= {DECOMMISSION_GRACE_MS * 1000} AS within_grace
 FROM known p JOIN first_terminal f ON f.job_id = p.job_id AND f.message_id > p.message_id
 WHERE p.kind = 'preempting'""")
 def decommission_pairs(t):
