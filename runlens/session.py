@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     # split a skewed join side even when the aggregation above then needs its own exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a key that occurs twice keeps its last value, in every map that is built or merged
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
