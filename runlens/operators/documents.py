@@ -101,34 +101,44 @@ def flatten_documents(docs: DataFrame, text: str = "doc", doc_id: str = "doc_id"
 def merge_nodes(base: DataFrame, over: DataFrame) -> DataFrame:
     """Node rows of the merged documents, with `layer` 0 for rows of the base and 1 for the override.
 
-    An item keeps its position within its layer; the items of layer 0 come first.
+    An item keeps its position within its layer; the items of layer 0 come first. Both inputs are
+    read more than once, so pass written tables (see `write_nodes`).
     """
     keys = ["doc_id", "path"]
-    base_nodes, base_items = base.filter("kind <> 'item'"), base.filter("kind = 'item'")
-    over_nodes, over_items = over.filter("kind <> 'item'"), over.filter("kind = 'item'")
-    set_nodes = over_nodes.filter("kind <> 'null'").select(*keys, "kind")
-
-    # a base row goes when an ancestor is replaced by something that is not an object
-    replacing = set_nodes.filter("kind <> 'object'").select("doc_id", F.col("path").alias("above"))
-
-    def below_replaced(rows: DataFrame, depth: Column) -> DataFrame:
-        above = F.transform(F.sequence(F.lit(0), depth), lambda n: F.slice("path", F.lit(1), n))
-        exploded = rows.select(*keys).distinct().filter(depth >= 0).withColumn("above", F.explode(above))
-        return exploded.join(replacing, ["doc_id", "above"], "left_semi").select(*keys).distinct()
-
-    parent = F.size("path") - 1
-    kept_nodes = (base_nodes.join(set_nodes.select(*keys), keys, "left_anti")
-                  .join(below_replaced(base_nodes, parent), keys, "left_anti"))
-
-    # items live under an array: it must not be replaced by another kind, nor the item by name
-    other_kind = set_nodes.filter("kind <> 'array'").select(*keys)
-    named = over_items.filter(F.col("name").isNotNull()).select(*keys, "name").distinct()
-    kept_items = (base_items.join(other_kind, keys, "left_anti")
-                  .join(named, [*keys, "name"], "left_anti")
-                  .join(below_replaced(base_items, parent), keys, "left_anti"))
-
-    kept_over = over_nodes.filter("kind <> 'null'").unionByName(
-        over_nodes.filter("kind = 'null'").join(base_nodes.select(*keys), keys, "left_anti")
-    ).unionByName(over_items)
-    return (kept_nodes.unionByName(kept_items).withColumn("layer", F.lit(0))
-            .unionByName(kept_over.withColumn("layer", F.lit(1))))
+    tagged = base.withColumn("layer", F.lit(0)).unionByName(over.withColumn("layer", F.lit(1)))
+    side = F.struct("kind", "value")
+    nodes = tagged.filter("kind <> 'item'").groupBy(*keys).agg(
+        F.max(F.when(F.col("layer") == 0, side)).alias("b"), F.max(F.when(F.col("layer") == 1, side)).alias("o"))
+    overridden = F.coalesce(F.col("o.kind") != "null", F.lit(False))
+
+    # where the override puts another kind over an object or a named array, all below it goes
+    replaced = nodes.filter(overridden & F.col("b.kind").isin("object", "array") & (F.col("b.kind") != F.col("o.kind")))
+    replaced = replaced.select("doc_id", F.col("path").alias("above"))
+
+    from_base = F.col("b").isNotNull() & ~overridden
+    chosen = F.when(from_base, F.col("b")).otherwise(F.col("o"))
+    merged = nodes.select(*keys, chosen["kind"].alias("kind"), F.lit(None).cast("string").alias("name"),
+                          F.lit(None).cast("long").alias("pos"), chosen["value"].alias("value"),
+                          F.when(from_base, 0).otherwise(1).alias("layer"))
+
+    columns = [*keys, "kind", "name", "pos", "value", "layer"]
+    items = tagged.filter("kind = 'item'").select(*columns)
+    taken = items.filter("layer = 1 and name is not null").select(*keys, "name").distinct()
+    base_items = items.filter("layer = 0").join(taken, [*keys, "name"], "left_anti").select(*columns)
+
+    candidates = merged.filter("layer = 0").unionByName(base_items)
+    # an item hangs below its own path, a node below its proper ancestors
+    depth = F.size("path") - F.when(F.col("kind") == "item", 0).otherwise(1)
+    ancestors = F.when(depth >= 0, F.transform(F.sequence(F.lit(0), F.greatest(depth, F.lit(0))),
+                                               lambda n: F.slice("path", F.lit(1), n)))
+    below = (candidates.select(*keys, "kind", ancestors.alias("above")).distinct()
+             .withColumn("above", F.explode("above"))
+             .join(replaced, ["doc_id", "above"], "left_semi").select(*keys, "kind").distinct())
+    kept = candidates.join(below, [*keys, "kind"], "left_anti").select(*columns)
+    return kept.unionByName(merged.filter("layer = 1")).unionByName(items.filter("layer = 1"))
+
+
+def write_nodes(docs: DataFrame, path: str, text: str = "doc", doc_id: str = "doc_id") -> DataFrame:
+    """Flatten once into a table in the shared folder and read it back."""
+    flatten_documents(docs, text, doc_id).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)

@@ -660,7 +660,8 @@ def deep_merge(t):
     c = t["customer"]
 
     def nodes(doc: str):
-        return docs.flatten_documents(c.select(F.col("c_custkey").alias("doc_id"), F.expr(doc).alias("doc")))
+        texts = c.select(F.col("c_custkey").alias("doc_id"), F.expr(doc).alias("doc"))
+        return docs.write_nodes(texts, scratch_path(t.spark, "nodes"))
 
     merged = docs.merge_nodes(nodes(BASE_DOC), nodes(OVER_DOC))
     item = F.col("kind") == "item"
