@@ -35,6 +35,12 @@ def _sure(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
+def to_long(text: Column) -> Column:
+    """Whole number of a text, null for any other text. A failing cast is slow, so it is kept rare."""
+    return (F.when(text.rlike("\\A[+-]?[0-9]{1,18}\\z"), text.cast("long"))
+            .when(text.rlike("\\A[+-]?[0-9]{19,}\\z"), text.try_cast("long")))
+
+
 def key_valid(key: Column) -> Column:
     """Name of at most 63 characters with an optional subdomain prefix before the first slash."""
     parts = F.split(key, "/", 2)
@@ -77,9 +83,9 @@ def master_url(url: Column, scheme: str) -> Column:
     Colons after the port are ignored and the host may be empty.
     """
     pattern = f"\\A{scheme}://([^:]*):([+-]?[0-9]+):*\\z"
-    port = F.regexp_extract(url, pattern, 2).try_cast("int")
-    return F.when(url.rlike(pattern) & (port >= 0),
-                  F.struct(F.regexp_extract(url, pattern, 1).alias("host"), port.alias("port")))
+    port = to_long(F.regexp_extract(url, pattern, 2))
+    return F.when(port.between(0, 2**31 - 1), F.struct(
+        F.regexp_extract(url, pattern, 1).alias("host"), port.cast("int").alias("port")))
 
 
 def is_local_resource(uri: Column, default_scheme: str = "file") -> Column:
@@ -99,7 +105,8 @@ def is_local_resource(uri: Column, default_scheme: str = "file") -> Column:
 def kv_entries(text: Column, kind: str = "label") -> Column:
     """Array of (entry, key, value, ok) of a `k=v,k=v` list.
 
-    Empty pieces are dropped before they are trimmed, so a blank piece is a bad entry.
+    Empty pieces are dropped before they are trimmed, so a blank piece is a bad entry. Keep the
+    array in a column of its own when several results are made from it: it is then built once.
     """
     value_ok = {"label": label_value_valid, "annotation": annotation_value_valid}[kind]
     pieces = F.filter(F.split(strip(text), ","), lambda p: p != "")
@@ -113,21 +120,21 @@ def kv_entries(text: Column, kind: str = "label") -> Column:
     return F.transform(pieces, entry)
 
 
-def kv_all_valid(text: Column, kind: str = "label") -> Column:
-    return F.forall(kv_entries(text, kind), lambda e: e["ok"])
+def entries_valid(entries: Column) -> Column:
+    return F.forall(entries, lambda e: e["ok"])
 
 
-def kv_bad_messages(text: Column, kind: str = "label") -> Column:
-    bad = F.filter(kv_entries(text, kind), lambda e: ~e["ok"])
+def entries_messages(entries: Column) -> Column:
+    """A message for every bad entry."""
+    bad = F.filter(entries, lambda e: ~e["ok"])
     return F.transform(bad, lambda e: F.concat(
         F.lit("Invalid label format: '"), e["entry"], F.lit("' (expected key=value)")))
 
 
-def kv_map(text: Column, kind: str = "label") -> Column:
+def entries_map(entries: Column) -> Column:
     """Map of a valid list, null for a list with a bad entry; a repeated key keeps its last value."""
-    entries = kv_entries(text, kind)
     pairs = F.transform(entries, lambda e: F.struct(e["key"], e["value"]))
-    return F.when(F.forall(entries, lambda e: e["ok"]), F.map_from_entries(pairs))
+    return F.when(entries_valid(entries), F.map_from_entries(pairs))
 
 
 def conf_tokens(text: Column) -> Column:
@@ -142,15 +149,15 @@ DURATION_UNITS = {"us": 1, "ms": 1_000, "s": 1_000_000, "m": 60_000_000, "min":
                   "h": 3_600_000_000, "d": 86_400_000_000}
 
 
-def duration(text: Column, default_unit: Column, to_unit: Column) -> Column:
-    """Whole `to_unit`s of a text such as `300s`, `5min` or `10`; null when malformed."""
-    units = F.create_map(*[F.lit(x) for pair in DURATION_UNITS.items() for x in pair])
+def duration(text: Column, unit: Column) -> Column:
+    """Whole `unit`s of a text such as `300s`, `5min` or `10` (in `unit`); null when malformed."""
+    micros = F.create_map(*[F.lit(x) for name, n in DURATION_UNITS.items() for x in (name, n)])
     clean = F.lower(strip(text))
-    pattern = "\\A(-?[0-9]+)([a-z]*)\\z"
-    number = F.regexp_extract(clean, pattern, 1).try_cast("long")
-    unit = F.coalesce(F.nullif(F.regexp_extract(clean, pattern, 2), F.lit("")), default_unit)
-    micros = F.try_multiply(number, F.try_element_at(units, unit))
-    return F.when(clean.rlike(pattern), (micros - F.pmod(micros, units[to_unit])) / units[to_unit]).cast("long")
+    # a text without a unit gets the default one appended
+    full = F.regexp_replace(clean, "\\A(-?[0-9]+)\\z", F.concat(F.lit("$1"), unit))
+    number = to_long(F.regexp_extract(full, "\\A(-?[0-9]+)[a-z]+\\z", 1))
+    factor = F.try_element_at(micros, F.regexp_extract(full, "[a-z]+\\z", 0)).cast("long")
+    return F.call_function("div", F.try_multiply(number, factor), F.try_element_at(micros, unit).cast("long"))
 
 
 def error_lines(text: Column, limit: int = 10) -> Column:

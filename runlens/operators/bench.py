@@ -62,7 +62,7 @@ def natural_key(text: Column) -> Column:
     """Sort key that orders digit runs as numbers: q1, q2, q10, q14a, q14b, ss_max."""
     pieces = F.regexp_extract_all(text, F.lit("(\\d+|\\D+)"), F.lit(1))
     return F.transform(pieces, lambda p: F.struct(
-        F.coalesce(p.try_cast("decimal(38,0)"), F.lit(-1)).alias("number"), p.alias("text")))
+        F.when(p.rlike("\\A[0-9]{1,38}\\z"), p.cast("decimal(38,0)")).otherwise(-1).alias("number"), p.alias("text")))
 
 
 def natural_sort(df: DataFrame, column: str = "query") -> DataFrame:

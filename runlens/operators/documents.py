@@ -16,18 +16,19 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # The arrays merged by name.
 NAMED_ARRAYS = ["spec.volumes", "spec.containers", "spec.initContainers"]
 
-NODE = T.ArrayType(T.StructType([
-    T.StructField("path", T.ArrayType(T.StringType())),
-    T.StructField("kind", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("pos", T.LongType()),
-    T.StructField("value", T.StringType()),
-]))
+NODE_SCHEMA = "doc_id {id_type}, path array<string>, kind string, name string, pos long, value string"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread few partitions over all cores before work in Python; a large table stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def compact(value) -> str:
@@ -87,15 +88,23 @@ def _nodes(value, path: list[str]):
 
 def flatten_documents(docs: DataFrame, text: str = "doc", doc_id: str = "doc_id") -> DataFrame:
     """Node rows of JSON texts of any depth."""
-    @F.pandas_udf(NODE)
-    def nodes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([
-                [dict(zip(("path", "kind", "name", "pos", "value"), n)) for n in _nodes(json.loads(t), [])]
-                for t in texts])
-
-    filled = docs.filter(F.col(text).isNotNull())
-    return filled.select(F.col(doc_id).alias("doc_id"), F.explode(nodes(F.col(text))).alias("n")).select("doc_id", "n.*")
+    def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, columns = [], ([], [], [], [], [])
+            for position, document in enumerate(batch.column(1).to_pylist()):
+                for node in _nodes(json.loads(document), []):
+                    ids.append(position)
+                    for column, value in zip(columns, node):
+                        column.append(value)
+            texts = [pa.array(columns[i], pa.string()) for i in (1, 2, 4)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(ids, pa.int32())), pa.array(columns[0], pa.list_(pa.string())),
+                 texts[0], texts[1], pa.array(columns[3], pa.int64()), texts[2]],
+                ["doc_id", "path", "kind", "name", "pos", "value"])
+
+    filled = docs.filter(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("doc"))
+    id_type = filled.schema["doc_id"].dataType.simpleString()
+    return spread(filled).mapInArrow(nodes, NODE_SCHEMA.format(id_type=id_type))
 
 
 def merge_nodes(base: DataFrame, over: DataFrame) -> DataFrame:

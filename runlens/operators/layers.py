@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from runlens.functions.capacity import violations
-from runlens.functions.text import duration
+from runlens.functions.text import duration, to_long
 
 # Defaults, and values that count as unset in the final merge.
 DEFAULT_NAMESPACE = "default"
@@ -83,13 +83,20 @@ def resolved_resources(resources: Column, cli_memory: Column, cli_cpu: Column) -
     return merge_maps(F.create_map(F.lit("memory"), memory, F.lit("cpu"), cpu), extra_resources(resources))
 
 
-def resolve_resources(cells: DataFrame, owner: str = "app_id") -> DataFrame:
-    """Cells (owner, role, resource, bound, cli, template) resolved and turned to one row per role."""
-    default = F.when(F.col("resource") == "memory", DEFAULT_MEMORY).otherwise(DEFAULT_CORES)
-    value = F.coalesce("cli", "template", default)
-    return cells.groupBy(owner, "role").agg(*[
-        F.max(F.when((F.col("resource") == r) & (F.col("bound") == b), value)).alias(f"{r}_{b}")
-        for r in ("memory", "cpu") for b in ("limit", "request")])
+def resolve_resources(apps: DataFrame, owner: str = "app_id") -> DataFrame:
+    """One row per role with memory and cpu, limit and request, by precedence.
+
+    Input columns are named `cli_<role>_<resource>_<bound>` and `tpl_...`; every application is
+    resolved inside its own row.
+    """
+    defaults = {"memory": DEFAULT_MEMORY, "cpu": DEFAULT_CORES}
+
+    def resolved(role: str) -> Column:
+        return F.struct(F.lit(role).alias("role"), *[
+            F.coalesce(f"cli_{role}_{r}_{b}", f"tpl_{role}_{r}_{b}", F.lit(default)).alias(f"{r}_{b}")
+            for r, default in defaults.items() for b in ("limit", "request")])
+
+    return apps.select(owner, F.explode(F.array(resolved("driver"), resolved("executor"))).alias("r")).select(owner, "r.*")
 
 
 def _unless(value: Column, unset) -> Column:
@@ -187,34 +194,37 @@ def auth_rules(apps: DataFrame) -> DataFrame:
 def typed_settings(entries: DataFrame, owner: str = "app_id", order: str = "pos") -> DataFrame:
     """All settings of each owner: last text given or the default, its typed value and validity.
 
-    One hash-partitioned aggregate; the settings are a fixed list, so each owner gets a fixed
-    number of rows.
+    The last text per owner and setting is combined map-side; after that an owner has at most one
+    entry per setting, which makes a small map.
     """
-    last = entries.groupBy(owner).agg(*[
-        F.max_by("value", F.when((F.col("key") == key) & F.col("value").isNotNull(), F.col(order))).alias(f"_{i}")
-        for i, (key, *_) in enumerate(SETTINGS)])
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(key).alias("key"), F.lit(kind).alias("kind"), F.lit(unit).alias("unit"),
-                 F.lit(check).alias("check"), F.col(f"_{i}").isNotNull().alias("given"),
-                 F.coalesce(F.col(f"_{i}"), F.lit(default)).alias("text"))
-        for i, (key, kind, unit, default, check) in enumerate(SETTINGS)]))
-    long = last.select(owner, rows.alias("s")).select(owner, "s.*")
-    text, kind = F.col("text"), F.col("kind")
-    unit = F.when(kind == "time", F.col("unit")).otherwise("s")
+    known = F.when(F.col("key").isin([key for key, *_ in SETTINGS]) & F.col("value").isNotNull(), F.col("key"))
+    last = entries.groupBy(owner, known.alias("key")).agg(F.max_by("value", order).alias("value"))
+    pair = F.when(F.col("key").isNotNull(), F.struct("key", "value"))
+    given = last.groupBy(owner).agg(F.map_from_entries(F.collect_list(pair)).alias("given"))
+
+    def setting(key: str, kind: str, unit: str, default: str | None, check: str) -> Column:
+        value = F.try_element_at("given", F.lit(key))
+        return F.struct(F.lit(key).alias("key"), value.isNotNull().alias("given"),
+                        F.coalesce(value, F.lit(default).cast("string")).alias("text"),
+                        F.lit(kind).alias("kind"), F.lit(unit).alias("unit"), F.lit(check).alias("check"))
+
+    settings = F.explode(F.array(*[setting(*s) for s in SETTINGS]))
+    long = given.select(owner, settings.alias("s")).select(owner, "s.*")
+    text, kind, check = F.col("text"), F.col("kind"), F.col("check")
+    word = F.lower(F.trim(text))
     number = (
-        F.when(kind == "time", duration(text, unit, unit).cast("double"))
-        .when(kind == "integer", text.try_cast("long").cast("double"))
-        .when(kind == "number", text.try_cast("double"))
-        .when((kind == "boolean") & (F.lower(F.trim(text)) == "true"), 1.0)
-        .when((kind == "boolean") & (F.lower(F.trim(text)) == "false"), 0.0)
+        F.when(kind == "time", duration(text, F.col("unit")).cast("double"))
+        .when(kind == "integer", to_long(F.trim(text)).cast("double"))
+        .when((kind == "number") & text.rlike("[0-9]|NaN|Infinity"), text.try_cast("double"))
+        .when((kind == "boolean") & (word == "true"), 1.0)
+        .when((kind == "boolean") & (word == "false"), 0.0)
     )
-    typed = long.withColumn("number", number)
     ok = (
         F.when(text.isNull(), True)
-        .when(kind == "text", (text != "") & text.startswith("http"))
+        .when(kind == "text", text.startswith("http"))
         .when(F.col("number").isNull(), False)
-        .when(F.col("check") == "positive", F.col("number") > 0)
-        .when(F.col("check") == "non_negative", F.col("number") >= 0)
+        .when(check == "positive", F.col("number") > 0)
+        .when(check == "non_negative", F.col("number") >= 0)
         .otherwise(True)
     )
-    return typed.select(owner, "key", "given", "text", "number", ok.alias("valid"))
+    return long.withColumn("number", number).select(owner, "key", "given", "text", "number", ok.alias("valid"))

@@ -86,9 +86,9 @@ def job_states(events: DataFrame) -> DataFrame:
     """
     kind, mid = F.col("kind"), F.col("message_id")
     relevant = events.filter(ev.is_terminal(kind) | ev.is_recording(kind)).select(
-        "job_set", "job_id", "kind", "message_id", "ts")
-    per_job = known_events(relevant).groupBy("job_id").agg(
-        F.min("job_set").alias("job_set"),
+        "job_set", "job_id", "kind", "message_id")
+    # a job belongs to one set; as a grouping column it keeps the buffers free of text
+    per_job = known_events(relevant).groupBy("job_id", "job_set").agg(
         F.min(F.when(ev.is_recording(kind), mid)).alias("record_id"),
         F.min(F.when(kind == "submitted", mid)).alias("submit_id"),
         F.min(F.when(kind == ev.REGISTRATION, mid)).alias("register_id"),

@@ -18,24 +18,23 @@ def lookup_join(facts: DataFrame, per_key: DataFrame, key: str, payload: list[st
     the key, and the answered rows ride along under `spread`, a per-row value, so that they fall
     evenly over the partitions and match nothing.
     """
-    hot = per_key.filter(F.col(rows) > hot_rows).select(
-        F.col(key).alias("_hot_key"), F.struct(*payload).alias("_hot"))
-    cold = per_key.filter(F.col(rows) <= hot_rows).select(
-        F.lit(False).alias("_answered"), F.col(key).alias("_cold_key"), F.struct(*payload).alias("_cold"))
+    # both branches read the same aggregate, so its shuffle runs once
+    present = per_key.filter(F.col(key).isNotNull()).select(
+        F.col(key).cast("string").alias("_key"), F.col(rows).alias("_rows"), F.struct(*payload).alias("_payload"))
+    hot = present.filter(F.col("_rows") > hot_rows).select(
+        F.col("_key").alias("_hot_key"), F.col("_payload").alias("_hot"))
+    cold = present.filter(F.col("_rows") <= hot_rows).select(
+        F.col("_key").alias("_cold_key"), F.lit(False).alias("_cold_answered"), F.col("_payload").alias("_cold"))
+    fact_key = F.col(key).cast("string")
     marked = (
-        facts.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
+        facts.join(F.broadcast(hot), fact_key == F.col("_hot_key"), "left")
         .withColumn("_answered", F.col("_hot_key").isNotNull())
-        .withColumn("_join_key", F.when(F.col("_answered"), spread.cast("string"))
-                    .otherwise(F.col(key).cast("string")))
+        .withColumn("_join_key", F.when(F.col("_answered"), spread.cast("string")).otherwise(fact_key))
     )
     joined = marked.join(
-        cold.withColumn("_cold_key", F.col("_cold_key").cast("string")),
-        (F.col("_join_key") == F.col("_cold_key")) & (marked["_answered"] == cold["_answered"]),
-        "left",
-    )
+        cold, (F.col("_join_key") == F.col("_cold_key")) & (F.col("_answered") == F.col("_cold_answered")), "left")
     filled = F.coalesce(F.col("_hot"), F.col("_cold"))
-    return joined.select(*[facts[c] for c in facts.columns],
-                         *[filled[c].alias(c) for c in payload])
+    return joined.select(*[facts[c] for c in facts.columns], *[filled[c].alias(c) for c in payload])
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:

@@ -156,17 +156,17 @@ KV_TEXT = """concat(' seg=', c_mktsegment, ',, nation = ', c_nationkey, ',seg=la
   FROM customer WHERE c_custkey % 13 <> 0 AND (c_custkey % 17 <> 0 OR c_custkey % 11 = 0)
 UNION ALL SELECT c_custkey, 'empty', '' FROM customer WHERE c_custkey % 13 <> 0 AND c_custkey % 11 = 0""")
 def kv_list_parse(t):
-    c = t["customer"].select(F.col("c_custkey").alias("app_id"), F.explode(tx.kv_map(F.expr(KV_TEXT))).alias("key", "value"))
-    return c
+    c = t["customer"].select(F.col("c_custkey").alias("app_id"), tx.kv_entries(F.expr(KV_TEXT)).alias("entries"))
+    return c.select("app_id", F.explode(tx.entries_map(F.col("entries"))).alias("key", "value"))
 
 
 @query("kv_list_check", """SELECT c_custkey AS app_id, c_custkey % 13 <> 0 AND (c_custkey % 17 <> 0 OR c_custkey % 11 = 0) AS valid,
   CASE WHEN c_custkey % 13 = 0 THEN 'Invalid label format: '''' (expected key=value)|Invalid label format: ''x'' (expected key=value)'
     WHEN c_custkey % 17 = 0 AND c_custkey % 11 <> 0 THEN 'Invalid label format: ''a=b=c'' (expected key=value)' ELSE '' END AS messages FROM customer""")
 def kv_list_check(t):
-    text = F.expr(KV_TEXT)
-    return t["customer"].select(F.col("c_custkey").alias("app_id"), tx.kv_all_valid(text).alias("valid"),
-                                F.array_join(tx.kv_bad_messages(text), "|").alias("messages"))
+    c = t["customer"].select(F.col("c_custkey").alias("app_id"), tx.kv_entries(F.expr(KV_TEXT)).alias("entries"))
+    return c.select("app_id", tx.entries_valid(F.col("entries")).alias("valid"),
+                    F.array_join(tx.entries_messages(F.col("entries")), "|").alias("messages"))
 
 
 @query("conf_tokens", """SELECT c_custkey AS app_id, unnest(['spark.a', 'spark.b']) AS key, unnest(['n' || c_nationkey, 'x=' || c_custkey]) AS value FROM customer""")
@@ -282,14 +282,13 @@ v AS (SELECT *, coalesce(cli, template, CASE resource WHEN 'memory' THEN '1Gi' E
 SELECT app_id, role, max(value) FILTER (resource = 'memory' AND bound = 'limit') AS memory_limit, max(value) FILTER (resource = 'memory' AND bound = 'request') AS memory_request,
   max(value) FILTER (resource = 'cpu' AND bound = 'limit') AS cpu_limit, max(value) FILTER (resource = 'cpu' AND bound = 'request') AS cpu_request FROM v GROUP BY app_id, role""")
 def resolve_resources(t):
-    grid = t["orders"].selectExpr("o_orderkey", "o_custkey", """stack(8, 0, 'driver', 'memory', 0, 'limit', 0, 'driver', 'memory', 1, 'request',
-        0, 'driver', 'cpu', 2, 'limit', 0, 'driver', 'cpu', 3, 'request', 1, 'executor', 'memory', 0, 'limit', 1, 'executor', 'memory', 1, 'request',
-        1, 'executor', 'cpu', 2, 'limit', 1, 'executor', 'cpu', 3, 'request') as (r, role, resource, b, bound)""")
-    cells = grid.selectExpr(
-        "o_orderkey as app_id", "role", "resource", "bound",
-        "case when (o_orderkey + r * 3 + b) % 4 = 0 then concat(o_custkey % 8 + 1, case when resource = 'memory' then 'Gi' else '' end) end as cli",
-        "case when (o_orderkey + r + b * 5) % 3 = 0 then concat(o_custkey % 5 + 1, case when resource = 'memory' then 'Mi' else '00m' end) end as template")
-    return ly.resolve_resources(cells)
+    cells = {}
+    for r, role in enumerate(("driver", "executor")):
+        for b, (resource, bound) in enumerate((("memory", "limit"), ("memory", "request"), ("cpu", "limit"), ("cpu", "request"))):
+            big, small = ("Gi", "Mi") if resource == "memory" else ("", "00m")
+            cells[f"cli_{role}_{resource}_{bound}"] = F.expr(f"if((o_orderkey + {r * 3 + b}) % 4 = 0, concat(o_custkey % 8 + 1, '{big}'), null)")
+            cells[f"tpl_{role}_{resource}_{bound}"] = F.expr(f"if((o_orderkey + {r + b * 5}) % 3 = 0, concat(o_custkey % 5 + 1, '{small}'), null)")
+    return ly.resolve_resources(t["orders"].select(F.col("o_orderkey").alias("app_id"), *[c.alias(n) for n, c in cells.items()]))
 
 
 _RESOURCES = """map_from_arrays(array('memory', 'gpu', 'ephemeral-storage'),
@@ -673,6 +672,7 @@ def deep_merge(t):
 SELECT doc_id, p AS path, k AS kind, coalesce(v, '') AS value, CAST(-1 AS BIGINT) AS pos FROM nodes
 UNION ALL SELECT doc_id, p, 'item', v, CAST(place AS BIGINT) FROM items""")
 def deep_merge_documents(t):
-    merged = t["customer"].select(F.col("c_custkey").alias("doc_id"), docs.merge_documents(F.expr(BASE_DOC), F.expr(OVER_DOC)).alias("doc"))
+    pairs = docs.spread(t["customer"])
+    merged = pairs.select(F.col("c_custkey").alias("doc_id"), docs.merge_documents(F.expr(BASE_DOC), F.expr(OVER_DOC)).alias("doc"))
     return docs.flatten_documents(merged).select(
         "doc_id", F.array_join("path", "/").alias("path"), "kind", F.coalesce("value", F.lit("")).alias("value"), F.coalesce("pos", F.lit(-1)).alias("pos"))

@@ -12,41 +12,25 @@ from runlens.sources.tables import Tables
 
 
 def job_events(t: Tables) -> DataFrame:
-    e = t["events"]
-    k = F.get_json_object("props", "$.k").cast("int")
-    base = e.select(
-        F.col("event_id").alias("message_id"), "ts", "user_id", "event_type", k.alias("k"),
-        F.concat(F.lit("set-"), F.col("user_id") % 10).alias("job_set"),
-        F.concat(F.lit("job-"), "user_id", F.lit("-"), F.expr("(day(ts) - 1) div 5")).alias("job_id"),
-    )
-    k, t_ = F.col("k"), F.col("event_type")
-    kind = (
-        F.when(t_ == "signup", "submitted")
-        .when(t_ == "view", F.when(k < 50, "queued").otherwise("running"))
-        .when(t_ == "click", F.when(k < 50, "registered").otherwise("utilisation"))
-        .when(t_ == "purchase", F.when(k < 40, "succeeded").when(k < 70, "cancelled").otherwise("preempting"))
-        .otherwise(F.when(k < 15, "preempted").otherwise("failed"))
-    )
-    failed = F.col("kind") == "failed"
-    reason = (
-        F.when(k < 40, F.concat(
-            F.lit("Preempted by scheduler using urgency preemption - preempting job job-"), k.cast("string")))
-        .when(k < 60, "OOMKilled")
-        .when(k < 80, "")
-        .otherwise("Error: Container exited with a non-zero status of 1")
-    )
-    codes = (
-        F.when(k % 3 == 0, F.array().cast("array<int>"))
-        .when((k >= 40) & (k < 60), F.array(F.lit(137)))
-        .when(k == 98, F.array(F.lit(0)))
-        .otherwise(F.array(F.lit(1)))
-    )
-    return base.withColumn("kind", kind).select(
+    base = t["events"].selectExpr(
+        "event_id as message_id", "ts", "user_id", "event_type", "cast(get_json_object(props, '$.k') as int) as k",
+        "concat('set-', user_id % 10) as job_set", "concat('job-', user_id, '-', (day(ts) - 1) div 5) as job_id")
+    kinds = base.selectExpr("*", """case event_type
+        when 'signup' then 'submitted'
+        when 'view' then if(k < 50, 'queued', 'running')
+        when 'click' then if(k < 50, 'registered', 'utilisation')
+        when 'purchase' then case when k < 40 then 'succeeded' when k < 70 then 'cancelled' else 'preempting' end
+        else if(k < 15, 'preempted', 'failed') end as kind""")
+    return kinds.selectExpr(
         "message_id", "ts", "k", "user_id", "job_set", "job_id", "kind",
-        F.when(failed, reason).alias("reason"),
-        F.when(failed, F.lit("Error")).alias("cause"),
-        F.when(failed, codes).alias("exit_codes"),
-    )
+        """case when kind = 'failed' then case
+             when k < 40 then concat('Preempted by scheduler using urgency preemption - preempting job job-', k)
+             when k < 60 then 'OOMKilled' when k < 80 then ''
+             else 'Error: Container exited with a non-zero status of 1' end end as reason""",
+        "if(kind = 'failed', 'Error', null) as cause",
+        """case when kind = 'failed' then case
+             when k % 3 = 0 then cast(array() as array<int>) when k >= 40 and k < 60 then array(137)
+             when k = 98 then array(0) else array(1) end end as exit_codes""")
 
 
 JOB_EVENTS_CTE = """
