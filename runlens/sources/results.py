@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+WHITESPACE = " \t\n\r\f\v"
+
 
 def read_result_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per non-blank line: (source, query, seconds, result_hash, line_order).
@@ -11,7 +13,8 @@ def read_result_lines(spark: SparkSession, path: str) -> DataFrame:
     `source` is the folder of the file. `line_order` sorts by file name, then by place in the file,
     also when a file is split over several tasks.
     """
-    cols = F.split(F.trim("value"), ",")
+    line = F.btrim("value", F.lit(WHITESPACE))
+    cols = F.split(line, ",")
     meta = F.col("_metadata")
     # block start is the offset of the split; ids grow line by line inside a split
     order = F.struct(meta["file_name"].alias("file"), meta["file_block_start"].alias("start"),
@@ -20,7 +23,7 @@ def read_result_lines(spark: SparkSession, path: str) -> DataFrame:
         spark.read.text(path)
         .select("value", order.alias("line_order"),
                 F.regexp_extract(meta["file_path"], "([^/]+)/[^/]+$", 1).alias("source"))
-        .filter(F.trim("value") != "")
+        .filter(line != "")
         .select(
             "source",
             F.substring_index(F.get(cols, F.lit(0)), "-", 1).alias("query"),
