@@ -119,12 +119,13 @@ FROM rows GROUP BY ROLLUP (channel, n_name)""")
 def w04(t):
     s = sales(t, line_cols=["l_suppkey", "l_extendedprice", "l_returnflag"])
     returned = F.expr(RETURNED)
-    supplier = t["supplier"].join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
-    # totals per cell first; the rollup then expands a few rows instead of every line
-    cells = s.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).groupBy("channel", "n_name").agg(
+    supplier = t["supplier"].select("s_suppkey", "s_nationkey")
+    # totals per cell first; names are joined to, and the rollup expands, a few rows instead of every line
+    cells = s.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).groupBy("channel", "s_nationkey").agg(
         F.sum(F.when(~returned, F.col("l_extendedprice")).otherwise(0.0)).alias("sold"),
         F.sum(F.when(returned, F.col("l_extendedprice")).otherwise(0.0)).alias("returned"))
-    return cells.rollup("channel", "n_name").agg(
+    named = cells.join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey"))
+    return named.rollup("channel", "n_name").agg(
         money(F.col("sold")).alias("sold"), money(F.col("returned")).alias("returned")).select(
         F.coalesce("channel", F.lit("ALL")).alias("channel"), F.coalesce("n_name", F.lit("ALL")).alias("nation"),
         "sold", "returned")
@@ -306,13 +307,14 @@ FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey
   JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
 GROUP BY ROLLUP (r_name, n_name, c_mktsegment)""")
 def w16(t):
-    places = t["customer"].join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey")).join(
-        t["region"], F.col("n_regionkey") == F.col("r_regionkey")).select("c_custkey", "r_name", "n_name", "c_mktsegment")
-    heads = t["orders"].select("o_orderkey", "o_custkey").join(places, F.col("o_custkey") == F.col("c_custkey"))
+    heads = t["orders"].select("o_orderkey", "o_custkey").join(
+        t["customer"].select("c_custkey", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
     lines = t["lineitem"].select("l_orderkey", "l_quantity", "l_extendedprice")
+    places = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
     keys = ["r_name", "n_name", "c_mktsegment"]
-    cells = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).groupBy(*keys).agg(
-        F.sum("l_quantity").alias("q"), F.sum("l_extendedprice").alias("p"), count().alias("n"))
+    cells = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("c_nationkey", "c_mktsegment").agg(
+        F.sum("l_quantity").alias("q"), F.sum("l_extendedprice").alias("p"), count().alias("n")).join(
+        places, F.col("c_nationkey") == F.col("n_nationkey"))
     return cells.rollup(*keys).agg(
         (F.sum("q") / F.sum("n")).alias("mean_quantity"), (money(F.col("p")) / F.sum("n")).alias("mean_price"),
         F.sum("n").alias("n_lines")).select(
@@ -456,14 +458,16 @@ SELECT channel, n_name, count(*) FILTER (lag_days <= 30) AS d30, count(*) FILTER
 FROM (SELECT channel, n_name, date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS lag_days FROM sales
   JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey) GROUP BY ALL""")
 def w24(t):
-    supplier = t["supplier"].join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
+    supplier = t["supplier"].select("s_suppkey", "s_nationkey")
     lag = F.datediff(F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date"))
     s = sales(t, line_cols=["l_suppkey", "l_shipdate"]).withColumn("lag", lag)
-    return s.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).groupBy("channel", "n_name").agg(
+    cells = s.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).groupBy("channel", "s_nationkey").agg(
         F.count_if(F.col("lag") <= 30).alias("d30"),
         F.count_if((F.col("lag") > 30) & (F.col("lag") <= 60)).alias("d60"),
         F.count_if((F.col("lag") > 60) & (F.col("lag") <= 90)).alias("d90"),
         F.count_if(F.col("lag") > 90).alias("d90_up"))
+    return cells.join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey")).select(
+        "channel", "n_name", "d30", "d60", "d90", "d90_up")
 
 
 @query("w24_weekday_pivot", """
@@ -620,14 +624,15 @@ def w32(t):
     s = sales(t, line_cols=["l_partkey", "l_shipdate", "l_extendedprice", "l_returnflag"])
     returned = F.expr(RETURNED)
     store = F.col("channel") == "store"
-    # months instead of lines: a customer and part have a bounded number of them on either side,
-    # and sums over pairs of lines follow from sums and counts per month
-    monthly = s.filter((store & returned) | (~store & ~returned)).groupBy(
-        "o_custkey", "l_partkey", (year() * 12 + month()).alias("mon"), store.alias("first")).agg(
-        F.sum("l_extendedprice").alias("v"), count().alias("n"))
-    r = monthly.filter("first").select("o_custkey", "l_partkey", F.col("mon").alias("rm"), F.col("v").alias("rv"), F.col("n").alias("rn"))
-    b = monthly.filter("not first").select("o_custkey", "l_partkey", F.col("mon").alias("bm"), F.col("v").alias("bv"), F.col("n").alias("bn"))
-    pairs = r.join(b, ["o_custkey", "l_partkey"]).filter((F.col("bm") - F.col("rm")).between(0, 6))
+    # months instead of lines: a customer and part have a bounded number of them, and sums over
+    # pairs of lines follow from sums and counts per month
+    back, again, price = store & returned, ~store & ~returned, F.col("l_extendedprice")
+    monthly = s.filter(back | again).groupBy("o_custkey", "l_partkey", (year() * 12 + month()).alias("mon")).agg(
+        F.sum(F.when(back, price)).alias("rv"), F.count_if(back).alias("rn"),
+        F.sum(F.when(again, price)).alias("bv"), F.count_if(again).alias("bn"))
+    later = Window.partitionBy("o_custkey", "l_partkey").orderBy("mon").rangeBetween(0, 6)
+    pairs = monthly.select("l_partkey", "rv", "rn", F.sum("bv").over(later).alias("bv"), F.sum("bn").over(later).alias("bn")).filter(
+        "rn > 0 and bn > 0")
     return pairs.join(t["part"].select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).groupBy(
         "p_brand").agg(F.sum(F.col("rn") * F.col("bn")).alias("n_pairs"),
                        money(F.col("rv") * F.col("bn")).alias("returned"), money(F.col("bv") * F.col("rn")).alias("bought_again"))
@@ -673,12 +678,18 @@ def w35(t):
         F.coalesce("c_name", empty), F.lit(", "), F.coalesce("n_name", empty), F.lit(" ("), segment, F.lit(")")).alias("label"))
 
 
-_FACT_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax",
-                 "l_returnflag", "l_linestatus"]
+_FACT_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax"]
+_FACT_FLAGS = ["l_returnflag", "l_linestatus"]
 
 
 @query("w36_max_every_column", "SELECT count(*) AS n_rows, " + ", ".join(
-    f"count({c}) AS n_{c}, max({c}) AS max_{c}" for c in _FACT_COLUMNS) + " FROM lineitem")
+    f"count({c}) AS n_{c}, max({c}) AS max_{c}" for c in _FACT_NUMBERS + _FACT_FLAGS) + " FROM lineitem")
 def w36(t):
-    return t["lineitem"].agg(count().alias("n_rows"), *[
-        a for c in _FACT_COLUMNS for a in (F.count(c).alias(f"n_{c}"), F.max(c).alias(f"max_{c}"))])
+    # the few flags group the lines, so that the large pass keeps numbers only in its buffers
+    per_flags = t["lineitem"].groupBy(*_FACT_FLAGS).agg(count().alias("n_rows"), *[
+        a for c in _FACT_NUMBERS for a in (F.count(c).alias(f"n_{c}"), F.max(c).alias(f"max_{c}"))])
+    return per_flags.agg(
+        F.sum("n_rows").alias("n_rows"),
+        *[a for c in _FACT_NUMBERS for a in (F.sum(f"n_{c}").alias(f"n_{c}"), F.max(f"max_{c}").alias(f"max_{c}"))],
+        *[a for c in _FACT_FLAGS for a in (
+            F.sum(F.when(F.col(c).isNotNull(), F.col("n_rows"))).alias(f"n_{c}"), F.max(c).alias(f"max_{c}"))])

@@ -23,6 +23,14 @@ RUNTIME_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# For a cluster: many small shuffle partitions that adaptive execution joins to the advised size.
+# A value given in `extra` or by the cluster itself wins.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
@@ -39,9 +47,17 @@ def get_spark(master: str | None = None, app: str = "runlens", shuffle_partition
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    # checkpointed data goes when nothing refers to it any more
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
-    return tune(builder.getOrCreate())
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local"):
+        given = dict(spark.sparkContext.getConf().getAll())
+        for key, value in CLUSTER_CONF.items():
+            if key not in given:
+                spark.conf.set(key, value)
+    return tune(spark)
 
 
 def shared_dir(spark: SparkSession) -> str:

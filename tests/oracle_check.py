@@ -71,7 +71,8 @@ def main() -> int:
     args = sys.argv[1:]
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     only = args[1:]
-    spark = get_spark("local[8]", shuffle_partitions=8, extra={"spark.ui.enabled": "false"})
+    spark = get_spark("local[8]", shuffle_partitions=8,
+                      extra={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     oracles, bad = entry.oracle_sql(), 0
@@ -82,13 +83,15 @@ def main() -> int:
         try:
             if name in oracles:
                 problems = compare(spark, con, name, fn, oracles[name], sf_dir)
+                n = con.execute(f"SELECT count(*) FROM ({oracles[name]})").fetchone()[0]
             else:
-                rows = fn(spark, sf_dir).count()
-                problems = [] if rows else [f"{name}: no rows"]
+                n = fn(spark, sf_dir).count()
+                problems = [] if n else [f"{name}: no rows"]
         except Exception as e:  # report every query, not only the first failure
             problems = [f"{name}: {type(e).__name__} {str(e)[:1500]}"]
+            n = -1
         bad += bool(problems)
-        print(f"{'FAIL' if problems else 'ok  '} {time.time() - start:6.2f}s {name}", *problems, sep="\n     ", flush=True)
+        print(f"{'FAIL' if problems else 'ok  '} {time.time() - start:6.2f}s {n:7d} rows {name}", *problems, sep="\n     ", flush=True)
     print("failed:", bad)
     return bad
 
