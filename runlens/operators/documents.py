@@ -19,6 +19,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from runlens.session import written
+
 # The arrays merged by name.
 NAMED_ARRAYS = ["spec.volumes", "spec.containers", "spec.initContainers"]
 
@@ -111,43 +113,40 @@ def merge_nodes(base: DataFrame, over: DataFrame) -> DataFrame:
     """Node rows of the merged documents, with `layer` 0 for rows of the base and 1 for the override.
 
     An item keeps its position within its layer; the items of layer 0 come first. Both inputs are
-    read more than once, so pass written tables (see `write_nodes`).
+    read twice, so pass written tables (see `write_nodes`).
     """
     keys = ["doc_id", "path"]
+    columns = [*keys, "kind", "name", "pos", "value", "layer"]
     tagged = base.withColumn("layer", F.lit(0)).unionByName(over.withColumn("layer", F.lit(1)))
+    items = tagged.filter("kind = 'item'").select(*columns)
+
     side = F.struct("kind", "value")
-    nodes = tagged.filter("kind <> 'item'").groupBy(*keys).agg(
+    both = tagged.filter("kind <> 'item'").groupBy(*keys).agg(
         F.max(F.when(F.col("layer") == 0, side)).alias("b"), F.max(F.when(F.col("layer") == 1, side)).alias("o"))
     overridden = F.coalesce(F.col("o.kind") != "null", F.lit(False))
-
-    # where the override puts another kind over an object or a named array, all below it goes
-    replaced = nodes.filter(overridden & F.col("b.kind").isin("object", "array") & (F.col("b.kind") != F.col("o.kind")))
-    replaced = replaced.select("doc_id", F.col("path").alias("above"))
-
     from_base = F.col("b").isNotNull() & ~overridden
     chosen = F.when(from_base, F.col("b")).otherwise(F.col("o"))
-    merged = nodes.select(*keys, chosen["kind"].alias("kind"), F.lit(None).cast("string").alias("name"),
-                          F.lit(None).cast("long").alias("pos"), chosen["value"].alias("value"),
-                          F.when(from_base, 0).otherwise(1).alias("layer"))
-
-    columns = [*keys, "kind", "name", "pos", "value", "layer"]
-    items = tagged.filter("kind = 'item'").select(*columns)
+    # where another kind replaces an object of the base, all nodes of the base below it go
+    replaces = overridden & (F.col("b.kind") == "object") & (F.col("o.kind") != "object")
+    nodes = written(both.select(
+        *keys, chosen["kind"].alias("kind"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("long").alias("pos"),
+        chosen["value"].alias("value"), F.when(from_base, 0).otherwise(1).alias("layer"),
+        F.coalesce(replaces, F.lit(False)).alias("replaces")), "merged-nodes")
+
+    replaced = nodes.filter("replaces").select("doc_id", F.col("path").alias("above"))
+    ancestors = F.transform(F.sequence(F.lit(1), F.size("path")), lambda n: F.slice("path", F.lit(1), n - 1))
+    below = (nodes.filter("layer = 0 and size(path) > 0").select(*keys, F.explode(ancestors).alias("above"))
+             .join(replaced, ["doc_id", "above"], "left_semi").select(*keys).distinct())
+    kept = nodes.filter("layer = 0").join(below, keys, "left_anti").unionByName(nodes.filter("layer = 1")).select(*columns)
+
+    # items of the base stay where an array stayed, unless the override has an item of that name
+    arrays = kept.filter("kind = 'array'").select(*keys)
     taken = items.filter("layer = 1 and name is not null").select(*keys, "name").distinct()
-    base_items = items.filter("layer = 0").join(taken, [*keys, "name"], "left_anti").select(*columns)
-
-    candidates = merged.filter("layer = 0").unionByName(base_items)
-    # an item hangs below its own path, a node below its proper ancestors
-    depth = F.size("path") - F.when(F.col("kind") == "item", 0).otherwise(1)
-    ancestors = F.when(depth >= 0, F.transform(F.sequence(F.lit(0), F.greatest(depth, F.lit(0))),
-                                               lambda n: F.slice("path", F.lit(1), n)))
-    below = (candidates.select(*keys, "kind", ancestors.alias("above")).distinct()
-             .withColumn("above", F.explode("above"))
-             .join(replaced, ["doc_id", "above"], "left_semi").select(*keys, "kind").distinct())
-    kept = candidates.join(below, [*keys, "kind"], "left_anti").select(*columns)
-    return kept.unionByName(merged.filter("layer = 1")).unionByName(items.filter("layer = 1"))
+    base_items = (items.filter("layer = 0").join(arrays, keys, "left_semi")
+                  .join(taken, [*keys, "name"], "left_anti").select(*columns))
+    return kept.unionByName(base_items).unionByName(items.filter("layer = 1"))
 
 
-def write_nodes(docs: DataFrame, path: str, text: str = "doc", doc_id: str = "doc_id") -> DataFrame:
+def write_nodes(docs: DataFrame, text: str = "doc", doc_id: str = "doc_id") -> DataFrame:
     """Flatten once into a table in the shared folder and read it back."""
-    flatten_documents(docs, text, doc_id).write.parquet(path)
-    return docs.sparkSession.read.parquet(path)
+    return written(flatten_documents(docs, text, doc_id), "nodes")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from runlens.functions import events as ev
 from runlens.operators.scans import WIDTH, dense_rank_ids, running_totals
 from runlens.operators.skew import HOT_ROWS, lookup_join
+from runlens.session import written
 
 
 def micros_between(start: str, end: str) -> Column:
@@ -65,7 +66,28 @@ def first_terminal(events: DataFrame) -> DataFrame:
 
 
 def loss_summary(events: DataFrame) -> DataFrame:
-    return first_terminal(events).groupBy("loss_kind", "app_caused").agg(F.count(F.lit(1)).alias("n_jobs"))
+    """Jobs per kind of their first terminal event and whether the application caused it.
+
+    The outcome travels as a small number, so the aggregate per job keeps no text in its buffers.
+    """
+    relevant = events.filter(ev.is_terminal(F.col("kind")) | ev.is_recording(F.col("kind")))
+    losses = loss_attribution(known_events(relevant))
+    kinds = F.array(*[F.lit(k) for k in ev.TERMINAL])
+    code = F.array_position(kinds, F.col("loss_kind")) * 2 + F.col("app_caused").cast("long")
+    per_job = losses.groupBy("job_id").agg(F.min_by(code, "message_id").alias("code"))
+    per_code = per_job.groupBy("code").agg(F.count(F.lit(1)).alias("n_jobs"))
+    return per_code.select(F.element_at(kinds, F.expr("int(code div 2)")).alias("loss_kind"),
+                           (F.col("code") % 2 == 1).alias("app_caused"), "n_jobs")
+
+
+def first_terminal_times(events: DataFrame) -> DataFrame:
+    """(job_id, record_id, terminal_id, terminal_ts) of every known job that has ended."""
+    kind = F.col("kind")
+    relevant = events.filter(ev.is_terminal(kind) | ev.is_recording(kind))
+    end = F.when(ev.is_terminal(kind), F.col("message_id"))
+    return known_events(relevant.select("job_id", "kind", "message_id", "ts")).groupBy("job_id").agg(
+        F.min("message_id").alias("record_id"), F.min(end).alias("terminal_id"),
+        F.min_by("ts", end).alias("terminal_ts")).filter("terminal_id is not null")
 
 
 def loss_totals(events: DataFrame) -> DataFrame:
@@ -140,7 +162,7 @@ def kill_noop(kills: DataFrame, events: DataFrame, grace_ms: int = 5_000) -> Dat
     `noop`: the job ended within the grace period; `already_terminal`: it had ended before;
     `cancelled`: it is still there (or ends later) and the cancel takes effect.
     """
-    ends = first_terminal(events).select("job_id", F.col("ts").alias("terminal_ts"))
+    ends = first_terminal_times(events).select("job_id", "terminal_ts")
     sizes = kills.groupBy("job_id").agg(F.count(F.lit(1)).alias("n_kills"))
     per_job = sizes.join(ends, "job_id", "left")
     joined = lookup_join(kills, per_job, "job_id", ["terminal_ts"], "n_kills", spread=F.col("kill_id"))
@@ -157,7 +179,7 @@ def executor_ids(events: DataFrame, by: list[str] | None = None, width: int = WI
     """(job_id, executor_id): 1, 2, 3, ... in order of first recording, globally or per `by`."""
     first = (events.filter(ev.is_recording(F.col("kind")))
              .groupBy("job_id", *(by or [])).agg(F.min("message_id").alias("record_id")))
-    return dense_rank_ids(first, by or [], "record_id", "executor_id", width)
+    return dense_rank_ids(written(first, "first-recorded"), by or [], "record_id", "executor_id", width)
 
 
 def jobs_of_executors(requests: DataFrame, ids: DataFrame) -> DataFrame:
@@ -167,21 +189,15 @@ def jobs_of_executors(requests: DataFrame, ids: DataFrame) -> DataFrame:
 
 def decommission_pairs(events: DataFrame, grace_ms: int = 180_000) -> DataFrame:
     """Each `preempting` of a known job with the terminal event that ends the job after it."""
-    kind = F.col("kind")
-    relevant = events.filter(ev.is_terminal(kind) | ev.is_recording(kind) | (kind == "preempting"))
-    known = known_events(relevant.select("message_id", "ts", "kind", "job_id"))
-    per_job = known.groupBy("job_id").agg(
-        F.min_by(F.struct("message_id", "ts"),
-                 F.when(ev.is_terminal(kind), F.col("message_id"))).alias("_end"),
-        F.count_if(kind == "preempting").alias("n_preempting"),
-    ).select("job_id", "n_preempting", F.col("_end.message_id").alias("terminal_id"),
-             F.col("_end.ts").alias("terminal_ts"))
-    notices = known.filter(kind == "preempting").select("message_id", "ts", "job_id")
-    joined = lookup_join(notices, per_job, "job_id", ["terminal_id", "terminal_ts"], "n_preempting",
+    notices = events.filter(F.col("kind") == "preempting").select("message_id", "ts", "job_id")
+    sizes = notices.groupBy("job_id").agg(F.count(F.lit(1)).alias("n_notices"))
+    ends = first_terminal_times(events)
+    # jobs without an end stay in the table, so that a hot one among them is recognised
+    per_job = sizes.join(ends, "job_id", "left")
+    joined = lookup_join(notices, per_job, "job_id", ["record_id", "terminal_id", "terminal_ts"], "n_notices",
                          spread=F.col("message_id"))
     gap = micros_between("ts", "terminal_ts")
-    paired = F.col("terminal_id") > F.col("message_id")
-    return joined.filter(paired).select(
+    return joined.filter(F.col("message_id").between(F.col("record_id"), F.col("terminal_id"))).select(
         "message_id", "job_id", "terminal_id", gap.alias("gap_us"), (gap <= grace_ms * 1000).alias("within_grace"))
 
 
@@ -244,7 +260,7 @@ def state_changes(events: DataFrame) -> DataFrame:
 def running_counts(events: DataFrame, width: int = WIDTH) -> DataFrame:
     """Registered, pending and active jobs of the set after each state-changing event."""
     totals = running_totals(
-        state_changes(events), ["job_set"], "message_id",
+        written(state_changes(events), "state-changes"), ["job_set"], "message_id",
         {"registered": F.col("d_registered"), "pending": F.col("d_pending"), "active": F.col("d_active")},
         width)
     return totals.select("job_set", "message_id", "registered", "pending", "active")

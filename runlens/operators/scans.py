@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from runlens.session import shared_dir
+from runlens.session import written
 
 WIDTH = 100_000
 
@@ -33,7 +33,10 @@ def _sums_before(totals: DataFrame, keys: list[str], cols: list[str], width: int
 
 def running_totals(df: DataFrame, keys: list[str], order: str, sums: dict[str, Column],
                    width: int = WIDTH) -> DataFrame:
-    """Add running sums (current row included) of the `sums` expressions along `order` per `keys`."""
+    """Add running sums (current row included) of the `sums` expressions along `order` per `keys`.
+
+    The rows are read twice; pass a written table when it takes work to make them.
+    """
     cols = list(sums)
     rows = df.withColumn("_bucket", F.floor(F.col(order) / F.lit(width)))
     for name, expr in sums.items():
@@ -55,19 +58,16 @@ def dense_rank_ids(df: DataFrame, keys: list[str], order: str, name: str, width:
 def sorted_positions(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
     """1-based position in a total order of any type, for rows that are unique in that order.
 
-    Range partitions are written to the checkpoint folder first: the boundaries come from a sample,
-    so both passes must read one and the same layout.
+    The sorted rows are written to the shared folder first: the range boundaries come from a
+    sample, so both passes must read one and the same layout.
     """
-    shared_dir(df.sparkSession)
-    row = F.monotonically_increasing_id()
-    placed = (
+    placed = written(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("_row", row)
+        .withColumn("_row", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_row", 33))
-        .withColumn("_local", F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)) + 1)
-        .checkpoint()
-    )
+        .withColumn("_local", F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)) + 1),
+        "sorted")
     # one row per partition
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from runlens.functions.text import FAILED_STATUS
 from runlens.operators.layers import missing_entries
 from runlens.operators.scans import dense_rank_ids
+from runlens.session import written
 
 # Label names of role and test, and texts of check results.
 ROLE_LABEL, TEST_LABEL = "spark-role", "test-id"
@@ -106,7 +107,7 @@ def join_messages(failures: DataFrame, keys: list[str], order: str, size: int =
 
     Up to `size` failures give one row (`chunk` 0) with the whole text.
     """
-    numbered = dense_rank_ids(failures, keys, order, "_place", width)
+    numbered = dense_rank_ids(written(failures, "failures"), keys, order, "_place", width)
     chunk = F.expr(f"(_place - 1) div {size}")
     texts = F.array_sort(F.collect_list(F.struct("_place", "message")))
     return numbered.groupBy(*keys, chunk.alias("chunk")).agg(

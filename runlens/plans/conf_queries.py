@@ -660,7 +660,7 @@ def deep_merge(t):
 
     def nodes(doc: str):
         texts = c.select(F.col("c_custkey").alias("doc_id"), F.expr(doc).alias("doc"))
-        return docs.write_nodes(texts, scratch_path(t.spark, "nodes"))
+        return docs.write_nodes(texts)
 
     merged = docs.merge_nodes(nodes(BASE_DOC), nodes(OVER_DOC))
     item = F.col("kind") == "item"

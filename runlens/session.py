@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the operators rely on. They can be set on a session somebody else built.
 RUNTIME_CONF = {
@@ -82,3 +82,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other call uses."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` to the shared folder and read it back: it is computed once, whatever reads it.
+
+    Unlike cached blocks the files outlive lost executors, and unlike `checkpoint()` the plan runs
+    a single time and later readers fetch only the columns they need.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
