@@ -62,28 +62,25 @@ def effective_kind(kind: Column, full_reason: Column) -> Column:
     return F.when((kind == "failed") & is_preemption(full_reason), "preempted").otherwise(kind)
 
 
-def loss(kind: Column, reason: Column, cause: Column, exit_codes: Column, job_id: Column,
-         label: str = "Job", preempted_text: str = "Preempted by scheduler") -> Column:
-    """Struct (loss_kind, code, app_caused, message) of a terminal event, null for other events."""
-    full = failure_reason(reason, cause)
-    code = exit_code(exit_codes)
-    head = F.concat(F.lit(label + " "), job_id)
+def loss_code(loss_kind: Column, exit_codes: Column) -> Column:
+    """Exit code reported for a terminal event of the given effective kind."""
+    return F.when(loss_kind == "failed", exit_code(exit_codes)).when(loss_kind == "succeeded", 0).otherwise(NO_EXIT_CODE)
+
 
-    def build(name: str, exit_value: Column, by_app: Column, message: Column) -> Column:
-        return F.struct(F.lit(name).alias("loss_kind"), exit_value.cast("int").alias("code"),
-                        by_app.alias("app_caused"), message.alias("message"))
+def app_caused(loss_kind: Column, code: Column) -> Column:
+    """Only a failure with a code other than 0 is the application's own; a missing code is -1."""
+    return (loss_kind == "failed") & (code != 0)
 
-    external = F.lit(False)
-    no_code = F.lit(NO_EXIT_CODE)
+
+def loss_message(kind: Column, loss_kind: Column, full_reason: Column, job_id: Column, label: str = "Job",
+                 preempted_text: str = "Preempted by scheduler") -> Column:
+    head = F.concat(F.lit(label + " "), job_id)
+    preempted_by = F.when(kind == "failed", full_reason).otherwise(preempted_text)
     return (
-        F.when((kind == "failed") & is_preemption(full),
-               build("preempted", no_code, external, F.concat(head, F.lit(" was preempted: "), full)))
-        .when(kind == "failed", build("failed", code, code != 0, F.concat(head, F.lit(" failed: "), full)))
-        .when(kind == "preempted",
-              build("preempted", no_code, external,
-                    F.concat(head, F.lit(" was preempted: " + preempted_text))))
-        .when(kind == "cancelled", build("cancelled", no_code, external, F.concat(head, F.lit(" was cancelled"))))
-        .when(kind == "succeeded", build("succeeded", F.lit(0), external, F.concat(head, F.lit(" succeeded"))))
+        F.when(loss_kind == "failed", F.concat(head, F.lit(" failed: "), full_reason))
+        .when(loss_kind == "preempted", F.concat(head, F.lit(" was preempted: "), preempted_by))
+        .when(loss_kind == "cancelled", F.concat(head, F.lit(" was cancelled")))
+        .when(loss_kind == "succeeded", F.concat(head, F.lit(" succeeded")))
     )
 
 

@@ -28,8 +28,7 @@ def first_recorded(events: DataFrame) -> DataFrame:
 
 def flag_known(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add `known`: the job was recorded by this event or an earlier one."""
-    flagged = lookup_join(events, first_recorded(events), "job_id", ["first_record_id"], "n_events",
-                          spread=F.col("message_id"), hot_rows=hot_rows)
+    flagged = lookup_join(events, first_recorded(events), "job_id", ["first_record_id"], "n_events", hot_rows=hot_rows)
     known = F.coalesce(F.col("message_id") >= F.col("first_record_id"), F.lit(False))
     return flagged.withColumn("known", known)
 
@@ -50,10 +49,36 @@ def exclude_drivers(events: DataFrame, drivers: DataFrame) -> DataFrame:
 
 def loss_attribution(events: DataFrame) -> DataFrame:
     """Terminal events with (loss_kind, code, app_caused, message)."""
-    loss = ev.loss(F.col("kind"), F.col("reason"), F.col("cause"), F.col("exit_codes"), F.col("job_id"))
-    return (events.filter(ev.is_terminal(F.col("kind")))
-            .select("message_id", "ts", "job_set", "job_id", loss.alias("loss"))
-            .select("message_id", "ts", "job_set", "job_id", "loss.*"))
+    kind, loss_kind = F.col("kind"), F.col("loss_kind")
+    full = ev.failure_reason(F.col("reason"), F.col("cause"))
+    code = ev.loss_code(loss_kind, F.col("exit_codes"))
+    return (events.filter(ev.is_terminal(kind)).withColumn("loss_kind", ev.effective_kind(kind, full))
+            .select("message_id", "ts", "job_set", "job_id", "loss_kind", code.alias("code"),
+                    ev.app_caused(loss_kind, code).alias("app_caused"),
+                    ev.loss_message(kind, loss_kind, full, F.col("job_id")).alias("message")))
+
+
+def _narrow_losses(events: DataFrame) -> DataFrame:
+    """Terminal events of known jobs as (message_id, job_id, outcome), one number per outcome.
+
+    The outcome is made before the join, so no text is shuffled or kept in a buffer.
+    """
+    kind, loss_kind = F.col("kind"), F.col("loss_kind")
+    full = ev.failure_reason(F.col("reason"), F.col("cause"))
+    by_app = ev.app_caused(loss_kind, ev.loss_code(loss_kind, F.col("exit_codes")))
+    narrow = (events.filter(ev.is_terminal(kind) | ev.is_recording(kind))
+              .withColumn("loss_kind", ev.effective_kind(kind, full))
+              .select("message_id", "job_id", "kind",
+                      (F.array_position(_terminal_kinds(), loss_kind) * 2 + by_app.cast("long")).alias("outcome")))
+    return known_events(narrow).filter(ev.is_terminal(kind)).select("message_id", "job_id", "outcome")
+
+
+def _terminal_kinds() -> Column:
+    return F.array(*[F.lit(k) for k in ev.TERMINAL])
+
+
+def _loss_kind(outcome: Column) -> Column:
+    return F.element_at(_terminal_kinds(), F.call_function("div", outcome, F.lit(2)).cast("int"))
 
 
 def first_terminal(events: DataFrame) -> DataFrame:
@@ -66,18 +91,10 @@ def first_terminal(events: DataFrame) -> DataFrame:
 
 
 def loss_summary(events: DataFrame) -> DataFrame:
-    """Jobs per kind of their first terminal event and whether the application caused it.
-
-    The outcome travels as a small number, so the aggregate per job keeps no text in its buffers.
-    """
-    relevant = events.filter(ev.is_terminal(F.col("kind")) | ev.is_recording(F.col("kind")))
-    losses = loss_attribution(known_events(relevant))
-    kinds = F.array(*[F.lit(k) for k in ev.TERMINAL])
-    code = F.array_position(kinds, F.col("loss_kind")) * 2 + F.col("app_caused").cast("long")
-    per_job = losses.groupBy("job_id").agg(F.min_by(code, "message_id").alias("code"))
-    per_code = per_job.groupBy("code").agg(F.count(F.lit(1)).alias("n_jobs"))
-    return per_code.select(F.element_at(kinds, F.expr("int(code div 2)")).alias("loss_kind"),
-                           (F.col("code") % 2 == 1).alias("app_caused"), "n_jobs")
+    """Jobs per kind of their first terminal event and whether the application caused it."""
+    per_job = _narrow_losses(events).groupBy("job_id").agg(F.min_by("outcome", "message_id").alias("outcome"))
+    return per_job.groupBy("outcome").agg(F.count(F.lit(1)).alias("n_jobs")).select(
+        _loss_kind(F.col("outcome")).alias("loss_kind"), (F.col("outcome") % 2 == 1).alias("app_caused"), "n_jobs")
 
 
 def first_terminal_times(events: DataFrame) -> DataFrame:
@@ -92,11 +109,11 @@ def first_terminal_times(events: DataFrame) -> DataFrame:
 
 def loss_totals(events: DataFrame) -> DataFrame:
     """Terminal events of known jobs per kind: events, jobs, and the share caused by the application."""
-    relevant = events.filter(ev.is_terminal(F.col("kind")) | ev.is_recording(F.col("kind")))
-    return loss_attribution(known_events(relevant)).groupBy("loss_kind").agg(
+    by_app = F.col("outcome") % 2 == 1
+    return _narrow_losses(events).groupBy(_loss_kind(F.col("outcome")).alias("loss_kind")).agg(
         F.count(F.lit(1)).alias("n_events"),
-        F.count_if("app_caused").alias("n_app_caused"),
-        F.count_if(~F.col("app_caused")).alias("n_external"),
+        F.count_if(by_app).alias("n_app_caused"),
+        F.count_if(~by_app).alias("n_external"),
         F.countDistinct("job_id").alias("n_jobs"),
     )
 
@@ -165,7 +182,7 @@ def kill_noop(kills: DataFrame, events: DataFrame, grace_ms: int = 5_000) -> Dat
     ends = first_terminal_times(events).select("job_id", "terminal_ts")
     sizes = kills.groupBy("job_id").agg(F.count(F.lit(1)).alias("n_kills"))
     per_job = sizes.join(ends, "job_id", "left")
-    joined = lookup_join(kills, per_job, "job_id", ["terminal_ts"], "n_kills", spread=F.col("kill_id"))
+    joined = lookup_join(kills, per_job, "job_id", ["terminal_ts"], "n_kills")
     after = micros_between("kill_ts", "terminal_ts")
     outcome = (
         F.when(F.col("terminal_ts").isNull() | (after > grace_ms * 1000), "cancelled")
@@ -194,8 +211,7 @@ def decommission_pairs(events: DataFrame, grace_ms: int = 180_000) -> DataFrame:
     ends = first_terminal_times(events)
     # jobs without an end stay in the table, so that a hot one among them is recognised
     per_job = sizes.join(ends, "job_id", "left")
-    joined = lookup_join(notices, per_job, "job_id", ["record_id", "terminal_id", "terminal_ts"], "n_notices",
-                         spread=F.col("message_id"))
+    joined = lookup_join(notices, per_job, "job_id", ["record_id", "terminal_id", "terminal_ts"], "n_notices")
     gap = micros_between("ts", "terminal_ts")
     return joined.filter(F.col("message_id").between(F.col("record_id"), F.col("terminal_id"))).select(
         "message_id", "job_id", "terminal_id", gap.alias("gap_us"), (gap <= grace_ms * 1000).alias("within_grace"))
@@ -225,7 +241,7 @@ def resume_points(events: DataFrame) -> DataFrame:
 
 def resume_from(events: DataFrame, points: DataFrame) -> DataFrame:
     """Events of each job set after its own resume point (job_set, last_id, n_events)."""
-    joined = lookup_join(events, points, "job_set", ["last_id"], "n_events", spread=F.col("message_id"))
+    joined = lookup_join(events, points, "job_set", ["last_id"], "n_events")
     return joined.filter(F.col("message_id") > F.coalesce(F.col("last_id"), F.lit(-1))).drop("last_id")
 
 

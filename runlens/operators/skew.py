@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from runlens.session import written
 
 # A key with more rows than this is joined by broadcast. There can be at most
 # total_rows / HOT_ROWS such keys, so the broadcast side stays small whatever the skew.
@@ -10,31 +12,24 @@ HOT_ROWS = 1_000_000
 
 
 def lookup_join(facts: DataFrame, per_key: DataFrame, key: str, payload: list[str], rows: str,
-                spread: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+                hot_rows: int = HOT_ROWS, path: str | None = None) -> DataFrame:
     """Left join of `facts` with `per_key` (unique on `key`), adding the `payload` columns.
 
-    `rows` names the column of `per_key` that holds the number of fact rows of the key. Hot keys
-    are answered by a broadcast join with no shuffle of their rows; the other rows are shuffled on
-    the key, and the answered rows ride along under `spread`, a per-row value, so that they fall
-    evenly over the partitions and match nothing.
+    `rows` names the column of `per_key` that holds the number of fact rows of the key; keys that
+    may be hot must be in it. The table per key is written once (to `path`, if given). If it has hot keys, their facts are
+    answered by a broadcast join where they are; all other facts are shuffled on the key.
     """
-    # both branches read the same aggregate, so its shuffle runs once
-    present = per_key.filter(F.col(key).isNotNull()).select(
-        F.col(key).cast("string").alias("_key"), F.col(rows).alias("_rows"), F.struct(*payload).alias("_payload"))
-    hot = present.filter(F.col("_rows") > hot_rows).select(
-        F.col("_key").alias("_hot_key"), F.col("_payload").alias("_hot"))
-    cold = present.filter(F.col("_rows") <= hot_rows).select(
-        F.col("_key").alias("_cold_key"), F.lit(False).alias("_cold_answered"), F.col("_payload").alias("_cold"))
-    fact_key = F.col(key).cast("string")
-    marked = (
-        facts.join(F.broadcast(hot), fact_key == F.col("_hot_key"), "left")
-        .withColumn("_answered", F.col("_hot_key").isNotNull())
-        .withColumn("_join_key", F.when(F.col("_answered"), spread.cast("string")).otherwise(fact_key))
-    )
-    joined = marked.join(
-        cold, (F.col("_join_key") == F.col("_cold_key")) & (F.col("_answered") == F.col("_cold_answered")), "left")
-    filled = F.coalesce(F.col("_hot"), F.col("_cold"))
-    return joined.select(*[facts[c] for c in facts.columns], *[filled[c].alias(c) for c in payload])
+    per_key = per_key.filter(F.col(key).isNotNull())
+    present = written(per_key.select(F.col(key).alias("_key"), F.col(rows).alias("_rows"), *payload), "per-key", path)
+    matches = F.col(key) == F.col("_key")
+    columns = [*facts.columns, *payload]
+    hot = present.filter(F.col("_rows") > hot_rows)
+    if hot.isEmpty():
+        return facts.join(present, matches, "left").select(*columns)
+    hot = F.broadcast(hot)
+    answered = facts.join(hot, matches).select(*columns)
+    others = facts.join(hot.select("_key"), matches, "left_anti").join(present, matches, "left").select(*columns)
+    return answered.unionByName(others)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from runlens.plans.registry import query
+from runlens.session import written
 
 RETURNED = "l_returnflag = 'R'"
 
@@ -579,7 +580,8 @@ def w30(t):
     s = sales(t, line_cols=["l_partkey", "l_shipdate", "l_extendedprice"])
     frequent = t["lineitem"].groupBy("l_partkey", year().alias("y"), month().alias("m")).agg(
         count().alias("n")).filter("n >= 3").select("l_partkey").distinct()
-    spent = s.groupBy("o_custkey").agg(money(F.col("l_extendedprice")).alias("total"))
+    # read for its maximum and for the customers near it
+    spent = written(s.groupBy("o_custkey").agg(money(F.col("l_extendedprice")).alias("total")), "spent")
     best = spent.filter(F.col("total") > 0.6 * spent.agg(F.max("total")).scalar())
     return (s.join(frequent, "l_partkey", "left_semi").join(best, "o_custkey", "left_semi")
             .groupBy(year().alias("year")).agg(money(F.col("l_extendedprice")).alias("revenue"), count().alias("n_lines")))

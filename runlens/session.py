@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join side even when the aggregation above then needs its own exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # hash instead of sort where every partition of the smaller side is known to be small
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # a key that occurs twice keeps its last value, in every map that is built or merged
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
@@ -84,12 +86,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back: it is computed once, whatever reads it.
 
     Unlike cached blocks the files outlive lost executors, and unlike `checkpoint()` the plan runs
-    a single time and later readers fetch only the columns they need.
+    a single time and later readers fetch only the columns they need. With a `path` of its own the
+    table replaces the one written there before, which suits work that is repeated for ever.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    target = path or scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)

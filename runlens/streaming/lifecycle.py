@@ -17,6 +17,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from runlens.functions import events as ev
 from runlens.operators.lifecycle import loss_attribution
 from runlens.operators.skew import lookup_join
+from runlens.session import written
 
 FIRST_RECORDED = "job_id string, first_record_id long"
 FIRST_TERMINAL = ("job_id string, message_id long, ts timestamp_ntz, job_set string, loss_kind string, code int, "
@@ -33,6 +34,7 @@ class FirstTerminals:
 
     def __init__(self, path: str):
         self.recorded, self.outcomes = f"{path}/recorded", f"{path}/outcomes"
+        self.batch_jobs, self.batch_keys = f"{path}/batch-jobs", f"{path}/batch-keys"
 
     def _before(self, spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
         if batch_id == 0:
@@ -49,13 +51,13 @@ class FirstTerminals:
         in_batch = fresh.groupBy("job_id").agg(
             F.min(F.when(ev.is_recording(kind), F.col("message_id"))).alias("new_id"), F.count(F.lit(1)).alias("n_events"))
         # an earlier batch wins whatever the ids: it arrived first
-        per_job = in_batch.join(known, "job_id", "left").select(
-            "job_id", "n_events", "new_id", F.col("first_record_id").alias("old_id"))
+        per_job = written(in_batch.join(known, "job_id", "left").select(
+            "job_id", "n_events", "new_id", F.col("first_record_id").alias("old_id")), "batch-jobs", self.batch_jobs)
         (per_job.filter("old_id is null and new_id is not null")
          .select("job_id", F.col("new_id").alias("first_record_id"))
          .write.mode("overwrite").parquet(f"{self.recorded}/batch={batch_id}"))
 
-        flagged = lookup_join(fresh, per_job, "job_id", ["old_id", "new_id"], "n_events", spread=F.col("message_id"))
+        flagged = lookup_join(fresh, per_job, "job_id", ["old_id", "new_id"], "n_events", path=self.batch_keys)
         counts = F.col("old_id").isNotNull() | (F.col("message_id") >= F.col("new_id"))
         losses = loss_attribution(flagged.filter(counts))
         payload = F.struct("message_id", "ts", "job_set", "loss_kind", "code", "app_caused", "message")
@@ -169,14 +171,15 @@ def stream_watch_timeout(events: DataFrame, limit_ms: int, delay: str = "0 secon
 
 def stream_state_counts(events: DataFrame, window: str = "1 day", delay: str = "1 hour") -> DataFrame:
     """Events and losses per effective kind and tumbling window, when the window is closed."""
+    kind = F.col("kind")
     full = ev.failure_reason(F.col("reason"), F.col("cause"))
-    loss = ev.loss(F.col("kind"), F.col("reason"), F.col("cause"), F.col("exit_codes"), F.col("job_id"))
     rows = events.select(
         F.col("ts").cast("timestamp").alias("event_time"),
-        F.when(F.col("kind") == "failed", ev.effective_kind(F.col("kind"), full)).otherwise(F.col("kind")).alias("kind"),
-        loss["app_caused"].alias("app_caused"))
+        F.when(kind == "failed", ev.effective_kind(kind, full)).otherwise(kind).alias("kind"), "exit_codes")
+    by_app = ev.app_caused(kind, ev.loss_code(kind, F.col("exit_codes")))
     counts = rows.withWatermark("event_time", delay).groupBy(F.window("event_time", window), "kind").agg(
-        F.count(F.lit(1)).alias("n_events"), F.count("app_caused").alias("n_losses"), F.count_if("app_caused").alias("n_app_caused"))
+        F.count(F.lit(1)).alias("n_events"), F.count_if(ev.is_terminal(kind)).alias("n_losses"),
+        F.count_if(by_app).alias("n_app_caused"))
     return counts.select(F.unix_millis("window.start").alias("window_ms"), "kind", "n_events", "n_losses", "n_app_caused")
 
 

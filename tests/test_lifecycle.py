@@ -127,17 +127,10 @@ def test_lookup_join_keeps_null_and_unmatched_keys(spark):
     per_key = spark.createDataFrame([("a", 10, 2), ("b", 20, 1)], "key string, value long, n long")
     want = [(1, "a", 10), (2, "a", 10), (3, "b", 20), (4, None, None), (5, "c", None)]
     for hot in (0, 1, 100):
-        got = lookup_join(facts, per_key, "key", ["value"], "n", F.col("id"), hot_rows=hot)
+        got = lookup_join(facts, per_key, "key", ["value"], "n", hot_rows=hot)
         assert sorted((r["id"], r["key"], r["value"]) for r in got.collect()) == want
 
 
-def test_lookup_join_ignores_a_key_that_equals_a_spread_value(spark):
-    facts = spark.createDataFrame([(7, "hot"), (8, "7")], "id long, key string")
-    per_key = spark.createDataFrame([("hot", 1, 9), ("7", 2, 1)], "key string, value long, n long")
-    got = lookup_join(facts, per_key, "key", ["value"], "n", F.col("id"), hot_rows=5)
-    assert sorted((r["id"], r["value"]) for r in got.collect()) == [(7, 1), (8, 2)]
-
-
 def test_running_totals_do_not_depend_on_bucket_width(spark):
     df = spark.range(0, 500, 1, 4).selectExpr("id * 7 % 503 as at", "if(id % 3 = 0, 'hot', concat('k', id % 5)) as key", "id % 11 - 5 as v")
     whole = sorted(df.selectExpr("key", "at", "sum(v) over (partition by key order by at) as t").collect())
