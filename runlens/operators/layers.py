@@ -16,10 +16,11 @@ DEFAULT_UI_PORT = 4040
 DEFAULT_MEMORY = "1Gi"
 DEFAULT_CORES = "1"
 
-# Typed settings (key, type, unit, default, check).
+# Typed settings (key, type, unit, default, check). The keys are the names after the
+# prefix of a site; pass a list of one's own to `typed_settings` for other names.
 SETTINGS = [
     ("executor.connectionTimeout", "time", "s", "300s", "positive"),
-    ("lookouturl", "text", "", "http://localhost:30000", "http"),
+    ("dashboardUrl", "text", "", "http://localhost:30000", "http"),
     ("health.checkTimeout", "time", "s", "5", "positive"),
     ("driver.watchEnabled", "boolean", "", "true", ""),
     ("driver.watchTimeout", "time", "s", "0s", "non_negative"),
@@ -191,13 +192,14 @@ def auth_rules(apps: DataFrame) -> DataFrame:
     return explode_violations(apps.filter("auth_enabled"), violations(rules))
 
 
-def typed_settings(entries: DataFrame, owner: str = "app_id", order: str = "pos") -> DataFrame:
+def typed_settings(entries: DataFrame, owner: str = "app_id", order: str = "pos",
+                   settings: list[tuple] = SETTINGS) -> DataFrame:
     """All settings of each owner: last text given or the default, its typed value and validity.
 
     The last text per owner and setting is combined map-side; after that an owner has at most one
     entry per setting, which makes a small map.
     """
-    known = F.when(F.col("key").isin([key for key, *_ in SETTINGS]) & F.col("value").isNotNull(), F.col("key"))
+    known = F.when(F.col("key").isin([key for key, *_ in settings]) & F.col("value").isNotNull(), F.col("key"))
     last = entries.groupBy(owner, known.alias("key")).agg(F.max_by("value", order).alias("value"))
     pair = F.when(F.col("key").isNotNull(), F.struct("key", "value"))
     given = last.groupBy(owner).agg(F.map_from_entries(F.collect_list(pair)).alias("given"))
@@ -208,8 +210,8 @@ def typed_settings(entries: DataFrame, owner: str = "app_id", order: str = "pos"
                         F.coalesce(value, F.lit(default).cast("string")).alias("text"),
                         F.lit(kind).alias("kind"), F.lit(unit).alias("unit"), F.lit(check).alias("check"))
 
-    settings = F.explode(F.array(*[setting(*s) for s in SETTINGS]))
-    long = given.select(owner, settings.alias("s")).select(owner, "s.*")
+    rows = F.explode(F.array(*[setting(*s) for s in settings]))
+    long = given.select(owner, rows.alias("s")).select(owner, "s.*")
     text, kind, check = F.col("text"), F.col("kind"), F.col("check")
     word = F.lower(F.trim(text))
     number = (

@@ -363,7 +363,7 @@ _SETTING_KEYS = [key for key, *_ in ly.SETTINGS]
 SETTING_KEY = "CASE CAST(o_orderkey % 16 AS INT) " + " ".join(
     f"WHEN {i} THEN '{key}'" for i, key in enumerate(_SETTING_KEYS)) + " ELSE 'other.setting' END"
 SETTING_VALUE = """CASE CAST(o_orderkey % 11 AS INT) WHEN 0 THEN concat(o_custkey % 90, 's') WHEN 1 THEN concat(o_custkey % 50, 'min') WHEN 2 THEN concat(o_custkey)
-  WHEN 3 THEN concat('-', o_custkey % 5) WHEN 4 THEN 'true' WHEN 5 THEN 'FALSE' WHEN 6 THEN 'http://lookout:8080' WHEN 7 THEN 'junk' WHEN 8 THEN concat(o_custkey % 4000, 'ms')
+  WHEN 3 THEN concat('-', o_custkey % 5) WHEN 4 THEN 'true' WHEN 5 THEN 'FALSE' WHEN 6 THEN 'http://dashboard:8080' WHEN 7 THEN 'junk' WHEN 8 THEN concat(o_custkey % 4000, 'ms')
   WHEN 9 THEN NULL ELSE '0' END"""
 
 

@@ -244,3 +244,37 @@ def test_merge_is_associative_without_clashes(a, b, c):
     if same_shape(a, b) and same_shape(b, c) and same_shape(a, c):
         m = docs.merge_values
         assert m(m(a, b), c) == m(a, m(b, c))
+
+
+def test_typed_settings(spark):
+    rows_in = [(1, 1, "allocation.batchSize", "5"), (1, 2, "allocation.batchSize", " 7 "), (1, 3, "killGracePeriod", "2s"), (1, 4, "driver.watchEnabled", "False"),
+               (2, 1, "allocation.batchSize", "0"), (2, 2, "killGracePeriod", "soon"), (2, 3, "dashboardUrl", "ftp://x"), (2, 4, "scheduling.priority", "-1"),
+               (2, 5, "runAsUser", "me"), (2, 6, "driver.watchTimeout", "0"), (3, 1, "unrelated", "x")]
+    df = spark.createDataFrame(rows_in, "app_id int, pos int, key string, value string")
+    got = {(r["app_id"], r["key"]): (r["number"], r["valid"], r["given"]) for r in ly.typed_settings(df).collect()}
+    assert len(got) == 3 * len(ly.SETTINGS)
+    assert got[1, "allocation.batchSize"] == (7.0, True, True) and got[1, "killGracePeriod"] == (2000.0, True, True)
+    assert got[1, "driver.watchEnabled"] == (0.0, True, True) and got[1, "scheduling.priority"] == (None, True, False)
+    assert [got[2, k][1] for k in ("allocation.batchSize", "killGracePeriod", "dashboardUrl", "scheduling.priority", "runAsUser", "driver.watchTimeout")] == [
+        False, False, False, False, False, True]
+    assert got[3, "allocation.batchSize"] == (10.0, True, False) and got[3, "executor.connectionTimeout"] == (300.0, True, False)
+
+
+def test_resolved_resources(spark):
+    schema = "app_id int, " + ", ".join(f"{layer}_{role}_{r}_{b} string" for layer in ("cli", "tpl") for role in ("driver", "executor") for r in ("memory", "cpu") for b in ("limit", "request"))
+    data = [(1, "4Gi", None, None, "2", *[None] * 4, "1Mi", "2Mi", None, None, *["t"] * 4)]
+    got = {r["role"]: r for r in ly.resolve_resources(spark.createDataFrame(data, schema)).collect()}
+    assert [got["driver"][c] for c in ("memory_limit", "memory_request", "cpu_limit", "cpu_request")] == ["4Gi", "2Mi", "1", "2"]
+    assert [got["executor"][c] for c in ("memory_limit", "cpu_request")] == ["t", "t"]
+    maps = spark.createDataFrame([({"memory": "2Gi", "gpu": "1"},), (None,)], "m map<string,string>")
+    out = [r["r"] for r in maps.select(ly.resolved_resources(F.col("m"), F.lit(None).cast("string"), F.lit("3")).alias("r")).collect()]
+    assert out == [{"memory": "2Gi", "cpu": "3", "gpu": "1"}, {"memory": "1Gi", "cpu": "3"}]
+
+
+def test_rules_list_every_violation(spark):
+    data = [(1, "", None, None, 1, 2, "", None, ""), (2, None, "d", None, 0, 1, "q", None, None), (3, "i", None, None, 0, 0, None, "q", "j")]
+    df = spark.createDataFrame(data, "app_id int, cli_image string, driver_image string, executor_image string, executor_ingresses int, driver_ingresses int, cli_queue string, tpl_queue string, cli_job_set string")
+    got = {}
+    for r in ly.required_rules(df).collect():
+        got.setdefault(r["app_id"], []).append(r["rule_no"])
+    assert {k: sorted(v) for k, v in got.items()} == {1: [1, 3, 4, 5, 6], 2: [2]}
