@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -34,8 +35,25 @@ CLUSTER_CONF = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="runlens-package-"), "runlens")
+        context.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package)))
+        # streams start a Python process of their own beside the driver, which does not get that file
+        paths = [p for p in (context.environment.get("PYTHONPATH"), os.path.dirname(package)) if p]
+        context.environment["PYTHONPATH"] = os.pathsep.join(paths)
+        _shipped.add(context.applicationId)
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the runtime settings to an existing session and send the package to its workers."""
+    ship(spark)
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
