@@ -175,11 +175,12 @@ def conf_tokens(t):
     return t["customer"].select(F.col("c_custkey").alias("app_id"), F.explode(tx.conf_tokens(text)).alias("key", "value"))
 
 
-@query("conf_dir_scan")
+@query("conf_dir_scan", f"""SELECT c_mktsegment AS app, CAST(sum(length({KV_TEXT}) + 1) AS BIGINT) AS n_chars FROM customer GROUP BY c_mktsegment""")
 def conf_dir(t):
     path = scratch_path(t.spark, "conf")
     t["customer"].select(F.col("c_mktsegment").alias("app"), F.expr(KV_TEXT).alias("value")).write.partitionBy("app").text(path)
-    return conf_dir_scan(t.spark, path, "conf").select("app", "key", F.length("content").alias("n_chars"))
+    files = conf_dir_scan(t.spark, path, "conf").filter(F.col("key").startswith("conf/part-"))
+    return files.groupBy(F.regexp_replace("app", "^app=", "").alias("app")).agg(F.sum(F.length("content")).alias("n_chars"))
 
 
 # ---- layers -----------------------------------------------------------------------------------
