@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from runlens.llm import chat, decontaminate, exact_dedup
+from runlens.llm import chat, decontaminate, exact_dedup, licenses, pii, secrets
 from runlens.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -64,3 +64,45 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
   sha256(t) AS text_sha256 FROM t WINDOW w AS (PARTITION BY t)""")
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.classify(table(spark, sf_dir, "documents"))
+
+
+# the key of the registered query; a user passes one of their own
+PII_KEY = "runlens-demo-key"
+
+
+@query("op1_secret_scans")
+def op1_secret_scans(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+_SPELT = "lower_lines"
+for _old, _new in licenses.SPELLINGS:
+    _SPELT = f"regexp_replace({_SPELT}, '\\b{_old}\\b', '{_new}', 'g')"
+_KNOWN = ", ".join("('" + a + "', '" + b.replace("'", "''").replace("\n", "' || chr(10) || '") + "')" for a, b in licenses.KNOWN)
+
+
+def _canonical(source: str, extra: str) -> str:
+    low = f"{_LOWERED}"
+    plain = rf"regexp_replace(regexp_replace({low}, '{licenses.COPYRIGHT}', '', 'g'), '[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g')"
+    return f"(SELECT *, {_SPELT} AS lines FROM (SELECT {extra}, text, {plain} AS lower_lines FROM {source}))"
+
+
+@query("op7_license_scans", rf"""
+WITH k AS (SELECT DISTINCT license, sha256(trim(regexp_replace(lines, '[ \n]+', ' ', 'g'), ' ')) AS digest
+  FROM {_canonical(f"(VALUES {_KNOWN}) v(license, text)", "license")}),
+d AS (SELECT doc_id, lines, sha256(trim(regexp_replace(lines, '[ \n]+', ' ', 'g'), ' ')) AS digest,
+  len(regexp_extract_all({_LOWERED}, '{licenses.COPYRIGHT}')) AS n_copyright FROM {_canonical("documents", "doc_id")}),
+l AS (SELECT doc_id, license FROM (SELECT doc_id, sha256(trim(unnest(string_split(lines, chr(10))), ' ')) AS digest FROM d) JOIN k USING (digest)),
+w AS (SELECT doc_id, license FROM d JOIN k USING (digest)),
+a AS (SELECT doc_id, string_agg(license, ',' ORDER BY license) AS licenses
+  FROM (SELECT * FROM l UNION SELECT * FROM w) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM l GROUP BY doc_id)
+SELECT d.doc_id, w.license, coalesce(n, 0) AS n_notices, coalesce(licenses, '') AS licenses, n_copyright, digest AS text_sha256
+FROM d LEFT JOIN w USING (doc_id) LEFT JOIN a USING (doc_id) LEFT JOIN n USING (doc_id)""")
+def op7_license_scans(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op10_pii")
+def op10_pii(spark, sf_dir):
+    return pii.pseudonymised(table(spark, sf_dir, "documents"), PII_KEY)
