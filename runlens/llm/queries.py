@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from runlens.llm import chat, decontaminate, exact_dedup, licenses, pii, secrets
+from runlens.llm import chat, decontaminate, exact_dedup, language, licenses, packing, pii, quality, secrets
 from runlens.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -106,3 +106,18 @@ def op7_license_scans(spark, sf_dir):
 @query("op10_pii")
 def op10_pii(spark, sf_dir):
     return pii.pseudonymised(table(spark, sf_dir, "documents"), PII_KEY)
+
+
+@query("op5_quality_classifier")
+def op5_quality_classifier(spark, sf_dir):
+    return quality.learn_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_packing")
+def op8_packing(spark, sf_dir):
+    return packing.packed_pieces(table(spark, sf_dir, "documents"))
+
+
+@query("op9_language_id")
+def op9_language_id(spark, sf_dir):
+    return language.learn_and_identify(table(spark, sf_dir, "documents"))
