@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from runlens.llm import chat, decontaminate, exact_dedup, language, licenses, packing, pii, quality, secrets
+from runlens.llm import chat, decontaminate, exact_dedup, jaccard, language, licenses, packing, pii, quality, secrets
 from runlens.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -121,3 +121,8 @@ def op8_packing(spark, sf_dir):
 @query("op9_language_id")
 def op9_language_id(spark, sf_dir):
     return language.learn_and_identify(table(spark, sf_dir, "documents"))
+
+
+@query("op3_ngram_jaccard_join")
+def op3_ngram_jaccard_join(spark, sf_dir):
+    return jaccard.join(table(spark, sf_dir, "documents"))
