@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from runlens.operators.scans import sorted_positions
 from runlens.sources.results import write_result_lines
@@ -59,10 +59,17 @@ def keys_only(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def natural_key(text: Column) -> Column:
-    """Sort key that orders digit runs as numbers: q1, q2, q10, q14a, q14b, ss_max."""
+    """Sort key that orders digit runs as numbers, of any length: q1, q2, q10, q14a, q14b, ss_max."""
     pieces = F.regexp_extract_all(text, F.lit("(\\d+|\\D+)"), F.lit(1))
-    return F.transform(pieces, lambda p: F.struct(
-        F.when(p.rlike("\\A[0-9]{1,38}\\z"), p.cast("decimal(38,0)")).otherwise(-1).alias("number"), p.alias("text")))
+
+    def key(piece: Column) -> Column:
+        # of two numbers without leading zeros the longer one is larger
+        digits = F.regexp_replace(piece, "\\A0+(?=[0-9])", "")
+        number = piece.rlike("\\A[0-9]+\\z")
+        return F.struct(F.when(number, F.length(digits)).otherwise(-1).alias("length"),
+                        F.when(number, digits).otherwise("").alias("number"), piece.alias("text"))
+
+    return F.transform(pieces, key)
 
 
 def natural_sort(df: DataFrame, column: str = "query") -> DataFrame:
@@ -104,20 +111,53 @@ def run_summary(first: DataFrame, second: DataFrame) -> DataFrame:
     )
 
 
+def canonical_text(column: Column, kind: T.DataType) -> Column:
+    """A value as text that other engines can make too: numbers with a fraction have six digits of it."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.coalesce(column.try_cast("decimal(38,6)").cast("string"), column.cast("string"))
+    if isinstance(kind, T.DecimalType):
+        return column.cast("decimal(38,6)").cast("string")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    if isinstance(kind, T.BinaryType):
+        return F.hex(column)
+    if isinstance(kind, T.MapType):  # entries in the order of their keys
+        return F.to_json(F.array_sort(F.map_entries(column)))
+    if isinstance(kind, (T.ArrayType, T.StructType)):
+        return F.to_json(column)
+    return column.cast("string")
+
+
 def result_hash(df: DataFrame) -> DataFrame:
-    """Order-insensitive hash of a query result: (n_rows, result_hash)."""
-    total = F.coalesce(F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")), F.lit(0))
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), total.alias("total")).select(
-        "n_rows", F.upper(F.sha1(F.concat_ws(":", F.col("n_rows"), F.col("total")))).substr(1, 12)
-        .alias("result_hash"))
+    """Order-insensitive hash of a query result: (n_rows, result_hash).
+
+    A row is the text of its columns in the order of their names, each between marks of its own; a null has another mark than any
+    value. The first 60 bits of the rows' MD5 are added up, so repeated rows count.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    texts = [F.coalesce(F.concat(F.lit("="), canonical_text(F.col(f"`{c}`"), kinds[c])), F.lit("!")) for c in sorted(kinds)]
+    row = F.conv(F.substring(F.md5(F.concat_ws("\x1f", *texts)), 1, 15), 16, 10).cast("decimal(38,0)")
+    return df.select(row.alias("row")).agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum("row"), F.lit(0)).alias("total")).select(
+        "n_rows", F.upper(F.md5(F.concat_ws(":", F.col("n_rows"), F.col("total").cast("decimal(38,0)")))).substr(1, 12).alias("result_hash"))
+
+
+RUNS = 3
+
 
+def run_suite(spark: SparkSession, named: dict[str, Callable[[], DataFrame]], path: str, runs: int = RUNS) -> DataFrame:
+    """Run queries one after another, `runs` times each, and append a result line with all times for each to `path`.
 
-def run_suite(spark: SparkSession, named: dict[str, Callable[[], DataFrame]], path: str) -> None:
-    """Run queries one after another and append a result line for each to `path`."""
+    Returns (at, query, n_rows, seconds, result_hash); seconds are those of the best run. Runs with different hashes are marked.
+    """
     rows = []
     for at, (name, build) in enumerate(named.items()):
-        start = time.perf_counter()
-        hashed = result_hash(build()).first()
-        rows.append((at, name, round(time.perf_counter() - start, 3), hashed["result_hash"]))
-    lines = spark.createDataFrame(rows, "at int, query string, seconds double, result_hash string")
+        times, found = [], []
+        for _ in range(runs):
+            start = time.perf_counter()
+            found.append(result_hash(build()).first())
+            times.append(round(time.perf_counter() - start, 3))
+        same = len({r["result_hash"] for r in found}) == 1
+        rows.append((at, name, found[0]["n_rows"], min(times), times, found[0]["result_hash"] if same else HASH_SENTINEL))
+    lines = spark.createDataFrame(rows, "at int, query string, n_rows long, seconds double, times array<double>, result_hash string")
     write_result_lines(lines, path, "at")
+    return lines.drop("times")

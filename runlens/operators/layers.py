@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from runlens.functions.capacity import violations
-from runlens.functions.text import duration, to_long
+from runlens.functions.text import duration, entries_valid, key_valid, kv_entries, path_source, to_long
 
 # Defaults, and values that count as unset in the final merge.
 DEFAULT_NAMESPACE = "default"
@@ -13,28 +13,10 @@ DEFAULT_PRIORITY = 0.0
 DEFAULT_USER = 185
 DEFAULT_TIMEOUT_S = 300
 DEFAULT_UI_PORT = 4040
+DEFAULT_PROXY_PORT = 4180
 DEFAULT_MEMORY = "1Gi"
 DEFAULT_CORES = "1"
 
-# Typed settings (key, type, unit, default, check). The keys are the names after the
-# prefix of a site; pass a list of one's own to `typed_settings` for other names.
-SETTINGS = [
-    ("executor.connectionTimeout", "time", "s", "300s", "positive"),
-    ("dashboardUrl", "text", "", "http://localhost:30000", "http"),
-    ("health.checkTimeout", "time", "s", "5", "positive"),
-    ("driver.watchEnabled", "boolean", "", "true", ""),
-    ("driver.watchTimeout", "time", "s", "0s", "non_negative"),
-    ("scheduling.priority", "number", "", None, "non_negative"),
-    ("killGracePeriod", "time", "ms", "5s", "positive"),
-    ("allocation.batchSize", "integer", "", "10", "positive"),
-    ("allocation.maxPendingJobs", "integer", "", "100", "positive"),
-    ("allocation.checkInterval", "time", "ms", "10s", "positive"),
-    ("eventWatcher.useTls", "boolean", "", "false", ""),
-    ("executor.preemptionGracePeriod", "time", "s", "180", "positive"),
-    ("runAsUser", "integer", "", None, ""),
-    ("deleteExecutors", "boolean", "", "true", ""),
-]
-
 
 def merge_layers(entries: DataFrame, keys: list[str], layer: str = "layer", value: str = "value") -> DataFrame:
     """Long form: per `keys` the value of the highest layer that has the key. Combines map-side."""
@@ -53,9 +35,16 @@ def merge_by_name(items: DataFrame, owner: str = "app_id") -> DataFrame:
             .groupBy(owner, "name").agg(F.max_by("value", F.struct("layer", "pos")).alias("value")))
 
 
-def first_capture(attributes: DataFrame, owner: str = "app_id", order: str = "message_id") -> DataFrame:
-    """First (label, value) with both parts non-empty per owner."""
-    return (attributes.filter((F.col("label") != "") & (F.col("value") != ""))
+def first_capture(attributes: DataFrame, owner: str = "app_id", order: str = "message_id",
+                  configured: Column | None = None) -> DataFrame:
+    """First (label, value) with both parts non-empty per owner.
+
+    `configured` is the uniformity label set for the owner: where it is missing or empty, attributes are ignored.
+    """
+    wanted = (F.col("label") != "") & (F.col("value") != "")
+    if configured is not None:
+        wanted = wanted & (configured != "")
+    return (attributes.filter(wanted)
             .groupBy(owner).agg(F.min_by(F.struct("label", "value"), order).alias("c")).select(owner, "c.*"))
 
 
@@ -133,7 +122,9 @@ def resolve_job(apps: DataFrame) -> DataFrame:
 
 
 def ui_port(proxy_enabled: Column, proxy_port: Column, configured: Column) -> Column:
-    return F.coalesce(F.when(proxy_enabled, proxy_port), configured, F.lit(DEFAULT_UI_PORT))
+    """The proxy's port where there is a proxy, else that of the UI; each with its own default."""
+    return F.when(proxy_enabled, F.coalesce(proxy_port, F.lit(DEFAULT_PROXY_PORT))).otherwise(
+        F.coalesce(configured, F.lit(DEFAULT_UI_PORT)))
 
 
 def resolve_ingress(apps: DataFrame) -> DataFrame:
@@ -192,12 +183,45 @@ def auth_rules(apps: DataFrame) -> DataFrame:
     return explode_violations(apps.filter("auth_enabled"), violations(rules))
 
 
-def typed_settings(entries: DataFrame, owner: str = "app_id", order: str = "pos",
-                   settings: list[tuple] = SETTINGS) -> DataFrame:
+INT_MAX = 2**31 - 1
+
+
+def _typed(kind: str, unit: str, text: Column) -> Column:
+    """The number a text stands for, null where it does not have the form of its kind."""
+    word = F.lower(F.trim(text))
+    if kind == "time":
+        return duration(text, F.lit(unit)).cast("double")
+    if kind in ("integer", "long"):
+        whole = to_long(F.trim(text))
+        return (F.when(whole.between(-INT_MAX - 1, INT_MAX), whole) if kind == "integer" else whole).cast("double")
+    if kind == "number":
+        return F.when(text.rlike("[0-9]|NaN|Infinity"), text.try_cast("double"))
+    if kind == "boolean":
+        return F.when(word == "true", 1.0).when(word == "false", 0.0)
+    return F.lit(None).cast("double")
+
+
+def _checked(kind: str, check: str, text: Column, number: Column) -> Column:
+    """Whether a given text passes the check of its setting."""
+    if kind == "text":
+        return {
+            "": F.lit(True), "http": text.startswith("http"), "nonempty": text != "", "path": path_source(text) != "invalid",
+            "label_key": (text == "") | key_valid(text), "labels": entries_valid(kv_entries(text)),
+            "annotations": entries_valid(kv_entries(text, "annotation")),
+        }[check]
+    limits = {"": F.lit(True), "positive": number > 0, "non_negative": number >= 0}
+    # NaN is larger than any number
+    return F.coalesce(limits[check] & ~F.isnan(number), F.lit(False)) if check else number.isNotNull()
+
+
+def typed_settings(entries: DataFrame, settings: list[tuple], owner: str = "app_id", order: str = "pos") -> DataFrame:
     """All settings of each owner: last text given or the default, its typed value and validity.
 
+    `settings` lists (key, kind, unit, default, check): kinds are time, integer, long, number, boolean and text; checks
+    positive and non_negative for numbers; http, nonempty, path, label_key, labels and annotations for texts.
+
     The last text per owner and setting is combined map-side; after that an owner has at most one
-    entry per setting, which makes a small map.
+    entry per setting, which makes a small map. Each setting is evaluated by the rules of its own kind only.
     """
     known = F.when(F.col("key").isin([key for key, *_ in settings]) & F.col("value").isNotNull(), F.col("key"))
     last = entries.groupBy(owner, known.alias("key")).agg(F.max_by("value", order).alias("value"))
@@ -206,27 +230,11 @@ def typed_settings(entries: DataFrame, owner: str = "app_id", order: str = "pos"
 
     def setting(key: str, kind: str, unit: str, default: str | None, check: str) -> Column:
         value = F.try_element_at("given", F.lit(key))
-        return F.struct(F.lit(key).alias("key"), value.isNotNull().alias("given"),
-                        F.coalesce(value, F.lit(default).cast("string")).alias("text"),
-                        F.lit(kind).alias("kind"), F.lit(unit).alias("unit"), F.lit(check).alias("check"))
+        text = F.coalesce(value, F.lit(default).cast("string"))
+        number = _typed(kind, unit, text)
+        ok = F.when(text.isNull(), True).otherwise(_checked(kind, check, text, number))
+        return F.struct(F.lit(key).alias("key"), value.isNotNull().alias("given"), text.alias("text"),
+                        number.alias("number"), ok.alias("valid"))
 
     rows = F.explode(F.array(*[setting(*s) for s in settings]))
-    long = given.select(owner, rows.alias("s")).select(owner, "s.*")
-    text, kind, check = F.col("text"), F.col("kind"), F.col("check")
-    word = F.lower(F.trim(text))
-    number = (
-        F.when(kind == "time", duration(text, F.col("unit")).cast("double"))
-        .when(kind == "integer", to_long(F.trim(text)).cast("double"))
-        .when((kind == "number") & text.rlike("[0-9]|NaN|Infinity"), text.try_cast("double"))
-        .when((kind == "boolean") & (word == "true"), 1.0)
-        .when((kind == "boolean") & (word == "false"), 0.0)
-    )
-    ok = (
-        F.when(text.isNull(), True)
-        .when(kind == "text", text.startswith("http"))
-        .when(F.col("number").isNull(), False)
-        .when(check == "positive", F.col("number") > 0)
-        .when(check == "non_negative", F.col("number") >= 0)
-        .otherwise(True)
-    )
-    return long.withColumn("number", number).select(owner, "key", "given", "text", "number", ok.alias("valid"))
+    return given.select(owner, rows.alias("s")).select(owner, "s.*")

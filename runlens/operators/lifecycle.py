@@ -47,6 +47,30 @@ def exclude_drivers(events: DataFrame, drivers: DataFrame) -> DataFrame:
     return events.join(drivers.select("job_id"), "job_id", "left_anti")
 
 
+def executor_events(events: DataFrame, drivers: DataFrame | None = None, kills: DataFrame | None = None) -> DataFrame:
+    """What a scheduler records: no driver's events, and nothing that ends an executor after it was asked to be killed.
+
+    `kills` (job_id, kill_id) names requests by their place among the message ids. A request ends a recorded executor at once, as
+    `cancelled`; what its later terminal events say changes nothing. The result feeds every other operator of this module.
+    """
+    if drivers is not None:
+        events = exclude_drivers(events, drivers)
+    if kills is None:
+        return events
+    first = kills.groupBy("job_id").agg(F.min("kill_id").alias("kill_id"), F.count(F.lit(1)).alias("n_kills"))
+    sizes = events.groupBy("job_id").agg(
+        F.min(F.when(ev.is_recording(F.col("kind")), F.col("message_id"))).alias("record_id"), F.count(F.lit(1)).alias("n_events"))
+    # a request for a job that is not recorded yet does nothing
+    effective = sizes.join(first, "job_id").filter(F.col("kill_id") >= F.col("record_id"))
+    marked = lookup_join(events, effective.select("job_id", "kill_id", "n_events"), "job_id", ["kill_id"], "n_events")
+    late = ev.is_terminal(F.col("kind")) & (F.col("message_id") > F.col("kill_id"))
+    # the request takes the place of the message that shares its id or comes next: it is a row of its own
+    requests = effective.join(events.select("job_id", "job_set").distinct(), "job_id").select(
+        F.col("kill_id").alias("message_id"), "job_id", "job_set", F.lit("cancelled").alias("kind"))
+    kept = marked.filter(~F.coalesce(late, F.lit(False))).drop("kill_id")
+    return kept.unionByName(requests, allowMissingColumns=True)
+
+
 def loss_attribution(events: DataFrame) -> DataFrame:
     """Terminal events with (loss_kind, code, app_caused, message)."""
     kind, loss_kind = F.col("kind"), F.col("loss_kind")
@@ -164,13 +188,14 @@ def state_counts(events: DataFrame, by: list[str] | None = None) -> DataFrame:
     )
 
 
-def readiness(events: DataFrame, ratio: float = 0.8) -> DataFrame:
-    """Per job set: have enough of the submitted jobs registered (ever) to start?"""
-    per_set = job_states(events).groupBy("job_set").agg(
-        F.count_if(F.col("submit_id").isNotNull()).alias("initial"),
-        F.count_if(F.col("register_id").isNotNull()).alias("registered"),
-    )
-    return per_set.withColumn("ready", F.col("registered") >= F.col("initial") * F.lit(ratio))
+def readiness(events: DataFrame, initial: DataFrame, ratio: float = 0.8) -> DataFrame:
+    """Per job set of initial(job_set, initial): are enough of the configured executors registered now?
+
+    An executor that has ended counts no more, nor does one that registers after its end.
+    """
+    per_set = job_states(events).groupBy("job_set").agg(F.count_if("registered").alias("registered"))
+    found = initial.join(per_set, "job_set", "left").withColumn("registered", F.coalesce("registered", F.lit(0)))
+    return found.select("job_set", "initial", "registered", (F.col("registered") >= F.col("initial") * F.lit(ratio)).alias("ready"))
 
 
 def kill_noop(kills: DataFrame, events: DataFrame, grace_ms: int = 5_000) -> DataFrame:

@@ -75,17 +75,18 @@ def first_verdicts(pods: DataFrame, predicate: Column) -> DataFrame:
 
 
 def all_pass_min(pods: DataFrame, role: str, predicate: Column, what: str, least: int) -> DataFrame:
-    """Every pod ever seen passed and at least `least` did."""
+    """Every pod ever seen passed and at least `least` did; the message names the pods that failed, in order."""
     seen = first_verdicts(pods.filter(label(ROLE_LABEL) == role), predicate)
-    counts = seen.groupBy("test_id").agg(F.count_if("ok").alias("n_valid"), F.count_if(~F.col("ok")).alias("n_failed"))
+    counts = seen.groupBy("test_id").agg(F.count_if("ok").alias("n_valid"), F.count_if(~F.col("ok")).alias("n_failed"),
+                                         F.array_sort(F.collect_list(F.when(~F.col("ok"), F.col("pod")))).alias("names"))
     failed, valid = F.col("n_failed"), F.col("n_valid")
     message = (
-        F.when(failed > 0, F.concat(failed.cast("string"), F.lit(f" {role} pod(s) failed '{what}'")))
+        F.when(failed > 0, F.concat(failed.cast("string"), F.lit(f" {role} pod(s) failed '{what}': "), F.array_join("names", ", ")))
         .when(valid < least, F.concat(F.lit("Only seen "), valid.cast("string"),
                                       F.lit(f" valid {role} pod(s) so far, need at least {least}")))
         .otherwise("")
     )
-    return counts.select("*", ((failed == 0) & (valid >= least)).alias("passed"), message.alias("message"))
+    return counts.select("test_id", "n_valid", "n_failed", ((failed == 0) & (valid >= least)).alias("passed"), message.alias("message"))
 
 
 def map_text(entries: Column) -> Column:
@@ -94,18 +95,29 @@ def map_text(entries: Column) -> Column:
     return F.concat_ws(", ", F.transform(pairs, lambda e: F.concat(e["key"], F.lit("="), e["value"])))
 
 
-def selector_failures(pods: DataFrame, expected: Column) -> DataFrame:
-    """Pods whose node selector lacks expected entries, with a message each."""
-    missing = missing_entries(expected, F.col("node_selector"))
+# What a message says is missing, by the column that was checked.
+MISSING = {"node_selector": "missing node selectors", "annotations": "missing or incorrect annotations"}
+
+
+def entry_failures(pods: DataFrame, expected: Column, column: str = "node_selector") -> DataFrame:
+    """Pods whose map `column` lacks expected entries, one row and message each, whatever their number."""
+    missing = missing_entries(expected, F.col(column))
     bad = pods.withColumn("missing", missing).filter(F.size("missing") > 0)
     return bad.select("snapshot", label(TEST_LABEL).alias("test_id"), "pod_no", F.concat(
-        F.lit("Pod "), "pod", F.lit(" missing node selectors: "), map_text(F.col("missing"))).alias("message"))
+        F.lit("Pod "), "pod", F.lit(f" {MISSING[column]}: "), map_text(F.col("missing"))).alias("message"))
+
+
+def no_pods(checks: DataFrame, pods: DataFrame) -> DataFrame:
+    """checks(snapshot, test_id, role) that no pod matches, with the message that says so."""
+    selector = F.concat(F.lit(f"{ROLE_LABEL}="), "role", F.lit(f",{TEST_LABEL}="), "test_id")
+    return checks.join(pod_counts(pods), ["snapshot", "test_id", "role"], "left_anti").select(
+        "snapshot", "test_id", "role", F.concat(F.lit("No pods found with selector: "), selector).alias("message"))
 
 
 def join_messages(failures: DataFrame, keys: list[str], order: str, size: int = 1000, width: int = 100_000) -> DataFrame:
-    """Messages joined by `; ` in `order`, `size` to a row, so that no row holds an unbounded group.
+    """A report step, apart from the check itself: messages joined by `; ` in `order`, always `size` to a row.
 
-    Up to `size` failures give one row (`chunk` 0) with the whole text.
+    (`keys`, `chunk`) names a row, so that no row holds an unbounded group; chunk 0 is there for every group.
     """
     numbered = dense_rank_ids(written(failures, "failures"), keys, order, "_place", width)
     chunk = F.expr(f"(_place - 1) div {size}")

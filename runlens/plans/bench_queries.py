@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from runlens.operators import bench, partitions
 from runlens.operators.lookup import distribute_lookup
 from runlens.plans.fixtures import BENCH_CTE, bench_lines
-from runlens.plans.registry import QUERIES, query
+from runlens.plans.registry import ORACLES, QUERIES, query
 from runlens.session import scratch_path
 from runlens.sources.results import read_result_lines, write_result_lines
 
@@ -116,19 +116,32 @@ def lookup_distribute(t):
     return distribute_lookup(requests, lookup).select("request_id", "line_no", "line")
 
 
-@query("result_hash")
+_LINE_TEXT = " || chr(31) || ".join(f"coalesce('=' || {text}, '!')" for text in (
+    "l_discount::DECIMAL(38,6)::VARCHAR", "l_extendedprice::DECIMAL(38,6)::VARCHAR", "l_linenumber::VARCHAR", "l_linestatus",
+    "l_orderkey::VARCHAR", "l_partkey::VARCHAR", "l_quantity::DECIMAL(38,6)::VARCHAR", "l_returnflag",
+    "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%f')", "l_suppkey::VARCHAR", "l_tax::DECIMAL(38,6)::VARCHAR"))
+
+
+@query("result_hash", f"""SELECT n_rows, upper(substr(md5(n_rows || ':' || total), 1, 12)) AS result_hash FROM (
+  SELECT count(*) AS n_rows, coalesce(sum(('0x' || substr(md5({_LINE_TEXT}), 1, 15))::BIGINT), 0) AS total FROM lineitem)""")
 def result_hash(t):
     return bench.result_hash(t["lineitem"])
 
 
-SUITE = ["w01_star_top_groups", "w12_partition_share", "w16_rollup_averages"]
+def _suite() -> list[str]:
+    return [name for name in QUERIES if name.startswith("w")]
+
+
+def suite_sql() -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS query, count(*) AS n_rows FROM ({ORACLES[name]})" for name in _suite())
 
 
-@query("bench_suite_sink")
-def bench_suite_sink(t):
+def suite_run(t, runs: int = 1):
+    """The whole workload, run and written as result lines, read back beside the row counts."""
     path = scratch_path(t.spark, "bench-suite")
-    bench.run_suite(t.spark, {name: (lambda q=name: QUERIES[q](t)) for name in SUITE}, path)
-    return read_result_lines(t.spark, path).select("query", "seconds", "result_hash")
+    done = bench.run_suite(t.spark, {name: (lambda q=name: QUERIES[q](t)) for name in _suite()}, path, runs)
+    lines = read_result_lines(t.spark, path).select("query", "result_hash")
+    return lines.join(done.select("query", "n_rows", "result_hash"), ["query", "result_hash"]).select("query", "n_rows")
 
 
 SIDE = 1000
@@ -155,6 +168,11 @@ def map_in_pandas(t):
         partitions.map_batches(points, partitions.lattice_counts(SIDE), partitions.COUNTS))
 
 
-@query("map_partitions")
+@query("map_partitions", f"""SELECT CAST(sum(CASE WHEN x * x + y * y < {SIDE * SIDE} THEN 1 ELSE 0 END) AS BIGINT) AS hits,
+  count(*) AS total, 4.0::DOUBLE * sum(CASE WHEN x * x + y * y < {SIDE * SIDE} THEN 1 ELSE 0 END) / count(*) AS pi
+FROM (SELECT l_suppkey * 7907 % {SIDE} AS x, (l_orderkey * 104723 + l_linenumber * 31) % {SIDE} AS y FROM lineitem)""")
 def map_partitions(t):
-    return partitions.pi_estimate(t["orders"], "o_orderkey")
+    points = t["lineitem"].select((F.col("l_suppkey") * 7907 % SIDE).alias("x"),
+                                  ((F.col("l_orderkey") * 104723 + F.col("l_linenumber") * 31) % SIDE).alias("y"))
+    return partitions.pi_from_counts(
+        partitions.map_batches(points, partitions.lattice_counts(SIDE), partitions.COUNTS))

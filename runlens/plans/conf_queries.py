@@ -175,12 +175,16 @@ def conf_tokens(t):
     return t["customer"].select(F.col("c_custkey").alias("app_id"), F.explode(tx.conf_tokens(text)).alias("key", "value"))
 
 
-@query("conf_dir_scan", f"""SELECT c_mktsegment AS app, CAST(sum(length({KV_TEXT}) + 1) AS BIGINT) AS n_chars FROM customer GROUP BY c_mktsegment""")
+@query("conf_dir_scan", f"""SELECT c_mktsegment AS app, md5(string_agg({KV_TEXT}, chr(10) ORDER BY {KV_TEXT})) AS content_md5, count(*) AS n_lines
+FROM customer GROUP BY c_mktsegment""")
 def conf_dir(t):
     path = scratch_path(t.spark, "conf")
     t["customer"].select(F.col("c_mktsegment").alias("app"), F.expr(KV_TEXT).alias("value")).write.partitionBy("app").text(path)
     files = conf_dir_scan(t.spark, path, "conf").filter(F.col("key").startswith("conf/part-"))
-    return files.groupBy(F.regexp_replace("app", "^app=", "").alias("app")).agg(F.sum(F.length("content")).alias("n_chars"))
+    # the lines of an app may lie in several files, in any order
+    lines = files.select(F.regexp_replace("app", "^app=", "").alias("app"), F.explode(F.split(F.rtrim("content", F.lit("\n")), "\n")).alias("line"))
+    return lines.groupBy("app").agg(F.md5(F.array_join(F.array_sort(F.collect_list("line")), "\n")).alias("content_md5"),
+                                    F.count(F.lit(1)).alias("n_lines"))
 
 
 # ---- layers -----------------------------------------------------------------------------------
@@ -220,7 +224,7 @@ APP = {
     "cli_cert": "CASE WHEN o_orderkey % 15 = 0 THEN concat('cert-', o_custkey) END",
     "tpl_cert": "CASE WHEN o_orderkey % 20 = 0 THEN '' ELSE 'template-cert' END",
     "proxy_enabled": "o_orderkey % 5 = 0",
-    "proxy_port": "CAST(CASE WHEN o_orderkey % 10 = 0 THEN 4180 ELSE NULL END AS INT)",
+    "proxy_port": "CAST(CASE WHEN o_orderkey % 10 = 0 THEN 4280 ELSE NULL END AS INT)",
     "ui_port": "CAST(CASE WHEN o_orderkey % 7 = 0 THEN 4050 ELSE NULL END AS INT)",
     "auth_enabled": "o_orderkey % 2 = 0",
     "client_id": "CASE WHEN o_orderkey % 3 <> 0 THEN 'id' END",
@@ -312,7 +316,7 @@ i AS (SELECT * FROM apps WHERE cli_ingress OR tpl_ingress)
 SELECT app_id, CASE WHEN cli_ingress AND tpl_ingress THEN 'both=cli, cli=1, tpl=1' WHEN cli_ingress THEN 'both=cli, cli=1' ELSE 'both=tpl, tpl=1' END AS annotations,
   coalesce(CASE WHEN cli_ingress THEN cli_tls END, CASE WHEN tpl_ingress THEN tpl_tls END, false) AS tls,
   coalesce(CASE WHEN cli_ingress THEN cli_cert END, CASE WHEN tpl_ingress THEN tpl_cert END, '') AS cert,
-  coalesce(CASE WHEN proxy_enabled THEN proxy_port END, ui_port, 4040) AS port FROM i""")
+  CASE WHEN proxy_enabled THEN coalesce(proxy_port, 4180) ELSE coalesce(ui_port, 4040) END AS port FROM i""")
 def resolve_ingress(t):
     a = apps(t, "app_id", "cli_ingress", "tpl_ingress", "cli_tls", "tpl_tls", "cli_cert", "tpl_cert", "proxy_enabled", "proxy_port", "ui_port")
     a = a.withColumns({"tpl_annotations": F.expr("map('both', 'tpl', 'tpl', '1')"), "cli_annotations": F.expr("map('both', 'cli', 'cli', '1')")})
@@ -360,16 +364,40 @@ def auth_rules(t):
                               "login_url", "redeem_url", "validate_url", "jwks_url"))
 
 
-_SETTING_KEYS = [key for key, *_ in ly.SETTINGS]
-SETTING_KEY = "CASE CAST(o_orderkey % 16 AS INT) " + " ".join(
+# Settings of an example site: (key, kind, unit, default, check). The defaults and the checks.
+SETTINGS = [
+    ("executor.connectionTimeout", "time", "s", "300s", "positive"),
+    ("dashboardUrl", "text", "", "http://localhost:30000", "http"),
+    ("health.checkTimeout", "time", "s", "5", "positive"),
+    ("driver.watchEnabled", "boolean", "", "true", ""),
+    ("driver.watchTimeout", "time", "s", "0s", "non_negative"),
+    ("scheduling.priority", "number", "", None, "non_negative"),
+    ("killGracePeriod", "time", "ms", "5s", "positive"),
+    ("allocation.batchSize", "integer", "", "10", "positive"),
+    ("allocation.maxPendingJobs", "integer", "", "100", "positive"),
+    ("allocation.checkInterval", "time", "ms", "10s", "positive"),
+    ("eventWatcher.useTls", "boolean", "", "false", ""),
+    ("executor.preemptionGracePeriod", "time", "s", "180", "positive"),
+    ("runAsUser", "long", "", None, ""),
+    ("deleteExecutors", "boolean", "", "true", ""),
+    ("scheduling.initialPriorityClass", "text", "", None, "nonempty"),
+    ("scheduling.nodeUniformity", "text", "", None, "label_key"),
+    ("pod.labels", "text", "", None, "labels"),
+    ("driver.ingress.annotations", "text", "", None, "annotations"),
+    ("jobTemplate", "text", "", None, "path"),
+    ("proxy.port", "integer", "", "4180", "positive"),
+]
+_SETTING_KEYS = [key for key, *_ in SETTINGS]
+SETTING_KEY = f"CASE CAST(o_orderkey % {len(SETTINGS) + 2} AS INT) " + " ".join(
     f"WHEN {i} THEN '{key}'" for i, key in enumerate(_SETTING_KEYS)) + " ELSE 'other.setting' END"
-SETTING_VALUE = """CASE CAST(o_orderkey % 11 AS INT) WHEN 0 THEN concat(o_custkey % 90, 's') WHEN 1 THEN concat(o_custkey % 50, 'min') WHEN 2 THEN concat(o_custkey)
+SETTING_VALUE = """CASE CAST(o_orderkey % 17 AS INT) WHEN 0 THEN concat(o_custkey % 90, 's') WHEN 1 THEN concat(o_custkey % 50, 'min') WHEN 2 THEN concat(o_custkey)
   WHEN 3 THEN concat('-', o_custkey % 5) WHEN 4 THEN 'true' WHEN 5 THEN 'FALSE' WHEN 6 THEN 'http://dashboard:8080' WHEN 7 THEN 'junk' WHEN 8 THEN concat(o_custkey % 4000, 'ms')
-  WHEN 9 THEN NULL ELSE '0' END"""
+  WHEN 9 THEN NULL WHEN 10 THEN '' WHEN 11 THEN '3000000000' WHEN 12 THEN 'NaN' WHEN 13 THEN concat('a.b/c=', o_custkey, ',d=e') WHEN 14 THEN 'ftp://host/x'
+  WHEN 15 THEN concat('k=has blank ', o_custkey) ELSE '0' END"""
 
 
 def _setting_rows_sql() -> str:
-    rows = ", ".join(f"('{k}', '{kind}', '{unit}', {'NULL' if d is None else repr(d)}, '{check}')" for k, kind, unit, d, check in ly.SETTINGS)
+    rows = ", ".join(f"('{k}', '{kind}', '{unit}', {'NULL' if d is None else repr(d)}, '{check}')" for k, kind, unit, d, check in SETTINGS)
     return f"(VALUES {rows}) AS s(key, kind, unit, dflt, chk)"
 
 
@@ -380,15 +408,20 @@ full_ AS (SELECT a.app_id, s.*, last.value IS NOT NULL AS given, coalesce(last.v
 parts AS (SELECT *, regexp_full_match(text, '-?[0-9]+(us|ms|s|m|min|h|d)?') AS time_ok, TRY_CAST(regexp_extract(text, '^-?[0-9]+') AS BIGINT) AS n,
   coalesce(nullif(regexp_extract(text, '[a-z]*$'), ''), unit) AS u FROM full_),
 num AS (SELECT *, CASE WHEN kind = 'time' AND time_ok THEN CAST(floor(n * CASE u WHEN 'ms' THEN 1 WHEN 's' THEN 1000 WHEN 'min' THEN 60000 END / (CASE unit WHEN 's' THEN 1000 ELSE 1 END)) AS DOUBLE)
-  WHEN kind = 'integer' THEN CAST(TRY_CAST(text AS BIGINT) AS DOUBLE) WHEN kind = 'number' THEN TRY_CAST(text AS DOUBLE)
+  WHEN kind = 'integer' THEN CAST(TRY_CAST(text AS INTEGER) AS DOUBLE) WHEN kind = 'long' THEN CAST(TRY_CAST(text AS BIGINT) AS DOUBLE) WHEN kind = 'number' THEN TRY_CAST(text AS DOUBLE)
   WHEN kind = 'boolean' AND lower(text) = 'true' THEN 1.0 WHEN kind = 'boolean' AND lower(text) = 'false' THEN 0.0 END AS number FROM parts)
 SELECT app_id, key, given, coalesce(text, '') AS text, coalesce(number, -999.0) AS number,
-  CASE WHEN text IS NULL THEN true WHEN kind = 'text' THEN text LIKE 'http%' WHEN number IS NULL THEN false
+  CASE WHEN text IS NULL THEN true WHEN chk = 'http' THEN text LIKE 'http%' WHEN chk = 'nonempty' THEN text <> ''
+    WHEN chk = 'path' THEN text <> '' AND text NOT LIKE '%://%' OR text LIKE 'http://%'
+    WHEN chk = 'label_key' THEN text = '' OR {_key_ok('text')}
+    WHEN chk = 'labels' THEN text = '' OR text LIKE 'a.b/c=%'
+    WHEN chk = 'annotations' THEN text = '' OR text LIKE 'a.b/c=%' OR text LIKE 'k=%'
+    WHEN number IS NULL OR isnan(number) AND chk <> '' THEN false
     WHEN chk = 'positive' THEN number > 0 WHEN chk = 'non_negative' THEN number >= 0 ELSE true END AS valid FROM num""")
 def typed_conf(t):
     entries = t["orders"].select(F.col("o_custkey").alias("app_id"), F.col("o_orderkey").alias("pos"),
                                  F.expr(SETTING_KEY).alias("key"), F.expr(SETTING_VALUE).alias("value"))
-    return ly.typed_settings(entries).select("app_id", "key", "given", F.coalesce("text", F.lit("")).alias("text"),
+    return ly.typed_settings(entries, SETTINGS).select("app_id", "key", "given", F.coalesce("text", F.lit("")).alias("text"),
                                              F.coalesce("number", F.lit(-999.0)).alias("number"), "valid")
 
 
@@ -432,11 +465,12 @@ def merge_by_name(t):
 
 @query("first_capture", f"""WITH {JOB_EVENTS_CTE},
 a AS (SELECT user_id AS app_id, message_id, CASE WHEN k % 5 = 0 THEN '' ELSE 'zone' END AS label, CASE WHEN k % 7 = 0 THEN '' WHEN k % 11 = 0 THEN NULL ELSE 'z' || k END AS value FROM job_events)
-SELECT app_id, label, value FROM a WHERE label <> '' AND value <> '' QUALIFY row_number() OVER (PARTITION BY app_id ORDER BY message_id) = 1""")
+SELECT app_id, label, value FROM a WHERE label <> '' AND value <> '' AND app_id % 4 > 1 QUALIFY row_number() OVER (PARTITION BY app_id ORDER BY message_id) = 1""")
 def first_capture(t):
     e = job_events(t).selectExpr("user_id as app_id", "message_id", "if(k % 5 = 0, '', 'zone') as label",
-                                 "case when k % 7 = 0 then '' when k % 11 = 0 then null else concat('z', k) end as value")
-    return ly.first_capture(e)
+                                 "case when k % 7 = 0 then '' when k % 11 = 0 then null else concat('z', k) end as value",
+                                 "case user_id % 4 when 0 then null when 1 then '' else 'zone' end as uniformity")
+    return ly.first_capture(e, configured=F.col("uniformity"))
 
 
 # ---- capacity ---------------------------------------------------------------------------------
@@ -585,8 +619,8 @@ def max_seen(t):
 
 @query("all_pass_min", f"""WITH {_PODS}, first AS (SELECT *, segment IS NOT NULL AND segment <> 'furniture' AS ok FROM pods
   WHERE role = 'driver' QUALIFY row_number() OVER (PARTITION BY test_id, pod ORDER BY snapshot) = 1),
-n AS (SELECT test_id, count(*) FILTER (ok) AS n_valid, count(*) FILTER (NOT ok) AS n_failed FROM first GROUP BY test_id)
-SELECT *, n_failed = 0 AND n_valid >= 3 AS passed, CASE WHEN n_failed > 0 THEN n_failed || ' driver pod(s) failed ''segment''' WHEN n_valid < 3
+n AS (SELECT test_id, count(*) FILTER (ok) AS n_valid, count(*) FILTER (NOT ok) AS n_failed, string_agg(pod, ', ' ORDER BY pod) FILTER (NOT ok) AS names FROM first GROUP BY test_id)
+SELECT test_id, n_valid, n_failed, n_failed = 0 AND n_valid >= 3 AS passed, CASE WHEN n_failed > 0 THEN n_failed || ' driver pod(s) failed ''segment'': ' || names WHEN n_valid < 3
   THEN 'Only seen ' || n_valid || ' valid driver pod(s) so far, need at least 3' ELSE '' END AS message FROM n""")
 def all_pass_min(t):
     ok = sn.label("segment").isNotNull() & (sn.label("segment") != "furniture")
@@ -595,14 +629,33 @@ def all_pass_min(t):
 
 @query("failure_messages", f"""WITH {_PODS}, bad AS (SELECT snapshot, test_id, pod_no, 'Pod ' || pod || ' missing node selectors: ' ||
     concat_ws(', ', CASE WHEN disk <> 'ssd' THEN 'disk=ssd' END, CASE WHEN zone IS NULL OR zone <> 'zone-1' THEN 'zone=zone-1' END) AS message
+  FROM pods WHERE disk <> 'ssd' OR zone IS NULL OR zone <> 'zone-1')
+SELECT * FROM bad""")
+def failure_messages(t):
+    return sn.entry_failures(pods(t), F.expr("map('zone', 'zone-1', 'disk', 'ssd')"))
+
+
+@query("failure_messages_joined", f"""WITH {_PODS}, bad AS (SELECT snapshot, test_id, pod_no, 'Pod ' || pod || ' missing or incorrect annotations: ' ||
+    concat_ws(', ', CASE WHEN disk <> 'ssd' THEN 'disk=ssd' END, CASE WHEN zone IS NULL OR zone <> 'zone-1' THEN 'zone=zone-1' END) AS message
   FROM pods WHERE disk <> 'ssd' OR zone IS NULL OR zone <> 'zone-1'),
 placed AS (SELECT *, (row_number() OVER (PARTITION BY snapshot, test_id ORDER BY pod_no) - 1) // 20 AS chunk FROM bad)
 SELECT snapshot, test_id, chunk, count(*) AS n_messages, string_agg(message, '; ' ORDER BY pod_no) AS messages FROM placed GROUP BY ALL""")
-def failure_messages(t):
-    bad = sn.selector_failures(pods(t), F.expr("map('zone', 'zone-1', 'disk', 'ssd')"))
+def failure_messages_joined(t):
+    annotated = pods(t).withColumnRenamed("node_selector", "annotations")
+    bad = sn.entry_failures(annotated, F.expr("map('zone', 'zone-1', 'disk', 'ssd')"), "annotations")
     return sn.join_messages(bad, ["snapshot", "test_id"], "pod_no", size=20)
 
 
+@query("no_pods_found", f"""WITH {_PODS}
+SELECT s AS snapshot, 'test-' || n_nationkey AS test_id, role, 'No pods found with selector: spark-role=' || role || ',test-id=test-' || n_nationkey AS message
+FROM nation, (VALUES (1), (2), (3), (4)) AS v(s), (VALUES ('driver'), ('executor')) AS r(role)
+WHERE NOT EXISTS (SELECT 1 FROM pods p WHERE p.snapshot = s AND p.test_id = 'test-' || n_nationkey AND p.role = r.role)""")
+def no_pods_found(t):
+    checks = t["nation"].selectExpr("n_nationkey", "explode(array(1, 2, 3, 4)) as snapshot").selectExpr(
+        "snapshot", "concat('test-', n_nationkey) as test_id", "explode(array('driver', 'executor')) as role")
+    return sn.no_pods(checks, pods(t))
+
+
 _POLLS = """polls AS (SELECT o_custkey AS check_id, o_orderkey AS poll, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus = 'F' AND o_orderkey % 9 = 0 END AS passed,
   concat('Expected ', o_orderkey % 5, ' pods') AS message, o_orderpriority = '1-URGENT' AS job_completed FROM orders WHERE o_orderstatus IN ('P', 'F', 'O'))"""
 

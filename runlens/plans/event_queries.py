@@ -135,11 +135,32 @@ def state_counts_per_set(t):
     return lc.state_counts(job_events(t), ["job_set"])
 
 
-@query("readiness_ratio", f"""WITH {_STATES}
-SELECT job_set, count(submit_id) AS initial, count(register_id) AS registered,
-  count(register_id) >= count(submit_id) * CAST(0.8 AS DOUBLE) AS ready FROM sets GROUP BY job_set""")
+@query("readiness_ratio", f"""WITH {_STATES},
+wanted AS (SELECT job_set, count(DISTINCT job_id) % 4 AS initial FROM job_events GROUP BY job_set),
+now AS (SELECT job_set, count(*) FILTER (registered AND register_id < coalesce(terminal_id, 9e18)) AS n FROM sets GROUP BY job_set)
+SELECT w.job_set, initial, coalesce(n, 0) AS registered, coalesce(n, 0) >= initial * CAST(0.8 AS DOUBLE) AS ready
+FROM wanted w LEFT JOIN now ON now.job_set = w.job_set""")
 def readiness_ratio(t):
-    return lc.readiness(job_events(t))
+    events = job_events(t)
+    wanted = events.groupBy("job_set").agg((F.countDistinct("job_id") % 4).alias("initial"))
+    return lc.readiness(events, wanted)
+
+
+@query("state_counts_of_executors", f"""WITH {JOB_EVENTS_CTE} {_DRIVERS},
+kills AS (SELECT job_id, min(message_id) AS kill_id FROM job_events WHERE kind = 'utilisation' AND k >= 70 GROUP BY job_id),
+recorded AS (SELECT job_id, min(message_id) AS record_id FROM job_events WHERE kind IN ('submitted', 'registered')
+  AND job_id NOT IN (SELECT job_id FROM drivers) GROUP BY job_id),
+ends AS (SELECT r.job_id, r.record_id, min(e.message_id) FILTER (kind = 'submitted') AS submit_id,
+    min(e.message_id) FILTER (kind = 'registered') AS register_id,
+    least(coalesce(min(e.message_id) FILTER (kind IN ('succeeded','failed','cancelled','preempted')), 9e18),
+      coalesce(min(kill_id) FILTER (kill_id >= record_id), 9e18)) AS terminal_id
+  FROM recorded r JOIN job_events e ON e.job_id = r.job_id AND e.message_id >= r.record_id LEFT JOIN kills k ON k.job_id = r.job_id GROUP BY r.job_id, r.record_id)
+SELECT count(*) FILTER (terminal_id > 8e18 AND register_id IS NOT NULL) AS registered,
+  count(*) FILTER (terminal_id > 8e18 AND register_id IS NULL AND submit_id IS NOT NULL) AS pending,
+  count(*) FILTER (terminal_id > 8e18) AS active, count(*) FILTER (terminal_id < 8e18) AS terminal FROM ends""")
+def state_counts_of_executors(t):
+    kills = kill_requests(t).select("job_id", "kill_id")
+    return lc.state_counts(lc.executor_events(job_events(t), driver_jobs(t), kills))
 
 
 KILL_GRACE_MS = 2 * 86_400_000

@@ -83,7 +83,8 @@ def w02(t):
     lines = t["lineitem"].filter(F.expr(RETURNED) & years("l_shipdate", 1998))
     totals = sales(t, lines, ["l_extendedprice"]).groupBy("o_custkey").agg(
         money(F.col("l_extendedprice")).alias("total"))
-    named = totals.join(t["customer"].select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    # read for the averages and for the customers above them
+    named = written(totals.join(t["customer"].select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")), "totals")
     average = named.groupBy("c_nationkey").agg((money(F.col("total")) / count()).alias("average"))
     return (named.join(average, "c_nationkey").filter(F.col("total") > 1.2 * F.col("average"))
             .select("c_custkey", "c_nationkey", "total"))
@@ -217,7 +218,7 @@ WHERE EXISTS (SELECT 1 FROM lineitem b WHERE b.l_orderkey = a.l_orderkey AND b.l
 def w10(t):
     per_order = t["lineitem"].groupBy("l_orderkey").agg(
         F.min("l_suppkey").alias("lo"), F.max("l_suppkey").alias("hi"),
-        F.max(F.expr(RETURNED)).alias("returned"), F.sum("l_extendedprice").alias("total"))
+        F.coalesce(F.max(F.expr(RETURNED)), F.lit(False)).alias("returned"), F.sum("l_extendedprice").alias("total"))
     return per_order.filter("lo <> hi and not returned").agg(
         count().alias("n_orders"), money(F.col("total")).alias("total"))
 
@@ -242,9 +243,10 @@ SELECT p_type, p_brand, revenue, revenue * 100 / round(sum(revenue) OVER (PARTIT
 FROM (SELECT p_type, p_brand, round(sum(l_extendedprice), 2) AS revenue FROM lineitem JOIN part ON p_partkey = l_partkey
   WHERE year(l_shipdate) = 1999 GROUP BY ALL)""")
 def w12(t):
-    lines = t["lineitem"].filter(years("l_shipdate", 1999)).select("l_partkey", "l_extendedprice")
-    cells = lines.join(t["part"], F.col("l_partkey") == F.col("p_partkey")).groupBy("p_type", "p_brand").agg(
-        money(F.col("l_extendedprice")).alias("revenue"))
+    # one row per part reaches the join
+    parts = t["lineitem"].filter(years("l_shipdate", 1999)).groupBy("l_partkey").agg(F.sum("l_extendedprice").alias("price"))
+    cells = parts.join(t["part"], F.col("l_partkey") == F.col("p_partkey")).groupBy("p_type", "p_brand").agg(
+        money(F.col("price")).alias("revenue"))
     whole = F.round(F.sum("revenue").over(Window.partitionBy("p_type")), 2)
     return cells.withColumn("share", F.col("revenue") * 100 / whole)
 
@@ -331,10 +333,12 @@ FROM (SELECT p_type, p_brand, grouping(p_type) + grouping(p_brand) AS level,
   FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ROLLUP (p_type, p_brand))""")
 def w17(t):
     part = t["part"].select("p_partkey", "p_type", "p_brand")
-    lines = t["lineitem"].select("l_partkey", "l_extendedprice", "l_returnflag")
-    cells = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_type", "p_brand").agg(
+    # one row per part reaches the join
+    parts = t["lineitem"].groupBy("l_partkey").agg(
         F.sum("l_extendedprice").alias("whole"),
         F.sum(F.when(F.expr(RETURNED), F.col("l_extendedprice")).otherwise(0.0)).alias("back"))
+    cells = parts.join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_type", "p_brand").agg(
+        F.sum("whole").alias("whole"), F.sum("back").alias("back"))
     shares = cells.rollup("p_type", "p_brand").agg(
         (F.grouping("p_type").cast("long") + F.grouping("p_brand").cast("long")).alias("level"),
         (money(F.col("back")) / money(F.col("whole"))).alias("share"))
@@ -401,8 +405,8 @@ framed AS (SELECT *, round(sum(total) OVER (PARTITION BY p_brand, year), 2) / co
 SELECT * FROM framed WHERE year = 1999 AND abs(total - mean) / mean > 0.1""")
 def w21(t):
     part = t["part"].select("p_partkey", "p_brand")
-    # one year and its neighbouring months are enough
-    lines = t["lineitem"].filter(years("l_shipdate", 1998, 2000)).select("l_partkey", "l_shipdate", "l_extendedprice")
+    # all years: the row before or after a month may lie any number of years away
+    lines = t["lineitem"].select("l_partkey", "l_shipdate", "l_extendedprice")
     monthly = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy(
         "p_brand", year().alias("year"), month().alias("month")).agg(money(F.col("l_extendedprice")).alias("total"))
     whole = Window.partitionBy("p_brand", "year")
@@ -443,13 +447,15 @@ SELECT l_partkey, mon AS month_no, round(w, 2) AS web_total, round(s, 2) AS stor
 def w23(t):
     s = sales(t, line_cols=["l_partkey", "l_shipdate", "l_extendedprice"]).filter("channel <> 'catalog'")
     price = F.col("l_extendedprice")
-    monthly = s.groupBy("l_partkey", (year() * 12 + month()).alias("month_no")).agg(
-        F.sum(F.when(F.col("channel") == "web", price)).alias("web"),
-        F.sum(F.when(F.col("channel") == "store", price)).alias("store"))
-    # a series has at most one row per calendar month
+    monthly = s.groupBy("l_partkey", (year() * 12 + month()).alias("month_no")).agg(*[
+        a for c in ("web", "store") for a in (F.sum(F.when(F.col("channel") == c, price)).alias(c),
+                                              F.max(F.col("channel") == c).alias(f"has_{c}"))])
+    # a series has at most one row per calendar month; a channel's sum shows in the months it sold in
     w = Window.partitionBy("l_partkey").orderBy("month_no").rowsBetween(Window.unboundedPreceding, 0)
-    run = monthly.select("l_partkey", "month_no", F.round(F.sum("web").over(w), 2).alias("web_total"),
-                         F.round(F.sum("store").over(w), 2).alias("store_total"))
+    sums = monthly.select("l_partkey", "month_no", *[
+        F.when(F.col(f"has_{c}"), F.sum(c).over(w)).alias(c) for c in ("web", "store")])
+    run = sums.select("l_partkey", "month_no", F.round(F.max("web").over(w), 2).alias("web_total"),
+                      F.round(F.max("store").over(w), 2).alias("store_total"))
     return run.filter("web_total > store_total")
 
 
@@ -488,12 +494,14 @@ FROM (SELECT round(sum(l_extendedprice), 2) AS promo FROM lineitem JOIN part ON
   (SELECT count(*) AS early FROM lineitem JOIN part ON p_partkey = l_partkey WHERE month(l_shipdate) <= 6),
   (SELECT count(*) AS late FROM lineitem JOIN part ON p_partkey = l_partkey WHERE month(l_shipdate) > 6)""")
 def w25(t):
-    joined = t["lineitem"].select("l_partkey", "l_shipdate", "l_extendedprice").join(
-        t["part"].select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-    one = joined.agg(
-        money(F.when(F.col("p_type") == "PROMO", F.col("l_extendedprice"))).alias("promo"),
-        money(F.col("l_extendedprice")).alias("whole"),
+    # one row per part reaches the join
+    parts = t["lineitem"].groupBy("l_partkey").agg(
+        F.sum("l_extendedprice").alias("price"),
         F.count_if(F.month("l_shipdate") <= 6).alias("early"), F.count_if(F.month("l_shipdate") > 6).alias("late"))
+    joined = parts.join(t["part"].select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    one = joined.agg(
+        money(F.when(F.col("p_type") == "PROMO", F.col("price"))).alias("promo"), money(F.col("price")).alias("whole"),
+        F.coalesce(F.sum("early"), F.lit(0)).alias("early"), F.coalesce(F.sum("late"), F.lit(0)).alias("late"))
     return one.select("*", F.try_divide(F.col("promo") * 100, F.col("whole")).alias("share"),
                       F.try_divide(F.col("early").cast("double"), F.col("late").cast("double")).alias("early_late"))
 
@@ -508,7 +516,7 @@ def w26(t):
     lines = t["lineitem"].filter("l_quantity < 25").select("l_orderkey", "l_partkey", "l_shipdate")
     heads = t["orders"].select("o_orderkey", "o_orderdate")
     late = F.col("l_shipdate") > F.col("o_orderdate") + F.expr("interval 60 days")
-    part = t["part"].select("p_partkey", "p_brand", (F.col("p_type") == "PROMO").alias("promo"))
+    part = t["part"].select("p_partkey", "p_brand", F.coalesce(F.col("p_type") == "PROMO", F.lit(False)).alias("promo"))
     joined = lines.join(heads, (F.col("l_orderkey") == F.col("o_orderkey")) & late)
     return joined.join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_brand").agg(
         F.count_if(~F.col("promo")).alias("no_promo"), F.count_if("promo").alias("promo"), count().alias("n_lines"))
@@ -522,7 +530,9 @@ FROM sold LEFT JOIN back ON back.l_orderkey = sold.l_orderkey AND back.l_partkey
 JOIN orders ON o_orderkey = sold.l_orderkey GROUP BY o_custkey""")
 def w27(t):
     returned, q = F.expr(RETURNED), F.col("l_quantity")
-    pairs = t["lineitem"].groupBy("l_orderkey", "l_partkey").agg(
+    # dealt by order once: that serves both aggregates and the join
+    lines = t["lineitem"].select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag").repartition("l_orderkey")
+    pairs = lines.groupBy("l_orderkey", "l_partkey").agg(
         F.sum(F.when(~returned, q)).alias("sold"), F.sum(F.when(returned, q)).alias("back")).filter("sold is not null")
     kept = F.greatest(F.col("sold") - F.coalesce("back", F.lit(0.0)), F.lit(0.0))
     per_order = pairs.groupBy("l_orderkey").agg(F.sum(kept).alias("kept"), F.count_if(F.col("back").isNull()).alias("n"))

@@ -35,9 +35,15 @@ def read_result_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_result_lines(rows: DataFrame, path: str, order: str, by: str | None = None) -> None:
-    """Append rows (query, seconds, result_hash) as result lines, in `order` over the files."""
-    seconds = F.col("seconds").cast("string")
-    line = F.concat_ws(",", "query", seconds, seconds, seconds, "result_hash")
+    """Append rows (query, times or seconds, result_hash) as result lines, in `order` over the files.
+
+    `times` holds the times of the runs; rows with `seconds` alone repeat it, as their file format has three.
+    """
+    if "times" in rows.columns:
+        seconds = F.array_join(F.transform("times", lambda s: s.cast("string")), ",")
+    else:
+        seconds = F.array_join(F.array_repeat(F.col("seconds").cast("string"), 3), ",")
+    line = F.concat_ws(",", "query", seconds, "result_hash")
     keep = [by] if by else []
     lines = (rows.select(order, *keep, line.alias("value"))
              .repartitionByRange(F.col(order)).sortWithinPartitions(*keep, order).drop(order))

@@ -105,3 +105,31 @@ def test_written_lines_read_back(spark):
     write_result_lines(df, path, "at")
     best = bench.last_wins(read_result_lines(spark, path), ["query"], "line_order").first()
     assert (best["query"], best["seconds"], best["result_hash"]) == ("q1", 2.5, "I")
+
+
+def test_result_hash_sees_where_a_null_stands(spark):
+    a = spark.sql("select 1 as a, cast(null as int) as b")
+    b = spark.sql("select cast(null as int) as a, 1 as b")
+    assert bench.result_hash(a).first() != bench.result_hash(b).first()
+    texts = spark.sql("select '' as a, cast(null as string) as b")
+    assert bench.result_hash(texts).first() != bench.result_hash(texts.select(F.col("b").alias("a"), F.col("a").alias("b"))).first()
+    maps = [spark.sql(f"select map({e}) as m, array(1.5D) as l, 1e300D as d, cast('NaN' as double) as n") for e in ("'a', 1, 'b', 2", "'b', 2, 'a', 1", "'a', 2, 'b', 1")]
+    hashes = [bench.result_hash(m).first()["result_hash"] for m in maps]
+    assert hashes[0] == hashes[1] != hashes[2]
+
+
+def test_natural_order_of_long_numbers(spark):
+    names = ["q5", "q" + "9" * 38, "q1" + "0" * 39, "q010", "q2"]
+    got = [r["query"] for r in bench.natural_sort(spark.createDataFrame([(n,) for n in names], "query string")).collect()]
+    assert got == ["q2", "q5", "q010", "q" + "9" * 38, "q1" + "0" * 39]
+
+
+def test_suite_measures_as_often_as_it_writes(spark):
+    path, calls = scratch_path(spark, "suite"), []
+
+    def build():
+        calls.append(1)
+        return spark.range(len(calls))
+
+    lines = bench.run_suite(spark, {"q1": build}, path).collect()
+    assert len(calls) == 3 and lines[0]["result_hash"] == bench.HASH_SENTINEL

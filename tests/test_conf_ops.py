@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from runlens.functions import capacity as cap, text as tx
 from runlens.operators import documents as docs, layers as ly, snapshots as sn
+from runlens.plans.conf_queries import SETTINGS
 from runlens.sources.conf import conf_dir_scan
 
 
@@ -251,8 +252,8 @@ def test_typed_settings(spark):
                (2, 1, "allocation.batchSize", "0"), (2, 2, "killGracePeriod", "soon"), (2, 3, "dashboardUrl", "ftp://x"), (2, 4, "scheduling.priority", "-1"),
                (2, 5, "runAsUser", "me"), (2, 6, "driver.watchTimeout", "0"), (3, 1, "unrelated", "x")]
     df = spark.createDataFrame(rows_in, "app_id int, pos int, key string, value string")
-    got = {(r["app_id"], r["key"]): (r["number"], r["valid"], r["given"]) for r in ly.typed_settings(df).collect()}
-    assert len(got) == 3 * len(ly.SETTINGS)
+    got = {(r["app_id"], r["key"]): (r["number"], r["valid"], r["given"]) for r in ly.typed_settings(df, SETTINGS).collect()}
+    assert len(got) == 3 * len(SETTINGS)
     assert got[1, "allocation.batchSize"] == (7.0, True, True) and got[1, "killGracePeriod"] == (2000.0, True, True)
     assert got[1, "driver.watchEnabled"] == (0.0, True, True) and got[1, "scheduling.priority"] == (None, True, False)
     assert [got[2, k][1] for k in ("allocation.batchSize", "killGracePeriod", "dashboardUrl", "scheduling.priority", "runAsUser", "driver.watchTimeout")] == [
@@ -260,6 +261,30 @@ def test_typed_settings(spark):
     assert got[3, "allocation.batchSize"] == (10.0, True, False) and got[3, "executor.connectionTimeout"] == (300.0, True, False)
 
 
+def test_each_check_of_a_setting(spark):
+    cases = [("scheduling.priority", "NaN", False), ("scheduling.priority", "0.0", True), ("allocation.batchSize", "3000000000", False),
+             ("runAsUser", "3000000000", True), ("scheduling.initialPriorityClass", "", False), ("scheduling.initialPriorityClass", "http", True),
+             ("scheduling.nodeUniformity", "", True), ("scheduling.nodeUniformity", "example.com/zone", True), ("scheduling.nodeUniformity", "-x", False),
+             ("pod.labels", "a=b,c=d", True), ("pod.labels", "a=has blank", False), ("driver.ingress.annotations", "a=has blank", True),
+             ("driver.ingress.annotations", "blank key=x", False), ("jobTemplate", "", False), ("jobTemplate", "FILE:///x", True), ("jobTemplate", "ftp://x", False),
+             ("jobTemplate", "conf/x.yaml", True), ("proxy.port", "0", False), ("proxy.port", "8080", True), ("dashboardUrl", "https://h", True), ("dashboardUrl", "", False)]
+    df = spark.createDataFrame([(n, 1, k, v) for n, (k, v, _) in enumerate(cases)], "app_id int, pos int, key string, value string")
+    got = {(r["app_id"], r["key"]): r["valid"] for r in ly.typed_settings(df, SETTINGS).collect()}
+    assert [(c, got[n, c[0]]) for n, c in enumerate(cases) if got[n, c[0]] != c[2]] == []
+    assert got[0, "proxy.port"] is True
+
+
+def test_proxy_port_has_its_own_default(spark):
+    df = spark.createDataFrame([(True, None, None), (True, 4280, 4050), (True, None, 4050), (False, 4280, None), (None, 4280, 4050)], "e boolean, p int, u int")
+    assert [r["x"] for r in df.select(ly.ui_port(F.col("e"), F.col("p"), F.col("u")).alias("x")).collect()] == [4180, 4280, 4180, 4040, 4050]
+
+
+def test_capture_needs_a_configured_label(spark):
+    df = spark.createDataFrame([(1, 1, "zone", "a", "zone"), (2, 1, "zone", "a", ""), (3, 1, "zone", "a", None)], "app_id int, message_id int, label string, value string, u string")
+    assert [r["app_id"] for r in ly.first_capture(df, configured=F.col("u")).collect()] == [1]
+    assert ly.first_capture(df).count() == 3
+
+
 def test_resolved_resources(spark):
     schema = "app_id int, " + ", ".join(f"{layer}_{role}_{r}_{b} string" for layer in ("cli", "tpl") for role in ("driver", "executor") for r in ("memory", "cpu") for b in ("limit", "request"))
     data = [(1, "4Gi", None, None, "2", *[None] * 4, "1Mi", "2Mi", None, None, *["t"] * 4)]
