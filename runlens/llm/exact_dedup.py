@@ -34,8 +34,7 @@ def heavy_winners(rows: DataFrame, support: float = SUPPORT) -> DataFrame:
     """Digests with more than `support` of all rows: the winning row and the exact count. At most 1 / `support` rows."""
     names = rows.freqItems(["_digest"], support).select(F.explode("_digest_freqItems").alias("_digest"))
     counted = _groups(rows.join(F.broadcast(names.distinct()), "_digest"))
-    total = rows.agg((F.count("*") * F.lit(support)).alias("_least"))
-    return counted.join(F.broadcast(total), F.col("_size") > F.col("_least")).drop("_least")
+    return counted.filter(F.col("_size") > rows.agg(F.count("*") * F.lit(support)).scalar())
 
 
 def duplicate_groups(rows: DataFrame, support: float = SUPPORT) -> tuple[DataFrame, DataFrame]:
