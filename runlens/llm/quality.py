@@ -1,9 +1,9 @@
 """Quality of texts, learned from trusted positives and unlabelled text.
 
-A small network over shape and byte features is trained by the non-negative unbiased risk of positive-unlabelled learning: the
+A few small networks over the shape of a text are trained by the non-negative unbiased risk of positive-unlabelled learning: the
 risk of unlabelled text as negatives, less the share of positives in it (the class prior), is kept from falling below zero.
-The prior is the share of positives among the labelled rows that may be learned from; labels of negatives serve nothing else. The scores are then
-shifted so that this share of the unlabelled sample scores at least `THRESHOLD`.
+The prior is the share of positives among the labelled rows that may be learned from; labels of negatives serve nothing else. The mean
+of the networks is then shifted so that `THRESHOLD` lies in the widest gap that the scores of the unlabelled sample leave near this share.
 
 Training reads at most `SAMPLE` positives and `SAMPLE` unlabelled documents, chosen by a hash of their id; scoring reads every
 whole text, in small Arrow batches. Inputs of a score are the bytes of the text alone.
@@ -27,10 +27,7 @@ from runlens.llm.language import fold
 
 SAMPLE = 4000
 THRESHOLD = 0.7
-BIGRAMS, HIDDEN, STEPS, BATCH, RATE = 256, 24, 1500, 256, 0.005
-SHAPES = 14
-
-_PAIR = ((np.arange(1 << 16, dtype=np.uint64) * np.uint64(40503) >> np.uint64(4)) % np.uint64(BIGRAMS)).astype(np.int64)
+NETWORKS, HIDDEN, STEPS, BATCH, RATE = 3, 24, 1500, 256, 0.005
 
 
 def _mask(chars: bytes) -> np.ndarray:
@@ -44,22 +41,21 @@ _CLASSES = np.stack([_mask(bytes(range(65, 91))), _mask(bytes(range(97, 123))),
 
 
 def features(text: str) -> np.ndarray:
-    """Shares of byte classes and hashed byte pairs, repetition of words and lines, and length."""
+    """Shares of byte classes, repetition of words and lines, length of words and text."""
     raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
     n = max(1, len(raw))
     classes = np.bincount(raw, minlength=256) @ _CLASSES / n
     words, lines = text.split(), text.split("\n")
     w = max(1, len(words))
     shape = [len(set(words)) / w, sum(map(eq, words, words[1:])) / w, len(set(lines)) / max(1, len(lines)), min(n / w, 40) / 10, np.log1p(n) / 10]
-    pairs = np.bincount(_PAIR[(raw[:-1].astype(np.int64) << 8) | raw[1:]], minlength=BIGRAMS) if len(raw) > 1 else np.zeros(BIGRAMS)
-    return np.concatenate([np.sqrt(classes), shape, np.sqrt(pairs / n)])
+    return np.concatenate([np.sqrt(classes), shape])
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS, seed: int = 5) -> dict:
+def _network(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int, seed: int) -> dict:
     """Non-negative unbiased risk with the logistic loss, by Adam."""
     rng = np.random.default_rng(seed)
     mean, std = unlabelled.mean(0), unlabelled.std(0) + 1e-3
@@ -87,14 +83,34 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int
             m += 0.1 * (d - m)
             v += 0.001 * (d * d - v)
             p[k] = p[k] - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    model = p | {"mean": mean, "std": std, "shift": 0.0}
-    model["shift"] = float(np.log(THRESHOLD / (1 - THRESHOLD)) - np.quantile(logits(model, unlabelled), 1 - prior))
-    return model
+    return p | {"mean": mean, "std": std}
 
 
-def logits(model: dict, x: np.ndarray) -> np.ndarray:
+def _raw(model: dict, x: np.ndarray) -> np.ndarray:
     h = np.maximum((x - model["mean"]) / model["std"] @ model["w1"] + model["b1"], 0)
-    return h @ model["w2"] + model["b2"] + model["shift"]
+    return h @ model["w2"] + model["b2"]
+
+
+def logits(model: dict, x: np.ndarray) -> np.ndarray:
+    return np.mean([_raw(m, x) for m in model["networks"]], axis=0) + model["shift"]
+
+
+def _gap(scores: np.ndarray, share: float) -> float | None:
+    """Middle of the widest gap, passed over by one score in a hundred, where about `share` of all scores lie below."""
+    ordered, over = np.sort(scores), max(1, len(scores) // 100)
+    low, high = int(0.5 * share * len(scores)), int(1.3 * share * len(scores))
+    if high <= low or high + over > len(scores):
+        return None
+    at = low + int((ordered[low + over:high + over] - ordered[low:high]).argmax())
+    return float(ordered[at] + ordered[at + over]) / 2
+
+
+def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS, seed: int = 5) -> dict:
+    model = {"networks": [_network(positive, unlabelled, prior, steps, seed + n) for n in range(NETWORKS)], "shift": 0.0}
+    gap = _gap(logits(model, unlabelled), 1 - prior)
+    if gap is not None:
+        model["shift"] = float(np.log(THRESHOLD / (1 - THRESHOLD))) - gap
+    return model
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
