@@ -32,6 +32,7 @@ from runlens.llm.graph import components
 from runlens.session import written
 
 SKETCH, BLOCK = 1 << 18, 1024
+BUCKETS = 1 << 20
 ELL = 3
 _RNG = np.random.default_rng(3)
 _FACTORS = _RNG.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -120,33 +121,53 @@ def _prefixes(rows: DataFrame, k: int, t: Fraction, level: np.ndarray) -> DataFr
     return rows.mapInArrow(batches, f"_id {dict(rows.dtypes)['_id']}, _digest binary, _n int, _central int, _prefix array<bigint>")
 
 
-def _whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(node, s) for the wanted (node, _digest, _least): one document of each class is read again."""
+def _texts(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(node, text) for the wanted (node, _digest, _least): one document of each class is read again.
+
+    Ids are first compared by a bucket of their hash: at most `BUCKETS` of them are broadcast, and most other texts are never shuffled.
+    """
     from xxhash import xxh3_128_digest
 
-    rows = docs.join(wanted.select("_least", F.col("_digest").alias("_d"), "node"), F.col("_id").eqNullSafe(F.col("_least"))).select("node", "_d", "_text")
+    wanted = wanted.select("node", F.col("_digest").alias("_d"), "_least", F.xxhash64("_least").alias("_k"))
+    bucket = F.pmod("_k", F.lit(BUCKETS))
+    some = docs.withColumn("_k", F.xxhash64("_id")).withColumn("_b", bucket).join(
+        F.broadcast(wanted.select(bucket.alias("_b")).distinct()), "_b", "left_semi").withColumnRenamed("_k", "_k_doc")
+    rows = some.join(wanted, (F.col("_k_doc") == F.col("_k")) & F.col("_id").eqNullSafe(F.col("_least")))
+    # rows that repeat id and text are read once; the join has dealt them out by the hash of the id already
+    once = rows.withColumn("_t", F.xxhash64("_text")).dropDuplicates(["_k", "node", "_t"]).select("node", "_d", "_text")
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            nodes, sets = [], []
-            for node, digest, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                s = shingles(text, k)
-                if xxh3_128_digest(s.tobytes()) == digest:  # an id may stand for several texts
-                    nodes.append(node)
-                    sets.append(s.view(np.int64))
-            if nodes:
-                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), pa.array(np.concatenate(sets), pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), lists], names=["node", "s"])
+            # an id may stand for several texts
+            same = [xxh3_128_digest(shingles(t, k).tobytes()) == d for d, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            kept = batch.filter(pa.array(same, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(2)], names=["node", "text"])
+
+    return written(once.mapInArrow(batches, "node long, text string").dropDuplicates(["node"]), "candidate-texts")
+
+
+def _linked(pairs: DataFrame, texts: DataFrame, k: int, t: Fraction) -> DataFrame:
+    """Pairs (a, b) whose whole sets are similar enough. Texts are moved, which are smaller than their sets."""
+    left, right = texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            sets: dict[int, np.ndarray] = {}
 
-    return written(rows.mapInArrow(batches, "node long, s array<bigint>").dropDuplicates(["node"]), "whole-sets")
+            def of(node: int, text: str, sets=sets) -> np.ndarray:
+                if node not in sets:
+                    sets[node] = shingles(text, k)
+                return sets[node]
 
+            a, b, ta, tb = (c.to_pylist() for c in batch.columns)
+            near = []
+            for x, y, tx, ty in zip(a, b, ta, tb, strict=True):
+                sx, sy = of(x, tx), of(y, ty)
+                both = len(np.intersect1d(sx, sy, assume_unique=True))
+                near.append(both * t.denominator >= t.numerator * (len(sx) + len(sy) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-def _linked(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
-    """Pairs (a, b) whose whole sets are similar enough."""
-    left, right = sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), sets.select(F.col("node").alias("b"), F.col("s").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(left, "a").join(right, "b").filter(
-        both * t.denominator >= t.numerator * (F.size("sa") + F.size("sb") - both)).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(batches, "a long, b long")
 
 
 def _may_reach(m: Column, total: Column, t: Fraction) -> Column:
@@ -188,13 +209,13 @@ def similar_sets(classes: DataFrame, docs: DataFrame, k: int, t: Fraction) -> Da
               .select("node", "n", "most", "g", "rep", "members"))
     opened = written(opened, "opened-groups")
 
-    # a node alone in the only group it opens has no partner, and its set is not needed
+    # a node alone in the only group it opens has no partner, and its text is not needed
     useful = opened.join(homes.select("node", F.col("g").alias("own")), "node").filter("g <> own OR members > 1")
     busy = useful.select("node").union(useful.select("g").distinct().join(homes.select("node", "g"), "g").select("node")).distinct()
-    sets = _whole_sets(docs, classes.join(busy, "node", "left_semi").select("node", "_digest", "_least"), k)
+    texts = _texts(docs, classes.join(busy, "node", "left_semi").select("node", "_digest", "_least"), k)
 
     stars = opened.filter("node <> rep").select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")).distinct()
-    first = written(_linked(stars, sets, t), "star-links")
+    first = written(_linked(stars, texts, k, t), "star-links")
     comp = components(first)
 
     def with_comp(df: DataFrame, node: str, name: str) -> DataFrame:
@@ -213,7 +234,7 @@ def similar_sets(classes: DataFrame, docs: DataFrame, k: int, t: Fraction) -> Da
                                      & _may_reach(F.least("most", "y_most"), F.col("n") + F.col("y_n"), t))
             .filter(F.size(F.array_intersect("tokens", "y_tokens")) >= F.least(_ell(F.col("n"), t), _ell(F.col("y_n"), t)))
             .select(F.least("node", "y").alias("a"), F.greatest("node", "y").alias("b")).distinct().join(stars, ["a", "b"], "left_anti"))
-    second = written(_linked(rest, sets, t), "other-links")
+    second = written(_linked(rest, texts, k, t), "other-links")
     return components(first.unionByName(second)) if not second.isEmpty() else comp
 
 
