@@ -200,13 +200,14 @@ def similar_sets(classes: DataFrame, docs: DataFrame, k: int, t: Fraction) -> Da
     groups = homes.groupBy("g").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("most").alias("g_most"),
                                     F.count("*").alias("members"),
                                     F.max(F.struct("central", "node")).alias("rep")).withColumn("rep", F.col("rep.node"))
-    matrix = homes.select("g", F.explode(F.concat("tokens")).alias("token")).distinct()
+    matrix = homes.select("g", F.explode(F.concat("tokens")).alias("token")).distinct().join(groups, "g")
     queries = homes.select("node", "n", "most", F.explode(F.concat("tokens")).alias("token"))
-    opened = (queries.join(matrix, "token").groupBy("node", "n", "most", "g").agg(F.count("*").alias("c")).join(groups, "g")
-              .filter((F.col("c") >= F.least(_ell(F.col("n"), t), _ell(F.col("low"), t)))
-                      & (F.col("high") * t.denominator >= F.col("n") * t.numerator) & (F.col("n") * t.denominator >= F.col("low") * t.numerator)
-                      & _may_reach(F.least("most", "g_most"), F.col("n") + F.greatest("low", F.least("most", "g_most")), t))
-              .select("node", "n", "most", "g", "rep", "members"))
+    # sizes and the bound on the overlap are compared in the join, before anything is counted
+    reach = F.least("most", "g_most")
+    possible = ((F.col("q.token") == F.col("m.token")) & (F.col("high") * t.denominator >= F.col("n") * t.numerator)
+                & (F.col("n") * t.denominator >= F.col("low") * t.numerator) & _may_reach(reach, F.col("n") + F.greatest(F.col("low"), reach), t))
+    opened = (queries.alias("q").join(matrix.alias("m"), possible).groupBy("node", "n", "most", "g", "low", "rep", "members").agg(F.count("*").alias("c"))
+              .filter(F.col("c") >= F.least(_ell(F.col("n"), t), _ell(F.col("low"), t))).select("node", "n", "most", "g", "rep", "members"))
     opened = written(opened, "opened-groups")
 
     # a node alone in the only group it opens has no partner, and its text is not needed
