@@ -1,12 +1,14 @@
 """Documents joined by the Jaccard similarity of their word n-gram sets, by a token-group matrix.
 
 1. Every document becomes its set of hashed shingles (64 bits). Equal sets become one node.
-2. A count sketch of fixed size over all documents tells common shingles from rare ones. All sets are put in one order, rare first. Of
-   n shingles, a partner at similarity t must share `ELL` among the first n - ceil(t n) + `ELL` (its prefix).
-3. Nodes that share so many prefix shingles are partitioned into groups: the most central node they meet, and a
-   narrow band of sizes. The matrix holds each group's union of prefix shingles.
-4. A node's overlap with a group's union bounds its overlap with every member; sizes, and the shingles a node shares with nobody,
-   bound it further. Only groups that may hold a partner are opened.
+2. The hash range is cut into as many slices as suit a class of sizes, and each slice of a set becomes one token: a hash of all its
+   shingles there. Sets at similarity t or more differ in a bounded number of shingles, so in no more slices; the rest agree. Slices
+   are put in one order, full ones first: of two such sets, the first (differing slices + `ELL`) tokens have `ELL` in common.
+   A token stands for several shingles, so a passage or a common shingle alone brings no two documents together.
+3. Nodes that share such tokens are partitioned into groups: the most central node they meet, and a narrow band of
+   sizes. The matrix holds each group's union of tokens.
+4. A node's overlap with a group's union bounds its overlap with every member: below `ELL` no member can be similar enough, nor can
+   one whose size is out of reach. Only groups that may hold a partner are opened.
 5. Opening a group first compares the node with the group's central member. What is then in one component is done: of
    a large group of near copies no further pair is looked at. Members in other components are compared one by one, again
    after the same bounds. All comparisons count whole sets.
@@ -18,22 +20,22 @@ share an id but not a text are nodes of their own, and report the smallest id re
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runlens.llm.common import id_text, packed, small_batches, unpacked
 from runlens.llm.graph import components
 from runlens.session import written
 
-SKETCH, BLOCK = 1 << 18, 1024
 BUCKETS = 1 << 20
-ELL = 3
+# tokens that similar sets share at least; ratio of the sizes of one class; slices to spare for each that may differ
+ELL, CLASS_RATIO, SPARE = 2, Fraction(8, 5), Fraction(1, 4)
 _RNG = np.random.default_rng(3)
 _FACTORS = _RNG.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -61,64 +63,67 @@ def shingles(text: str, k: int) -> np.ndarray:
     return np.unique(_mixed(h))
 
 
-def _sketch(rows: DataFrame, k: int) -> np.ndarray:
-    """Level of each bucket of shingles: 0 for the usual number of documents, more for common ones. One byte a bucket."""
-    def counted(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH, np.int64)
-        for batch in source:
-            found = [shingles(t, k) for t in batch.column(1).to_pylist()]
-            if found:
-                total += np.bincount((np.concatenate(found) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-        if total.any():
-            blocks = total.reshape(-1, BLOCK)
-            part = TaskContext.get().partitionId() % 32
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array([part] * len(blocks), pa.int32()),
-                                              pa.array([b.tobytes() for b in blocks], pa.binary())], names=["block", "part", "counts"])
-
-    def added(table: pa.Table) -> pa.Table:
-        total = np.zeros(BLOCK, np.int64)
-        for c in table.column("counts").to_pylist():
-            total += np.frombuffer(c, np.int64)
-        return pa.table({"block": table.column("block")[:1], "part": pa.array([0], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
-
-    kind = "block int, part int, counts binary"
-    # many tasks: their counts are added in two steps; the result has a fixed size
-    once = rows.mapInArrow(counted, kind).groupBy("block", "part").applyInArrow(added, kind)
-    total = np.zeros((SKETCH // BLOCK, BLOCK), np.int64)
-    for r in once.groupBy("block").applyInArrow(added, kind).collect():
-        total[r["block"]] = np.frombuffer(r["counts"], np.int64)
-    flat = total.reshape(-1)
-    usual = max(1.0, float(np.median(flat)))
-    return np.clip(np.floor(4 * np.log2(np.maximum(flat, 1) / usual + 1e-9) - 1), 0, 255).astype(np.uint8)
-
-
 def _needed(n: int, t: Fraction) -> int:
     """ceil(t * n): shingles that a set of n shares at least with a partner."""
     return -(-t.numerator * n // t.denominator)
 
 
-def _prefixes(rows: DataFrame, k: int, t: Fraction, level: np.ndarray) -> DataFrame:
-    """_id, _digest of the set, _n, _central (how common its shingles are), _prefix (first shingles, rare ones first)."""
+def _size_classes(t: Fraction) -> list[int]:
+    """Smallest size of every class. A partner of a set is in its own class or a neighbouring one."""
+    ratio = max(CLASS_RATIO, 1 / t)
+    bounds = [1]
+    while bounds[-1] < 1 << 40:
+        bounds.append(-(-bounds[-1] * ratio.numerator // ratio.denominator))
+    return bounds
+
+
+def _differing(n: int, t: Fraction) -> int:
+    """Shingles that a set of n and a partner can have apart from each other at most: (1 - t) / t of n."""
+    return n * (t.denominator - t.numerator) // t.numerator
+
+
+def tokens(s: np.ndarray, t: Fraction, bounds: list[int]) -> np.ndarray:
+    """The first tokens of a sorted set, for its own size class and, where a partner can be there, the next one.
+
+    A set that can only equal its partner has none. Empty slices count as equal and come last, so that no case is lost.
+    """
+    n = len(s)
+    apart = _differing(n, t)
+    if not apart:
+        return np.zeros(0, np.uint64)
+    own = bisect_right(bounds, n) - 1
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(s, dtype=np.uint64)])
+    found = []
+    for c in (own, own + 1) if _needed(bounds[own + 1], t) <= n else (own,):
+        most = _differing(bounds[c + 1] - 1, t)
+        slices = most + ELL + -(-most * SPARE.numerator // SPARE.denominator)
+        starts = np.arange(slices, dtype=np.uint64) * np.uint64((1 << 64) // slices + 1)
+        at = np.append(np.searchsorted(s, starts), n)
+        names = _mixed(np.arange(slices, dtype=np.uint64) * _FACTORS[0] + np.uint64(c) * _FACTORS[1])
+        each = _mixed((sums[at[1:]] - sums[at[:-1]]) ^ names)
+        found.append(each[np.lexsort((each, -np.diff(at)))[:apart + ELL]])
+    return np.concatenate(found)
+
+
+def _prefixes(rows: DataFrame, k: int, t: Fraction) -> DataFrame:
+    """_id, _digest of the set, _n, _prefix (its first tokens)."""
     from xxhash import xxh3_128_digest
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds = _size_classes(t)
         for batch in source:
-            digests, sizes, central, prefixes = [], [], [], []
+            digests, sizes, prefixes = [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingles(text, k)
-                levels = level[(s & np.uint64(SKETCH - 1)).astype(np.int64)]
-                need = _needed(len(s), t)
-                order = np.lexsort((s, levels))[:len(s) - need + min(ELL, need)]
                 digests.append(xxh3_128_digest(s.tobytes()))
                 sizes.append(len(s))
-                central.append(int(levels.sum() * 100 / max(1, len(s))))
-                prefixes.append(s[order].view(np.int64))
+                prefixes.append(tokens(s, t, bounds).view(np.int64))
             offsets = np.cumsum([0, *map(len, prefixes)])
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(prefixes) if prefixes else [], pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()),
-                                              pa.array(central, pa.int32()), lists], names=["_id", "_digest", "_n", "_central", "_prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), lists],
+                                             names=["_id", "_digest", "_n", "_prefix"])
 
-    return rows.mapInArrow(batches, f"_id {dict(rows.dtypes)['_id']}, _digest binary, _n int, _central int, _prefix array<bigint>")
+    return rows.mapInArrow(batches, f"_id {dict(rows.dtypes)['_id']}, _digest binary, _n int, _prefix array<bigint>")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -170,44 +175,31 @@ def _linked(pairs: DataFrame, texts: DataFrame, k: int, t: Fraction) -> DataFram
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(batches, "a long, b long")
 
 
-def _may_reach(m: Column, total: Column, t: Fraction) -> Column:
-    """Whether an overlap of at most m can make two sets of `total` shingles together similar enough."""
-    return m.cast("long") * (t.numerator + t.denominator) >= total.cast("long") * t.numerator
-
-
-def _ell(n: Column, t: Fraction) -> Column:
-    return F.least(F.lit(ELL), F.ceil(n * t.numerator / t.denominator).cast("int"))
-
-
 def similar_sets(classes: DataFrame, docs: DataFrame, k: int, t: Fraction) -> DataFrame:
     """(node, comp) of the nodes that are linked to another one."""
-    each = classes.filter("_n > 0").select("node", "_n", "_central", F.posexplode("_prefix").alias("pos", "token"))
-    often = each.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token")
-    shared = each.join(often, "token")
-    # shingles before the last needed one that are shared with nobody cannot be in an overlap
-    listed = shared.groupBy("node", "_n", "_central").agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("l"))
-    ell = _ell(F.col("_n"), t)
-    nodes = written(listed.filter(F.size("l") >= ell).select(
-        "node", F.col("_n").alias("n"), F.col("_central").alias("central"), F.transform("l", lambda x: x["token"]).alias("tokens"),
-        (F.col("_n") - F.element_at("l", ell)["pos"] + ell - 1).alias("most")), "candidate-nodes")
-
-    tokens = nodes.select("node", "n", "central", F.explode(F.concat("tokens")).alias("token"))
-    leaders = tokens.groupBy("token").agg(F.max(F.struct("central", "node")).alias("leader"))
+    each = classes.select("node", F.explode(F.concat("_prefix")).alias("token"))
+    often = each.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1")
+    # a node is central if many share its tokens
+    shared = each.join(often, "token").groupBy("node").agg(F.sum(F.floor(F.log2("c") * 1000)).alias("weight"), F.collect_list("token").alias("tokens"))
+    nodes = written(shared.filter(F.size("tokens") >= ELL).join(classes.select("node", F.col("_n").alias("n"), F.size("_prefix").alias("p")), "node")
+                    .select("node", "n", F.floor(F.col("weight") / F.col("p")).alias("central"), "tokens"), "candidate-nodes")
+
+    listed = nodes.select("node", "n", "central", F.explode(F.concat("tokens")).alias("token"))
+    leaders = listed.groupBy("token").agg(F.max(F.struct("central", "node")).alias("leader"))
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(1 / float(t)) / 4))).cast("int")
-    home = tokens.join(leaders, "token").groupBy("node").agg(F.max("leader").alias("leader"))
-    homes = written(nodes.join(home, "node").select("node", "n", "central", "most", "tokens", F.struct(F.col("leader.node").alias("l"), band.alias("b")).alias("g")),
+    home = listed.join(leaders, "token").groupBy("node").agg(F.max("leader").alias("leader"))
+    homes = written(nodes.join(home, "node").select("node", "n", "central", "tokens", F.struct(F.col("leader.node").alias("l"), band.alias("b")).alias("g")),
                     "grouped-nodes")
-    groups = homes.groupBy("g").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("most").alias("g_most"),
+    groups = homes.groupBy("g").agg(F.min("n").alias("low"), F.max("n").alias("high"),
                                     F.count("*").alias("members"),
                                     F.max(F.struct("central", "node")).alias("rep")).withColumn("rep", F.col("rep.node"))
     matrix = homes.select("g", F.explode(F.concat("tokens")).alias("token")).distinct().join(groups, "g")
-    queries = homes.select("node", "n", "most", F.explode(F.concat("tokens")).alias("token"))
-    # sizes and the bound on the overlap are compared in the join, before anything is counted
-    reach = F.least("most", "g_most")
+    queries = homes.select("node", "n", F.explode(F.concat("tokens")).alias("token"))
+    # sizes are compared in the join, before anything is counted
     possible = ((F.col("q.token") == F.col("m.token")) & (F.col("high") * t.denominator >= F.col("n") * t.numerator)
-                & (F.col("n") * t.denominator >= F.col("low") * t.numerator) & _may_reach(reach, F.col("n") + F.greatest(F.col("low"), reach), t))
-    opened = (queries.alias("q").join(matrix.alias("m"), possible).groupBy("node", "n", "most", "g", "low", "rep", "members").agg(F.count("*").alias("c"))
-              .filter(F.col("c") >= F.least(_ell(F.col("n"), t), _ell(F.col("low"), t))).select("node", "n", "most", "g", "rep", "members"))
+                & (F.col("n") * t.denominator >= F.col("low") * t.numerator))
+    opened = (queries.alias("q").join(matrix.alias("m"), possible).groupBy("node", "n", "g", "rep", "members").agg(F.count("*").alias("c"))
+              .filter(F.col("c") >= ELL).drop("c"))
     opened = written(opened, "opened-groups")
 
     # a node alone in the only group it opens has no partner, and its text is not needed
@@ -229,11 +221,10 @@ def similar_sets(classes: DataFrame, docs: DataFrame, k: int, t: Fraction) -> Da
     asks = with_comp(opened, "node", "comp").join(reps, "g").withColumn("apart", F.col("comp") != F.col("rep_comp"))
     asks = asks.filter("apart").unionByName(asks.filter("NOT apart").join(outliers, F.col("node") == F.col("o_node"), "left_semi"))
     asks = asks.join(homes.select("node", "tokens"), "node")
-    y = members.select("g", F.col("node").alias("y"), F.col("n").alias("y_n"), F.col("most").alias("y_most"), F.col("tokens").alias("y_tokens"), "y_comp", "y_out")
+    y = members.select("g", F.col("node").alias("y"), F.col("n").alias("y_n"), F.col("tokens").alias("y_tokens"), "y_comp", "y_out")
     rest = (asks.join(y, "g").filter((F.col("y_comp") != F.col("comp")) & (F.col("apart") | F.col("y_out"))
-                                     & (F.col("n") * t.denominator >= F.col("y_n") * t.numerator) & (F.col("y_n") * t.denominator >= F.col("n") * t.numerator)
-                                     & _may_reach(F.least("most", "y_most"), F.col("n") + F.col("y_n"), t))
-            .filter(F.size(F.array_intersect("tokens", "y_tokens")) >= F.least(_ell(F.col("n"), t), _ell(F.col("y_n"), t)))
+                                     & (F.col("n") * t.denominator >= F.col("y_n") * t.numerator) & (F.col("y_n") * t.denominator >= F.col("n") * t.numerator))
+            .filter(F.size(F.array_intersect("tokens", "y_tokens")) >= ELL)
             .select(F.least("node", "y").alias("a"), F.greatest("node", "y").alias("b")).distinct().join(stars, ["a", "b"], "left_anti"))
     second = written(_linked(rest, texts, k, t), "other-links")
     return components(first.unionByName(second)) if not second.isEmpty() else comp
@@ -242,9 +233,8 @@ def similar_sets(classes: DataFrame, docs: DataFrame, k: int, t: Fraction) -> Da
 def _assigned(docs: DataFrame, k: int, t: Fraction, id_col: str, text_col: str) -> DataFrame:
     small_batches(docs.sparkSession)
     rows = id_text(docs, id_col, text_col)
-    sets = written(_prefixes(rows, k, t, _sketch(rows, k)), "set-prefixes")
-    classes = sets.groupBy("_digest").agg(F.min("_id").alias("_least"), F.first("_n").alias("_n"), F.first("_central").alias("_central"),
-                                          F.first("_prefix").alias("_prefix"))
+    sets = written(_prefixes(rows, k, t), "set-prefixes")
+    classes = sets.groupBy("_digest").agg(F.min("_id").alias("_least"), F.first("_n").alias("_n"), F.first("_prefix").alias("_prefix"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "set-classes")
     comp = similar_sets(classes, rows, k, t)
     of = classes.join(comp, "node", "left").select("_digest", "_least", F.coalesce("comp", "node").alias("comp"))

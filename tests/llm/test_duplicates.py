@@ -5,6 +5,7 @@ import random
 import re
 from fractions import Fraction
 
+import numpy as np
 import pytest
 from llm_tables import edge, make  # noqa: F401
 
@@ -211,3 +212,20 @@ def test_clean_documents_stay(spark, make, edge):
     assert sorted((r["doc_id"] for r in out.collect()), key=repr) == sorted(clean, key=repr)
     assert decontaminate.drop_contaminated(docs, bench_table(spark, [])).count() == len(rows)
     assert decontaminate.contamination(make([]), bench_table(spark, items)).collect() == []
+
+
+@pytest.mark.parametrize("t", [Fraction(9, 10), Fraction(4, 5), Fraction(3, 4), Fraction(1, 2)])
+def test_similar_sets_share_tokens(t):
+    rng = np.random.default_rng(9)
+    bounds = jaccard._size_classes(t)
+    for _ in range(600):
+        n = int(rng.integers(1, 400))
+        a = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        for grow in (0, 0.5, 1):  # as far apart as can be: more of one, less of the other, or some of both
+            apart = int((1 - t) / t * n)
+            more = int(apart * grow)
+            b = np.unique(np.concatenate([rng.permutation(a)[:len(a) - max(0, int((n + more) * (1 - t)) - more)], rng.integers(0, 1 << 64, more, dtype=np.uint64)]))
+            both = len(np.intersect1d(a, b))
+            near = both * t.denominator >= t.numerator * (len(a) + len(b) - both)
+            if near and not np.array_equal(a, b):
+                assert len(np.intersect1d(jaccard.tokens(a, t, bounds), jaccard.tokens(b, t, bounds))) >= jaccard.ELL
