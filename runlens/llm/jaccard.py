@@ -9,6 +9,8 @@
    sizes. The matrix holds each group's union of tokens.
 4. A node's overlap with a group's union bounds its overlap with every member: below `ELL` no member can be similar enough, nor can
    one whose size is out of reach. Only groups that may hold a partner are opened.
+   A few bits of each set, the parities of its shingles per bucket, differ at most in as many places as the sets have shingles
+   apart: pairs that differ in too many are dropped before any text is moved.
 5. Opening a group first compares the node with the group's central member. What is then in one component is done: of
    a large group of near copies no further pair is looked at. Members in other components are compared one by one, again
    after the same bounds. All comparisons count whole sets.
@@ -26,7 +28,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runlens.llm.common import id_text, packed, small_batches, unpacked
@@ -34,6 +36,7 @@ from runlens.llm.graph import components
 from runlens.session import written
 
 BUCKETS = 1 << 20
+PARITIES = 512
 # tokens that similar sets share at least; ratio of the sizes of one class; slices to spare for each that may differ
 ELL, CLASS_RATIO, SPARE = 2, Fraction(8, 5), Fraction(1, 4)
 _RNG = np.random.default_rng(3)
@@ -99,31 +102,45 @@ def tokens(s: np.ndarray, t: Fraction, bounds: list[int]) -> np.ndarray:
         slices = most + ELL + -(-most * SPARE.numerator // SPARE.denominator)
         starts = np.arange(slices, dtype=np.uint64) * np.uint64((1 << 64) // slices + 1)
         at = np.append(np.searchsorted(s, starts), n)
-        names = _mixed(np.arange(slices, dtype=np.uint64) * _FACTORS[0] + np.uint64(c) * _FACTORS[1])
+        names = _mixed(np.arange(c << 40, (c << 40) + slices, dtype=np.uint64) * _FACTORS[0])
         each = _mixed((sums[at[1:]] - sums[at[:-1]]) ^ names)
         found.append(each[np.lexsort((each, -np.diff(at)))[:apart + ELL]])
     return np.concatenate(found)
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """Whether each bucket holds an odd number of the set's shingles, as words of 64 bits."""
+    odd = np.bincount((s & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _may_link(n: Column, p: Column, m: Column, q: Column, t: Fraction) -> Column:
+    """Whether two sets of n and m shingles with parities p and q can be similar enough."""
+    apart = sum((F.bit_count(p[i].bitwiseXOR(q[i])) for i in range(PARITIES // 64)), F.lit(0)).cast("long")
+    return ((apart * (t.numerator + t.denominator) <= (n + m).cast("long") * (t.denominator - t.numerator))
+            & (n.cast("long") * t.denominator >= m.cast("long") * t.numerator) & (m.cast("long") * t.denominator >= n.cast("long") * t.numerator))
+
+
 def _prefixes(rows: DataFrame, k: int, t: Fraction) -> DataFrame:
-    """_id, _digest of the set, _n, _prefix (its first tokens)."""
+    """_id, _digest of the set, _n, _odd (its parities), _prefix (its first tokens)."""
     from xxhash import xxh3_128_digest
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = _size_classes(t)
         for batch in source:
-            digests, sizes, prefixes = [], [], []
+            digests, sizes, odd, prefixes = [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingles(text, k)
                 digests.append(xxh3_128_digest(s.tobytes()))
                 sizes.append(len(s))
+                odd.append(parities(s))
                 prefixes.append(tokens(s, t, bounds).view(np.int64))
             offsets = np.cumsum([0, *map(len, prefixes)])
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(prefixes) if prefixes else [], pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), lists],
-                                             names=["_id", "_digest", "_n", "_prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()),
+                                              pa.array(odd, pa.list_(pa.int64())), lists], names=["_id", "_digest", "_n", "_odd", "_prefix"])
 
-    return rows.mapInArrow(batches, f"_id {dict(rows.dtypes)['_id']}, _digest binary, _n int, _prefix array<bigint>")
+    return rows.mapInArrow(batches, f"_id {dict(rows.dtypes)['_id']}, _digest binary, _n int, _odd array<bigint>, _prefix array<bigint>")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -181,17 +198,16 @@ def similar_sets(classes: DataFrame, docs: DataFrame, k: int, t: Fraction) -> Da
     often = each.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1")
     # a node is central if many share its tokens
     shared = each.join(often, "token").groupBy("node").agg(F.sum(F.floor(F.log2("c") * 1000)).alias("weight"), F.collect_list("token").alias("tokens"))
-    nodes = written(shared.filter(F.size("tokens") >= ELL).join(classes.select("node", F.col("_n").alias("n"), F.size("_prefix").alias("p")), "node")
-                    .select("node", "n", F.floor(F.col("weight") / F.col("p")).alias("central"), "tokens"), "candidate-nodes")
+    nodes = written(shared.filter(F.size("tokens") >= ELL).join(classes.select("node", F.col("_n").alias("n"), F.col("_odd").alias("odd"), F.size("_prefix").alias("p")), "node")
+                    .select("node", "n", "odd", F.floor(F.col("weight") / F.col("p")).alias("central"), "tokens"), "candidate-nodes")
 
     listed = nodes.select("node", "n", "central", F.explode(F.concat("tokens")).alias("token"))
     leaders = listed.groupBy("token").agg(F.max(F.struct("central", "node")).alias("leader"))
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(1 / float(t)) / 4))).cast("int")
     home = listed.join(leaders, "token").groupBy("node").agg(F.max("leader").alias("leader"))
-    homes = written(nodes.join(home, "node").select("node", "n", "central", "tokens", F.struct(F.col("leader.node").alias("l"), band.alias("b")).alias("g")),
+    homes = written(nodes.join(home, "node").select("node", "n", "odd", "central", "tokens", F.struct(F.col("leader.node").alias("l"), band.alias("b")).alias("g")),
                     "grouped-nodes")
-    groups = homes.groupBy("g").agg(F.min("n").alias("low"), F.max("n").alias("high"),
-                                    F.count("*").alias("members"),
+    groups = homes.groupBy("g").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("members"),
                                     F.max(F.struct("central", "node")).alias("rep")).withColumn("rep", F.col("rep.node"))
     matrix = homes.select("g", F.explode(F.concat("tokens")).alias("token")).distinct().join(groups, "g")
     queries = homes.select("node", "n", F.explode(F.concat("tokens")).alias("token"))
@@ -208,7 +224,9 @@ def similar_sets(classes: DataFrame, docs: DataFrame, k: int, t: Fraction) -> Da
     texts = _texts(docs, classes.join(busy, "node", "left_semi").select("node", "_digest", "_least"), k)
 
     stars = opened.filter("node <> rep").select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")).distinct()
-    first = written(_linked(stars, texts, k, t), "star-links")
+    a, b = (homes.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"), F.col("odd").alias(f"{x}_odd")) for x in "ab")
+    likely = stars.join(a, "a").join(b, "b").filter(_may_link(F.col("a_n"), F.col("a_odd"), F.col("b_n"), F.col("b_odd"), t)).select("a", "b")
+    first = written(_linked(likely, texts, k, t), "star-links")
     comp = components(first)
 
     def with_comp(df: DataFrame, node: str, name: str) -> DataFrame:
@@ -220,10 +238,10 @@ def similar_sets(classes: DataFrame, docs: DataFrame, k: int, t: Fraction) -> Da
     outliers = members.filter("y_out").select(F.col("node").alias("o_node"))
     asks = with_comp(opened, "node", "comp").join(reps, "g").withColumn("apart", F.col("comp") != F.col("rep_comp"))
     asks = asks.filter("apart").unionByName(asks.filter("NOT apart").join(outliers, F.col("node") == F.col("o_node"), "left_semi"))
-    asks = asks.join(homes.select("node", "tokens"), "node")
-    y = members.select("g", F.col("node").alias("y"), F.col("n").alias("y_n"), F.col("tokens").alias("y_tokens"), "y_comp", "y_out")
+    asks = asks.join(homes.select("node", "odd", "tokens"), "node")
+    y = members.select("g", F.col("node").alias("y"), F.col("n").alias("y_n"), F.col("odd").alias("y_odd"), F.col("tokens").alias("y_tokens"), "y_comp", "y_out")
     rest = (asks.join(y, "g").filter((F.col("y_comp") != F.col("comp")) & (F.col("apart") | F.col("y_out"))
-                                     & (F.col("n") * t.denominator >= F.col("y_n") * t.numerator) & (F.col("y_n") * t.denominator >= F.col("n") * t.numerator))
+                                     & _may_link(F.col("n"), F.col("odd"), F.col("y_n"), F.col("y_odd"), t))
             .filter(F.size(F.array_intersect("tokens", "y_tokens")) >= ELL)
             .select(F.least("node", "y").alias("a"), F.greatest("node", "y").alias("b")).distinct().join(stars, ["a", "b"], "left_anti"))
     second = written(_linked(rest, texts, k, t), "other-links")
@@ -234,7 +252,8 @@ def _assigned(docs: DataFrame, k: int, t: Fraction, id_col: str, text_col: str)
     small_batches(docs.sparkSession)
     rows = id_text(docs, id_col, text_col)
     sets = written(_prefixes(rows, k, t), "set-prefixes")
-    classes = sets.groupBy("_digest").agg(F.min("_id").alias("_least"), F.first("_n").alias("_n"), F.first("_prefix").alias("_prefix"))
+    classes = sets.groupBy("_digest").agg(F.min("_id").alias("_least"), F.first("_n").alias("_n"), F.first("_odd").alias("_odd"),
+                                          F.first("_prefix").alias("_prefix"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "set-classes")
     comp = similar_sets(classes, rows, k, t)
     of = classes.join(comp, "node", "left").select("_digest", "_least", F.coalesce("comp", "node").alias("comp"))

@@ -218,6 +218,7 @@ def test_clean_documents_stay(spark, make, edge):
 def test_similar_sets_share_tokens(t):
     rng = np.random.default_rng(9)
     bounds = jaccard._size_classes(t)
+    checked = 0
     for _ in range(600):
         n = int(rng.integers(1, 400))
         a = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
@@ -228,4 +229,8 @@ def test_similar_sets_share_tokens(t):
             both = len(np.intersect1d(a, b))
             near = both * t.denominator >= t.numerator * (len(a) + len(b) - both)
             if near and not np.array_equal(a, b):
+                checked += 1
                 assert len(np.intersect1d(jaccard.tokens(a, t, bounds), jaccard.tokens(b, t, bounds))) >= jaccard.ELL
+                differ = int(np.bitwise_count((jaccard.parities(a) ^ jaccard.parities(b)).view(np.uint64)).sum())
+                assert differ <= len(a) + len(b) - 2 * both
+    assert checked > 500
