@@ -6,6 +6,9 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -99,9 +102,35 @@ def shared_dir(spark: SparkSession) -> str:
     return configured
 
 
+# paths handed out inside the innermost `scratch` of this thread
+_handed: ContextVar[list[str] | None] = ContextVar("handed", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other call uses."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    handed = _handed.get()
+    if handed is not None:
+        handed.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end, also after an error, the intermediate tables that operators wrote inside.
+
+    DataFrames read those tables when they run: write or collect results before the end. Only paths handed out by
+    `scratch_path` in this thread go; tables with a path of their own stay.
+    """
+    handed: list[str] = []
+    token = _handed.set(handed)
+    try:
+        yield
+    finally:
+        _handed.reset(token)
+        for name in handed:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
