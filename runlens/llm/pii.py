@@ -5,7 +5,9 @@ within their format: the result has the same length and separators, passes the s
 all documents, so they remain linked. Different values of a format stay different.
 
 * digit strings: two halves of digits, each round adds a keyed digest of one half to the other, modulo a power of ten;
-* cards and account numbers: all digits but the last are permuted, and the last keeps its distance from the Luhn digit;
+* cards and account numbers: all digits but the last are permuted, and the last keeps its distance from the Luhn digit; with `luhn`
+  only numbers whose last digit is the Luhn digit count, others (order numbers, ISBNs, time stamps) stay as they are. A run of
+  digit groups is searched for them, so that a card is also found beside other numbers;
 * IBANs: the digits of the account part are permuted, letters stay, check digits are computed anew;
 * IPv4 addresses: two halves of 16 bits;
 * dates: the day within its 400-year calendar cycle (146097 = 189 * 773 days);
@@ -24,17 +26,25 @@ ROUNDS = 8
 CYCLE_DAYS, DAYS_LEFT, DAYS_RIGHT = 146097, 189, 773
 FIRST_DAY = "1000-01-01"
 
+_DAY = r"[1-9][0-9]{3}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9-])"
+_SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+_LOCAL = r"[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"
+
 # fixed values: formats, in the order in which they are tried at a place
 FORMATS: tuple[tuple[str, str], ...] = (
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9](?:[A-Za-z0-9-]*+\.)+[A-Za-z]{2,24}+(?![A-Za-z0-9])"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}+(?![A-Za-z0-9])"),
     ("ip", r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])"),
-    ("date", r"(?<![0-9-])[1-9][0-9]{3}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9-])"),
+    ("date", r"(?<![0-9-])" + _DAY),
     ("phone", r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"),
-    ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
-    ("card", r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"),
+    ("ssn", r"(?<![0-9-])" + _SSN),
+    # a run of digit groups, up to a group that starts another format
+    ("card", r"(?<![0-9A-Za-z])(?=[0-9](?:[ -]?[0-9]){12})[0-9]{1,19}+(?![0-9A-Za-z])"
+     rf"(?:(?! (?:{_DAY}|{_SSN}|{_LOCAL}))[ -][0-9]{{1,19}}+(?![0-9A-Za-z]))*+"),
     ("phone", r"(?<![0-9])\+[0-9]{8,15}(?![0-9])"),
 )
+# digits in the groups of a printed card
+PRINTED = "^(?:4 4 4 [1-4]|4 4 4 4 [1-3]|4 6 [45]|6 13)$"
 ANY = "|".join(p for _, p in FORMATS)
 HINT = "[0-9@]"
 
@@ -115,6 +125,42 @@ def _once(value: Column, fn) -> Column:
     return F.element_at(F.transform(F.array(value), fn), 1)
 
 
+def card_pieces(run: Column, luhn: bool) -> Column:
+    """A run of digit groups as an array of struct(t, card): from the left, the longest numbers of 13 to 19 digits, and what lies between.
+    With `luhn` a number ends in its Luhn digit and is one group, the whole run, or printed as cards are, with one separator."""
+    def piece(text: Column, card: bool) -> Column:
+        return F.struct(text.alias("t"), F.lit(card).alias("card"))
+
+    def search(parts: Column) -> Column:
+        groups, seps = parts["g"], parts["s"]  # seps[i + 1] follows group i, both from 1
+        n = F.size(groups)
+        text = lambda a, b: F.array_join(F.zip_with(F.slice(groups, a, b - a + 1), F.slice(seps, a + 1, b - a + 1), lambda g, z: F.concat(g, z)), "")
+
+        def fits(i: Column, j: Column) -> Column:
+            digits = F.array_join(F.slice(groups, i, j - i + 1), "")
+            size = F.char_length(digits)
+            right = size.between(13, 19)
+            if not luhn:
+                return right
+            lengths = F.array_join(F.transform(F.slice(groups, i, j - i + 1), lambda g: F.char_length(g).cast("string")), " ")
+            printed = (F.size(F.array_distinct(F.slice(seps, i + 1, j - i))) == 1) & lengths.rlike(PRINTED)
+            return right & ((i == j) | ((i == 1) & (j == n)) | printed) & (
+                luhn_digit(digits.substr(F.lit(1), size - 1)) == digits.substr(size, F.lit(1)).cast("int"))
+
+        def step(acc: Column, i: Column) -> Column:
+            last = F.array_max(F.filter(F.sequence(i, F.least(i + 18, n)), lambda j: fits(i, j)))
+            found = lambda j: F.struct(F.concat(acc["out"], F.array(
+                piece(text(acc["at"], i - 1), False), piece(F.concat(text(i, j - 1), F.element_at(groups, j)), True),
+                piece(F.element_at(seps, j + 1), False))).alias("out"), (j + 1).alias("at"))
+            return F.when(i < acc["at"], acc).otherwise(_once(last, lambda j: F.when(j.isNull(), acc).otherwise(found(j))))
+
+        start = F.struct(F.array().cast("array<struct<t:string,card:boolean>>").alias("out"), F.lit(1).alias("at"))
+        return F.aggregate(F.sequence(F.lit(1), n), start, step,
+                           lambda acc: F.concat(acc["out"], F.array(piece(text(acc["at"], n), False))))
+
+    return _once(F.struct(F.regexp_extract_all(run, F.lit("[0-9]+"), F.lit(0)).alias("g"), F.split(run, "[0-9]+", -1).alias("s")), search)
+
+
 def _number(value: Column, key: str) -> Column:
     def made(d: Column) -> Column:
         body = d.substr(F.lit(1), F.char_length(d) - 1)
@@ -167,40 +213,54 @@ def is_iban(value: Column) -> Column:
     return mod97(F.concat(value.substr(F.lit(5), F.char_length(value)), value.substr(F.lit(1), F.lit(4)))) == 1
 
 
-def classified(value: Column) -> Column:
-    """Kind of a match of `ANY`, or null where its check fails (an IBAN's remainder, a day that no month has)."""
+def shaped(value: Column) -> Column:
+    """Kind of a match of `ANY` by its form alone."""
+    return F.when(value.contains("@"), "email").when(value.rlike(_whole("iban")), "iban").when(value.rlike(_whole("ip")), "ip").when(
+        value.rlike(_whole("date")), "date").when(value.rlike(_whole("phone")), "phone").when(value.rlike(_whole("ssn")), "ssn").otherwise("card")
+
+
+def classified(value: Column, form: Column, pieces: Column) -> Column:
+    """Kind of a match, or null where its check fails (an IBAN's remainder, a day that no month has, a run without a card)."""
     as_day = F.try_to_timestamp(value, F.lit("yyyy-MM-dd"))
-    return (F.when(value.contains("@"), "email")
-            .when(value.rlike(_whole("iban")), F.when(is_iban(value), "iban"))
-            .when(value.rlike(_whole("ip")), "ip")
-            .when(value.rlike(_whole("date")), F.when(as_day.isNotNull() & (value < "9800"), "date"))
-            .when(value.rlike(_whole("phone")), "phone")
-            .when(value.rlike(_whole("ssn")), "ssn")
-            .otherwise("card"))
+    return (F.when(form == "iban", F.when(is_iban(value), form))
+            .when(form == "date", F.when(as_day.isNotNull() & (value < "9800"), form))
+            .when(form == "card", F.when(F.exists(pieces, lambda p: p["card"]), form))
+            .otherwise(form))
 
 
 KINDS = ("email", "iban", "ip", "date", "phone", "ssn", "card")
 
 
-def pseudonym(value: Column, kind: Column, key: str) -> Column:
+def pseudonym(value: Column, kind: Column, pieces: Column, key: str) -> Column:
     digest = F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), F.lower(value)), 256), 1, 12)
     return (F.when(kind == "email", F.concat(F.lit("user-"), digest, F.lit("@example.invalid")))
             .when(kind == "iban", _iban(value, key)).when(kind == "ip", _ip(value, key)).when(kind == "date", _date(value, key))
             .when(kind == "phone", _phone(value, key))
             .when(kind == "ssn", _refilled(value, permuted_digits(_only_digits(value), key, "ssn")))
-            .when(kind == "card", _number(value, key)).otherwise(value))
+            .when(kind == "card", F.array_join(F.transform(pieces, lambda p: F.when(
+                p["card"], _number(p["t"], key)).otherwise(p["t"])), "")).otherwise(value))
 
 
-def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, text with pseudonyms in place, n_{kind} for each kind, n_pii."""
+def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", luhn: bool = False) -> DataFrame:
+    """One row per input row: id, text with pseudonyms in place, n_{kind} for each kind, n_pii. With `luhn` a card or account number
+    counts only if its Luhn digit is right; without, each number of 13 to 19 digits does."""
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     none = F.array().cast("array<string>")
     found = rows.withColumn("_found", F.when(F.col("_text").rlike(HINT), F.regexp_extract_all("_text", F.lit(ANY), F.lit(0))).otherwise(none))
-    kinds = found.withColumn("_kinds", F.transform("_found", classified))
-    new = kinds.withColumn("_new", F.zip_with("_found", "_kinds", lambda v, k: pseudonym(v, k, key)))
+    forms = found.withColumn("_forms", F.transform("_found", lambda v: _once(shaped(v), lambda f: F.struct(
+        v.alias("v"), f.alias("f"), F.when(f == "card", card_pieces(v, luhn)).alias("p")))))
+    kinds = forms.withColumn("_kinds", F.transform("_forms", lambda x: classified(x["v"], x["f"], x["p"])))
+    new = kinds.withColumn("_new", F.zip_with("_forms", "_kinds", lambda x, k: pseudonym(x["v"], k, x["p"], key)))
     # split keeps what lies between the same matches, one piece more than there are matches
     whole = F.array_join(F.flatten(F.zip_with(F.split("_text", ANY, -1), F.col("_new"), lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
     out = new.withColumn("_out", F.when(F.size("_found") > 0, whole).otherwise(F.col("_text")))
-    counts = [F.size(F.filter("_kinds", lambda k: k == F.lit(kind))).cast("long").alias(f"n_{kind}") for kind in KINDS]
-    return out.select(F.col("_id").alias(id_col), F.col("_out").alias(text_col), *counts,
-                      F.size(F.filter("_kinds", lambda k: k.isNotNull())).cast("long").alias("n_pii"))
+    # a match is one value, but a run of digit groups can hold several cards
+    each = F.zip_with("_forms", "_kinds", lambda x, k: F.struct(k.alias("k"), F.when(
+        k == "card", F.size(F.filter(x["p"], lambda p: p["card"]))).otherwise(1).alias("n")))
+    sized = out.withColumn("_each", each)
+
+    def total(*kinds: str) -> Column:
+        return F.aggregate(F.filter("_each", lambda x: x["k"].isin(*kinds)), F.lit(0).cast("long"), lambda a, x: a + x["n"])
+
+    counts = [total(kind).alias(f"n_{kind}") for kind in KINDS]
+    return sized.select(F.col("_id").alias(id_col), F.col("_out").alias(text_col), *counts, total(*KINDS).alias("n_pii"))

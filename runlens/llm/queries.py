@@ -105,7 +105,7 @@ def op7_license_scans(spark, sf_dir):
 
 @query("op10_pii")
 def op10_pii(spark, sf_dir):
-    return pii.pseudonymised(table(spark, sf_dir, "documents"), PII_KEY)
+    return pii.pseudonymised(table(spark, sf_dir, "documents"), PII_KEY, luhn=True)
 
 
 @query("op5_quality_classifier")

@@ -139,6 +139,29 @@ def test_long_runs_are_scanned_in_linear_time(make):
     assert {r["n_pii"] for r in pii.pseudonymised(make(rows), "k").collect()} == {0}
 
 
+def test_numbers_without_a_luhn_digit_stay(make):
+    card, other = "4539 1488 0343 6467", "4012888888881881"
+    clean = ["9807915762804490", "9890149938096989", "ISBN 9780306406158 or 1700000000001 ms", "9807 9157 6280 4490", "1234567 2345678 3456789 4567"]
+    around = ["{}", "12 {}", "{} 12", "12345 {}", "{} 1111", "1111 {} 2222 3333", "{} 2021-02-28", "7 {} 123-45-6789"]
+    rows = [(n, t) for n, t in enumerate(clean)] + [(100 + n, t.format(card)) for n, t in enumerate(around)] + [(200, f"{card} {other} {card}")]
+    got = {r["doc_id"]: r for r in pii.pseudonymised(make(rows), "k", luhn=True).collect()}
+    for n, t in enumerate(clean):
+        assert (got[n]["text"], got[n]["n_card"], got[n]["n_pii"]) == (t, 0, 0)
+    new = got[100]["text"]
+    assert luhn_ok(new.replace(" ", "")) and new != card
+    for n, t in enumerate(around[:6]):
+        assert (got[100 + n]["text"], got[100 + n]["n_card"]) == (t.format(new), 1), t
+    assert got[106]["text"].startswith(new) and got[106]["n_date"] == 1 and got[107]["text"].startswith(f"7 {new} ") and got[107]["n_ssn"] == 1
+    assert got[200]["n_card"] == got[200]["n_pii"] == 3 and got[200]["text"].startswith(new) and got[200]["text"].endswith(new) and other not in got[200]["text"]
+
+
+def test_registered_query_checks_numbers(spark, tmp_path):
+    from runlens.llm.queries import QUERIES
+
+    spark.createDataFrame([(1, "9807915762804490"), (2, "4012888888881881")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r["doc_id"]: r["n_card"] for r in QUERIES["op10_pii"](spark, str(tmp_path)).collect()} == {1: 0, 2: 1}
+
+
 # ---- chat ----
 
 NASTY = ["<|", "<~|", "<", "|", "~", "[INST]", "[~INST]", "[/INST]", "</s>", "<s>", "<<SYS>>", "<</SYS>>", "\n", "<|part|>", "<|end|>\n", "<|start|>user\n", "$1", "\\E", "é𝔘", ""]
