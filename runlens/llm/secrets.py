@@ -1,8 +1,9 @@
 """Secrets in texts: fixed patterns, and strings that a tokenizer finds hard.
 
 Natural words take few tokens, random strings take many: a run of key characters whose characters-per-token ratio under
-a public vocabulary is low is reported as `random`. Known digest lengths, UUIDs and plain identifiers (one kind of
-character, or words joined by separators) are left out there. The fixed patterns report what they match in any case.
+a public vocabulary is low is reported as `random`. Where a run as a whole is not, its stretches between separators are
+looked at, so that a key behind a path or a name is found. Known digest lengths, UUIDs, numbers and what is mostly
+separators are left out there. The fixed patterns report what they match in any case.
 
 Each row is handled on its own, in Arrow batches of few rows. Nulls: a null text is empty. Repeated rows give equal
 rows; an empty table gives none; only the id and the text column are read.
@@ -27,8 +28,11 @@ ASSIGN_HINT = re.compile(r"pass|secret|token|api", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LEAST = 16
+RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+PART = re.compile(r"[A-Za-z0-9]+")
 UUID = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.I)
+UUID_INSIDE = re.compile(rf"(?<![A-Za-z0-9]){UUID.pattern}(?![A-Za-z0-9])", re.I)
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})", re.I)
 IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)(?:[-_/=+]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+))*")
 CHARS_PER_TOKEN = 2.2
@@ -54,12 +58,50 @@ def _encoder(name: str):
 
 
 def is_random(run: str, vocabulary: str = VOCABULARY, limit: float = CHARS_PER_TOKEN) -> bool:
-    if UUID.fullmatch(run) or DIGEST.fullmatch(run) or IDENTIFIER.fullmatch(run):
+    if UUID.fullmatch(run) or DIGEST.fullmatch(run) or not re.search("[A-Za-z]", run):
         return False
-    # a random string has digits and letters in several short stretches
-    if len(re.findall(r"[A-Z]+|[a-z]+|[0-9]+", run)) < 4:
+    # a random string has few separators
+    if 3 * sum(map(len, PART.findall(run))) < 2 * len(run):
         return False
-    return len(run) / len(_encoder(vocabulary).encode_ordinary(run)) < limit
+    # words joined by separators count without them
+    words = PART.findall(run) if IDENTIFIER.fullmatch(run) else [run]
+    return sum(map(len, words)) / sum(len(_encoder(vocabulary).encode_ordinary(w)) for w in words) < limit
+
+
+def _stretches(run: str, vocabulary: str, limit: float) -> list[tuple[int, int]]:
+    """Stretches of whole parts of a run, from separator to separator, that take the most tokens beyond length / limit
+    (all maximal scoring ones, found in one pass). UUIDs and digests end a stretch."""
+    known = [m.span() for m in UUID_INSIDE.finditer(run)]
+    # stretches so far: start, end, score before, score after
+    kept: list[tuple[int, int, float, float]] = []
+    out, score, at = [], 0.0, 0
+    for m in PART.finditer(run):
+        while known and known[0][1] <= m.start():
+            known.pop(0)
+        if DIGEST.fullmatch(m[0]) or known and known[0][0] <= m.start():
+            out, kept, score, at = out + kept, [], 0.0, m.end()
+            continue
+        score -= m.start() - at  # a separator costs its length, as if it took no token
+        gain = limit * len(_encoder(vocabulary).encode_ordinary(m[0])) - len(m[0])
+        before, score, at = score, score + gain, m.end()
+        if gain <= 0:
+            continue
+        new = (m.start(), m.end(), before, score)
+        while True:
+            j = next((j for j in range(len(kept) - 1, -1, -1) if kept[j][2] < new[2]), None)
+            if j is None or kept[j][3] >= new[3]:
+                kept.append(new)
+                break
+            new = (kept[j][0], new[1], kept[j][2], new[3])
+            del kept[j:]
+    return [x[:2] for x in out + kept]
+
+
+def random_spans(run: str, vocabulary: str = VOCABULARY, limit: float = CHARS_PER_TOKEN) -> list[tuple[int, int]]:
+    """(start, end) of what is random in a run of key characters: all of it, or stretches of its parts."""
+    if is_random(run, vocabulary, limit):
+        return [(0, len(run))]
+    return [(a, b) for a, b in _stretches(run, vocabulary, limit) if b - a >= LEAST and is_random(run[a:b], vocabulary, limit)]
 
 
 def spans(text: str, vocabulary: str = VOCABULARY, limit: float = CHARS_PER_TOKEN) -> list[tuple[int, int, int]]:
@@ -69,7 +111,7 @@ def spans(text: str, vocabulary: str = VOCABULARY, limit: float = CHARS_PER_TOKE
         found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    found += [(m.start(), 3, m.end()) for m in RUN.finditer(text) if is_random(m[0], vocabulary, limit)]
+    found += [(m.start() + a, 3, m.start() + b) for m in RUN.finditer(text) for a, b in random_spans(m[0], vocabulary, limit)]
     return sorted(found)
 
 

@@ -47,6 +47,24 @@ def test_random_strings_are_found_and_digests_left_out(make):
     assert secrets.scan(make([])).collect() == []
 
 
+def test_random_strings_of_one_case_and_behind_names_are_found():
+    import string
+
+    rng = random.Random(6)
+    drawn = lambda letters, n: "".join(rng.choices(letters, k=n))
+    both = string.ascii_letters + string.digits
+    for _ in range(30):
+        dashed = "-".join(drawn(string.ascii_lowercase, 4) for _ in range(5))
+        for text in (drawn(string.ascii_lowercase, 32), drawn(string.ascii_uppercase, 32), dashed):
+            assert secrets.random_spans(text) == [(0, len(text))], text
+        for head, key in (("management/information/development/", drawn(both, 20)), ("production_database_password_", drawn(both, 24))):
+            found = [(a, b) for a, k, b in secrets.spans(head + key + " and more") if k == 3]
+            assert len(found) == 1 and found[0][1] == len(head + key) and found[0][0] <= len(head), head + key
+    for text in ("MAX_BUFFER_SIZE_BYTES", "org/apache/spark/sql/catalyst", "verantwoordelijkheden", "2024-01-02-03-04-05", "9807915762804490",
+                 "=-=-=-=-=-=-=-=-=-=", "123e4567-e89b-12d3-a456-426614174000", "9c56cc51b374c3ba189210d5b6d4bf57790d351c"):
+        assert secrets.random_spans(text) == [], text
+
+
 # ---- licences ----
 
 
