@@ -83,6 +83,29 @@ def test_licences_by_canonical_text(make, edge):
     assert licenses.scan(make([])).collect() == []
 
 
+def test_wrapped_lines_that_start_with_copyright_stay(make):
+    known = dict(licenses.KNOWN[3:4])
+    isc = "ISC License\n\nCopyright (c) 2021 A. Person\n\n" + known["ISC"].replace("provided that the above copyright notice", "provided that the above\ncopyright notice")
+    mit = licenses.KNOWN[0][1].replace("AUTHORS OR COPYRIGHT", "AUTHORS OR\nCOPYRIGHT")
+    lines = {20: "Copyright 2020 X", 21: "copyright: the authors", 22: " * (c) Jane Doe", 23: "(C) Acme 2020", 24: "Copyright Jane Doe", 25: "(c) Copyright Y",
+             30: "(c) You must retain all notices", 31: "copyright law applies", 32: "copyright", 33: "Copyright holders shall not", 34: "(c) the licence ends"}
+    texts = [(1, isc), (2, mit), (3, "Boost Software License - Version 1.0 - August 17th, 2003\n" + licenses._BSL), *lines.items()]
+    got = {r["doc_id"]: r for r in licenses.scan(make(texts)).collect()}
+    assert [got[i]["license"] for i in (1, 2, 3)] == ["ISC", "MIT", "BSL-1.0"] and [got[i]["n_copyright"] for i in (1, 2, 3)] == [1, 0, 0]
+    assert {i: got[i]["n_copyright"] for i in lines} == {i: int(i < 30) for i in lines}
+
+
+def test_long_licences_by_their_digests(make):
+    from pathlib import Path
+
+    at, names = Path("/usr/share/common-licenses"), {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0-only", "GPL-3": "GPL-3.0-only", "LGPL-3": "LGPL-3.0-only", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    files = [(n, f) for n, f in enumerate(names) if (at / f).exists()]
+    if not files:
+        pytest.skip("no licence files on this machine")
+    got = {r["doc_id"]: r["license"] for r in licenses.scan(make([(n, (at / f).read_text()) for n, f in files])).collect()}
+    assert got == {n: names[f] for n, f in files}
+
+
 # ---- personal data ----
 
 
