@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from runlens.llm import chat, decontaminate, exact_dedup, jaccard, language, licenses, packing, pii, quality, secrets
+from runlens.llm import chat, decontaminate, exact_dedup, jaccard, language, licenses, packing, pii, quality, repair, secrets, sharding, spelling
 from runlens.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -126,3 +126,100 @@ def op9_language_id(spark, sf_dir):
 @query("op3_ngram_jaccard_join")
 def op3_ngram_jaccard_join(spark, sf_dir):
     return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+# CRC-32 in SQL: the table of its 256 remainders, and a checksum of the UTF-8 bytes of a text
+_CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+    lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS remainders)"""
+
+
+def _crc32(text: str) -> str:
+    """Needs the table `crc` in the FROM clause."""
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)"
+    step = "lambda c, b: xor(c >> 8, remainders[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce({octets}, {step}, 4294967295::BIGINT), 4294967295)"
+
+
+SLIPS = 199
+
+
+@query("op11_spelling_variants", rf"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+grouped AS (SELECT doc_id, w, count(*) AS c FROM runs WHERE length(w) >= 6 GROUP BY ALL),
+hashed AS (SELECT w, c, {_crc32("coalesce(doc_id::VARCHAR, '') || ':' || w")} AS h FROM grouped, crc),
+slipped AS (SELECT CASE WHEN h % {SLIPS} = 0 THEN left(w, (h % length(w))::BIGINT) || substr(w, (h % length(w))::BIGINT + 2) ELSE w END AS w, c FROM hashed),
+words AS (SELECT w, sum(c)::BIGINT AS n FROM slipped WHERE length(w) >= 6 GROUP BY w HAVING sum(c) >= 5),
+cuts AS (SELECT w, i, left(w, i) || substr(w, i + 2) AS s FROM (SELECT w, unnest(range(length(w))) AS i FROM words)),
+near AS (SELECT a.w, b.w AS v FROM cuts a JOIN cuts b ON a.i = b.i AND a.s = b.s AND a.w <> b.w
+  UNION SELECT c.w, v.w FROM cuts c JOIN words v ON c.s = v.w UNION SELECT v.w, c.w FROM cuts c JOIN words v ON c.s = v.w),
+ranked AS (SELECT near.w, v, n, count(*) OVER (PARTITION BY near.w) AS n_near,
+  row_number() OVER (PARTITION BY near.w ORDER BY n DESC, v) AS nr FROM near JOIN words ON words.w = near.v),
+forms AS (SELECT words.w, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN r.n >= 5 * words.n THEN v END AS form,
+  CASE WHEN r.n >= 5 * words.n THEN r.n END AS form_n FROM words LEFT JOIN ranked r ON r.w = words.w AND nr = 1),
+walk AS (SELECT w, w AS at FROM forms UNION ALL SELECT walk.w, form FROM walk JOIN forms ON forms.w = walk.at WHERE form IS NOT NULL)
+SELECT f.w AS word, f.form, walk.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN walk ON walk.w = f.w
+JOIN forms e ON e.w = walk.at WHERE e.form IS NULL""")
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), slips=SLIPS)
+
+
+def _edit(way: str, cost: str, letter: str, line: str) -> str:
+    """`way` is {k: cost in six digits and audit, t: repaired lines}; one edit before it."""
+    return f"{{'k': lpad((left({way}.k, 6)::INTEGER + {cost})::VARCHAR, 6, '0') || '{letter}' || substr({way}.k, 7), 't': {line} || {way}.t}}"
+
+
+_LINE = "chr(10) || role || ':' || text"
+_GRAMMAR = [("u", "user", 2), ("u", "user", 2), ("a", "assistant", 3), ("u", "user", 2)]
+
+
+def _row_edits(state: int) -> str:
+    initial, role, after = _GRAMMAR[state]
+    more = "(fault = 'truncated')::INTEGER"
+    keeps = [f"CASE WHEN stays AND initial = '{initial}' THEN {_edit(f'b{after}', more, 'K', _LINE)} END"]
+    if state == 0:
+        keeps.append(f"CASE WHEN stays AND initial = 's' THEN {_edit('b1', more, 'K', _LINE)} END")
+    rerole = f"CASE WHEN stays THEN {_edit(f'b{after}', f'2 + {more}', 'R', f"chr(10) || '{role}:' || text")} END"
+    return f"least({_edit(f'b{state}', '3', 'D', "''")}, {', '.join(keeps)}, {rerole}) AS g{state}"
+
+
+def _inserted(way: str, role: str) -> str:
+    return _edit(way, "2", "I", f"chr(10) || '{role}:'")
+
+
+@query("op12_conversation_repair", rf"""
+WITH RECURSIVE {_CRC_TABLE},
+source AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS h FROM conversations, crc),
+damaged AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+  CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE h WHEN 3 THEN 2 ELSE 1 END)) AS again
+  FROM source WHERE h <> 0),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again) AS i,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, again) AS nth, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown FROM damaged),
+faulty AS (SELECT *, left(role, 1) AS initial, CASE WHEN shown = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+    WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+  left(role, 1) || lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i DESC) AS pair FROM seen),
+rows_ AS (SELECT *, fault NOT IN ('blank', 'duplicate') AS stays FROM faulty),
+counts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+  count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+  count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM rows_ GROUP BY conv_id),
+steps AS (SELECT conv_id, n + 1 AS i, {{'k': '000000', 't': ''}} AS b0, {{'k': '000004II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS b1,
+    {{'k': '000002I', 't': chr(10) || 'assistant:'}} AS b2, {{'k': '000000', 't': ''}} AS b3 FROM counts
+  UNION ALL SELECT conv_id, i, least(g0, {_inserted("f2", "user")}), least(g1, {_inserted("f2", "user")}), f2, f3 FROM (
+    SELECT conv_id, i, g0, g1, least(g2, {_inserted("g3", "assistant")}) AS f2, least(g3, {_inserted("g2", "user")}) AS f3 FROM (
+      SELECT r.conv_id, r.i, {", ".join(map(_row_edits, range(4)))}
+      FROM steps s JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.i = s.i - 1))),
+best AS (SELECT conv_id, b0 FROM steps WHERE i = 1),
+all_ AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(left(b0.k, 6)::BIGINT, 0) AS cost, coalesce(substr(b0.k, 7), '') AS audit, sha256(coalesce(substr(b0.t, 2), '')) AS repaired_sha256
+FROM all_ a LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM a.conv_id""")
+def op12_conversation_repair(spark, sf_dir):
+    rows, copies = repair.damaged(table(spark, sf_dir, "conversations"))
+    return repair.digests(repair.repaired(rows, copies=copies))
+
+
+@query("op13_hilbert_sharding")
+def op13_hilbert_sharding(spark, sf_dir):
+    return sharding.shards(table(spark, sf_dir, "documents"))
