@@ -151,8 +151,11 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                  n_shards: int = SHARDS, files_per_shard: int = 1) -> DataFrame:
     """Write the documents with all their columns to `path/shard=n`, in the order of the curve; gives the manifest: rows, bytes and the range of every dimension per shard.
 
-    Rows that agree in id and text, if cut apart, go to the least of their shards.
+    Rows that agree in id and text, if cut apart, go to the least of their shards. If the documents have a column `shard`, the folders are called `shard_`.
     """
+    folder, taken = "shard", {c.lower() for c in docs.columns}
+    while folder in taken:
+        folder += "_"
     placed = shards(docs, id_col, text_col, by, n_shards)
     where = placed.groupBy(F.col(id_col).alias("_id"), F.col("text_hash").alias("_h")).agg(F.min(F.struct("shard", "slot")).alias("_at"))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
@@ -160,6 +163,6 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     found = keyed.join(where, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_h"))).select("_doc", "_size", F.col("_at.shard").alias("_shard"), F.col("_at.slot").alias("_slot"))
     laid = found.repartitionByRange(n_shards * files_per_shard, "_shard", "_slot").sortWithinPartitions("_shard", "_slot")
     out = written(laid.select(F.col("_shard").alias("shard"), "_doc", "_size"), "shards-to-write")
-    out.select("shard", "_doc.*").write.mode("overwrite").partitionBy("shard").parquet(path)
+    out.select(F.col("shard").alias(folder), "_doc.*").write.mode("overwrite").partitionBy(folder).parquet(path)
     ranges = [f(F.col(f"_doc.`{c}`")).alias(f"{n}_{c}") for c in (id_col, *by) for f, n in ((F.min, "min"), (F.max, "max"))]
     return out.groupBy("shard").agg(F.count("*").alias("rows"), F.sum(F.col("_size") + 1).alias("bytes"), F.min("_size").alias("min_bytes"), F.max("_size").alias("max_bytes"), *ranges)
