@@ -47,11 +47,20 @@ class _Words(dict):
         return ids
 
 
+# fixed values: the characters that the pattern's \\s takes beside the blank
+SPACES = "\t\n\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def has_run(text: str) -> bool:
+    """Some white space stands beside a blank."""
+    return "  " in text or any(c in text and (f"{c} " in text or f" {c}" in text) for c in SPACES)
+
+
 class Tokens:
     """Ids of a text under the vocabulary, two bytes each.
 
-    The vocabulary's pattern lets a blank begin a token and end none, except in a run of blanks. A text without such a run
-    is therefore tokenized word by word, with a cache; any other text as a whole, and one that
+    The vocabulary's pattern lets a blank begin a token and end none, except in a run of white space. A text where no white space
+    stands beside a blank is therefore tokenized word by word, with a cache; any other text as a whole, and one that
     spells the special token by the library that knows it.
     """
 
@@ -66,7 +75,7 @@ class Tokens:
     def ids(self, text: str) -> bytes:
         if SPECIAL in text:
             return array("H", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
-        if "  " in text:
+        if has_run(text):
             return array("H", self.encode(text)).tobytes()
         head, *rest = text.split(" ")
         found = b"".join(map(self.spaced.__getitem__, rest))

@@ -1,5 +1,6 @@
 """Packing, language, quality, the pipeline and the registered queries."""
 
+import random
 import zlib
 
 import numpy as np
@@ -165,3 +166,16 @@ NATIVE = ("op2_", "op4_", "op6_", "op7_", "op10_")
 def test_native_plans_hold_no_python(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_ids_equal_the_library_for_every_white_space(library):
+    """Runs of up to six spaces of every kind, between, before and after words."""
+    tokens, rng = packing.Tokens(), random.Random(21)
+    spaces = [c for c in map(chr, range(0x3001)) if c.isspace()]
+    assert set(packing.SPACES) <= set(spaces)
+    texts = [" \xa0 \xa0", "\xa0 a", " \u3000", "a \n b"]
+    for _ in range(6000):
+        kinds = [" ", *rng.sample(spaces, 2)]
+        texts.append("".join(rng.choice(["a", "word", "\u00e9", "1", ".", ""]) + "".join(rng.choice(kinds) for _ in range(rng.randint(0, 6))) for _ in range(4)))
+    for text in texts:
+        assert np.frombuffer(tokens.ids(text), np.uint16).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
