@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from runlens.functions import events as ev
+from runlens.operators import demand as dm
 from runlens.operators import lifecycle as lc
 from runlens.plans.fixtures import JOB_EVENTS_CTE, KNOWN_CTE, driver_jobs, job_events, kill_requests
 from runlens.plans.registry import query
@@ -245,7 +246,7 @@ def resume_ids(t):
     return lc.resume_points(job_events(t))
 
 
-@query("running_counts", f"""WITH {_STATES},
+_RUNNING = f"""WITH {_STATES},
 changes AS (
   SELECT job_set, record_id AS message_id, 0 AS r, 0 AS p, 1 AS a FROM states
   UNION ALL SELECT job_set, submit_id, 0, 1, 0 FROM states
@@ -255,10 +256,52 @@ changes AS (
   UNION ALL SELECT job_set, terminal_id, CASE WHEN register_id < terminal_id THEN -1 ELSE 0 END,
     CASE WHEN submit_id < terminal_id AND coalesce(register_id, 9e18) > terminal_id THEN -1 ELSE 0 END, -1
     FROM states WHERE terminal_id IS NOT NULL),
-merged AS (SELECT job_set, message_id, sum(r) AS r, sum(p) AS p, sum(a) AS a FROM changes GROUP BY ALL)
-SELECT job_set, message_id,
-  CAST(sum(r) OVER w AS BIGINT) AS registered, CAST(sum(p) OVER w AS BIGINT) AS pending,
-  CAST(sum(a) OVER w AS BIGINT) AS active
-FROM merged WINDOW w AS (PARTITION BY job_set ORDER BY message_id)""")
+merged AS (SELECT job_set, message_id, sum(r) AS r, sum(p) AS p, sum(a) AS a FROM changes GROUP BY ALL),
+running AS (SELECT job_set, message_id,
+    CAST(sum(r) OVER w AS BIGINT) AS registered, CAST(sum(p) OVER w AS BIGINT) AS pending,
+    CAST(sum(a) OVER w AS BIGINT) AS active
+  FROM merged WINDOW w AS (PARTITION BY job_set ORDER BY message_id))"""
+
+
+@query("running_counts", f"{_RUNNING} SELECT * FROM running")
 def running_counts(t):
     return lc.running_counts(job_events(t))
+
+
+_AS_OF = _RUNNING + """,
+counts AS (SELECT job_set, ts, registered, pending FROM running JOIN job_events USING (job_set, message_id)
+  QUALIFY row_number() OVER (PARTITION BY job_set, ts ORDER BY message_id DESC) = 1),
+targets AS (SELECT job_set, k % 3 AS profile, ts, k AS target, k % 16 - 1 AS cardinality FROM job_events WHERE kind = 'queued'
+  QUALIFY row_number() OVER (PARTITION BY job_set, k % 3, ts ORDER BY message_id DESC) = 1),
+ticks AS (SELECT message_id AS tick_id, job_set, ts FROM job_events WHERE kind = 'utilisation' AND k < 70),
+profiles AS (SELECT DISTINCT job_set, profile FROM targets),
+counted AS (SELECT tick_id, t.job_set, t.ts, coalesce(registered, 0) AS registered, coalesce(pending, 0) AS pending
+  FROM ticks t ASOF LEFT JOIN counts c ON c.job_set = t.job_set AND t.ts >= c.ts),
+each AS (SELECT * FROM counted JOIN profiles USING (job_set)),
+gaps AS (SELECT tick_id, e.job_set, e.profile, target, cardinality, registered, pending, target - (registered + pending) AS gap
+  FROM each e ASOF JOIN targets g ON g.job_set = e.job_set AND g.profile = e.profile AND e.ts >= g.ts),
+wanted AS (SELECT job_set, count(DISTINCT job_id) % 20 AS initial FROM job_events GROUP BY job_set)"""
+
+
+def _gaps(t):
+    """Demand messages set targets per profile; usage reports are the ticks that ask for them."""
+    e = job_events(t)
+    ticks = e.filter((F.col("kind") == "utilisation") & (F.col("k") < 70)).select(F.col("message_id").alias("tick_id"), "job_set", "ts")
+    targets = e.filter(F.col("kind") == "queued").select(
+        "job_set", (F.col("k") % 3).alias("profile"), "ts", "message_id", F.col("k").alias("target"), (F.col("k") % 16 - 1).alias("cardinality"))
+    return dm.gap_as_of(ticks, targets, dm.counts_over_time(e))
+
+
+@query("gap_as_of", f"{_AS_OF} SELECT tick_id, job_set, profile, target, registered, pending, CAST(gap AS BIGINT) AS gap FROM gaps")
+def gap_as_of(t):
+    return _gaps(t).select("tick_id", "job_set", "profile", "target", "registered", "pending", "gap")
+
+
+@query("allocate_as_of", f"""{_AS_OF},
+gated AS (SELECT g.*, gap > 0 AND pending < 8 AND ((registered = 0 AND pending = 0) OR registered >= initial * CAST(0.8 AS DOUBLE)) AS allowed
+  FROM gaps g JOIN wanted USING (job_set))
+SELECT tick_id, job_set, profile, allowed,
+  CAST(CASE WHEN allowed THEN least(gap, CASE WHEN cardinality > 0 THEN least(10, cardinality) ELSE 10 END) ELSE 0 END AS BIGINT) AS n FROM gated""")
+def allocate_as_of(t):
+    wanted = job_events(t).groupBy("job_set").agg((F.countDistinct("job_id") % 20).alias("initial"))
+    return dm.allocate_as_of(_gaps(t), wanted, max_pending=8).select("tick_id", "job_set", "profile", "allowed", "n")
