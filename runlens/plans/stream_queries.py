@@ -10,6 +10,7 @@ from runlens.plans.registry import query
 from runlens.session import scratch_path
 from runlens.sources.event_stream import QUARANTINE, event_source, table_stream
 from runlens.streaming import lifecycle as sl
+from runlens.streaming import reduced as rd
 from runlens.streaming.run import drain, drain_batches, drain_to_table
 
 
@@ -24,8 +25,19 @@ class _Streamed:
         return table_stream(self.t.spark, path, self.t[name].schema, self.files)
 
 
+# files of one micro-batch: it bounds what a batch reads, whatever waits
+FILES_PER_TRIGGER = 64
+
+
 def _stream(t):
-    return job_events(_Streamed(t))
+    return job_events(_Streamed(t, FILES_PER_TRIGGER))
+
+
+def _reduced(t):
+    """The events of the table as a stream of reduced rows."""
+    reducer = rd.Reducer(scratch_path(t.spark, "reduced"))
+    drain_batches(_stream(t), reducer, scratch_path(t.spark, "checkpoint"))
+    return reducer.stream(t.spark, FILES_PER_TRIGGER)
 
 
 @query("event_source", f"""WITH {JOB_EVENTS_CTE}
@@ -37,7 +49,7 @@ def event_source_query(t):
     line = F.to_json(F.struct("message_id", "ts", "job_set", "job_id", "kind", "reason", "cause", "exit_codes"))
     # every tenth line is cut short, as a broken message
     e.select(F.when(F.col("k") % 10 == 3, F.substring(line, 1, 20)).otherwise(line).alias("value")).write.text(path)
-    out = drain_to_table(event_source(t.spark, path))
+    out = drain_to_table(event_source(t.spark, path, FILES_PER_TRIGGER))
     kind = F.when(F.col(QUARANTINE).isNull(), F.col("kind")).otherwise("malformed")
     return out.groupBy(kind.alias("kind")).agg(
         F.count(F.lit(1)).alias("n_events"),
@@ -47,9 +59,7 @@ def event_source_query(t):
 @query("stream_first_terminal", f"""WITH {KNOWN_CTE}
 SELECT job_id, message_id, job_set, loss_kind, CAST(code AS INTEGER) AS code, app_caused, message FROM first_terminal""")
 def stream_first_terminal(t):
-    state = sl.FirstTerminals(scratch_path(t.spark, "first-terminal"))
-    drain_batches(_stream(t), state, scratch_path(t.spark, "checkpoint"))
-    return state.result(t.spark).drop("ts")
+    return drain_to_table(rd.ends(_reduced(t))).drop("ts", "record_id")
 
 
 @query("stream_lifecycle", f"""WITH {_STATES}
@@ -58,7 +68,36 @@ UNION ALL SELECT job_id, submit_id, 'pending' FROM states WHERE submit_id < leas
 UNION ALL SELECT job_id, register_id, 'registered' FROM states WHERE register_id < coalesce(terminal_id, 9e18)
 UNION ALL SELECT job_id, terminal_id, 'terminal' FROM states WHERE terminal_id IS NOT NULL""")
 def stream_lifecycle(t):
-    return drain_to_table(sl.stream_lifecycle(_stream(t)))
+    return drain_to_table(rd.transitions(_reduced(t)))
+
+
+@query("stream_from_history", f"""WITH {_STATES},
+half AS (SELECT max(message_id) // 2 AS half_id FROM job_events)
+SELECT * FROM (
+  SELECT job_id, record_id AS message_id, 'recorded' AS transition FROM states
+  UNION ALL SELECT job_id, submit_id, 'pending' FROM states WHERE submit_id < least(coalesce(terminal_id, 9e18), coalesce(register_id, 9e18))
+  UNION ALL SELECT job_id, register_id, 'registered' FROM states WHERE register_id < coalesce(terminal_id, 9e18)
+  UNION ALL SELECT job_id, terminal_id, 'terminal' FROM states WHERE terminal_id IS NOT NULL) WHERE message_id > (SELECT half_id FROM half)""")
+def stream_from_history(t):
+    """Half of the events are history; the stream takes the others and knows the state of every job."""
+    e = job_events(t)
+    half = e.agg(F.expr("max(message_id) div 2")).first()[0] or 0
+    reducer = rd.Reducer(scratch_path(t.spark, "reduced"))
+    drain_batches(_stream(t).filter(F.col("message_id") > half), reducer, scratch_path(t.spark, "checkpoint"))
+    start = rd.initial_states(e.filter(F.col("message_id") <= half))
+    return drain_to_table(rd.transitions(reducer.stream(t.spark, FILES_PER_TRIGGER), start))
+
+
+@query("stream_state_store", f"""WITH {_STATES}
+SELECT job_id, record_id, CASE WHEN pending THEN submit_id END AS submit_id, pending FROM sets WHERE active""")
+def stream_state_store(t):
+    """Active and pending jobs of a stream, out of the state store in its checkpoint."""
+    mark = scratch_path(t.spark, "checkpoint")
+    drain(rd.transitions(_reduced(t)), scratch_path(t.spark, "transitions"), mark)
+    states = rd.stored_states(t.spark, mark)
+    pending = rd.pending_jobs(states).withColumnRenamed("job_id", "_job")
+    return rd.active_jobs(states).join(pending, F.col("job_id") == F.col("_job"), "left").select(
+        "job_id", "record_id", "submit_id", F.col("submit_id").isNotNull().alias("pending"))
 
 
 TIMEOUT_MS = 3 * 86_400_000
@@ -70,7 +109,7 @@ per AS (SELECT job_id, min(epoch_us(ts) // 1000) AS started_ms,
 SELECT job_id, started_ms, started_ms + {TIMEOUT_MS} AS deadline_ms FROM per
 WHERE (ended_ms IS NULL OR ended_ms > started_ms + {TIMEOUT_MS}) AND started_ms + {TIMEOUT_MS} <= (SELECT max(epoch_us(ts)) // 1000 FROM job_events)""")
 def stream_watch_timeout(t):
-    return drain_to_table(sl.stream_watch_timeout(_stream(t), TIMEOUT_MS))
+    return drain_to_table(rd.overdue(_reduced(t), TIMEOUT_MS))
 
 
 @query("stream_state_counts", f"""WITH {KNOWN_CTE},
@@ -90,10 +129,10 @@ def stream_resume(t):
     e = job_events(t).select("message_id", "job_set", "job_id", "kind", "k")
     early = F.col("k") < 40
     e.filter(early).write.mode("append").parquet(source)
-    drain(table_stream(t.spark, source, e.schema), out, mark)
+    drain(table_stream(t.spark, source, e.schema, FILES_PER_TRIGGER), out, mark)
     # the stream stopped; new files arrive; the same checkpoint goes on after the last file it saw
     e.filter(~early).write.mode("append").parquet(source)
-    drain(table_stream(t.spark, source, e.schema), out, mark)
+    drain(table_stream(t.spark, source, e.schema, FILES_PER_TRIGGER), out, mark)
     return t.spark.read.parquet(out).groupBy("job_set").agg(
         F.count(F.lit(1)).alias("n_events"), F.countDistinct("message_id").alias("n_distinct"), F.max("message_id").alias("last_id"))
 
@@ -104,3 +143,20 @@ SELECT p.message_id, p.job_id, f.message_id AS terminal_id, epoch_us(f.ts) - epo
 FROM known p JOIN first_terminal f ON f.job_id = p.job_id AND f.message_id > p.message_id WHERE p.kind = 'preempting'""")
 def stream_decommission(t):
     return drain_to_table(sl.stream_decommission(_stream(t), DECOMMISSION_GRACE_MS))
+
+
+HORIZON_MS = 3 * 86_400_000
+
+
+@query("stream_decommission_join", f"""WITH {KNOWN_CTE}
+SELECT p.message_id, p.job_id, f.message_id AS terminal_id, epoch_us(f.ts) - epoch_us(p.ts) AS gap_us,
+  epoch_us(f.ts) - epoch_us(p.ts) <= {DECOMMISSION_GRACE_MS * 1000} AS within_grace
+FROM known p JOIN first_terminal f ON f.job_id = p.job_id AND f.message_id > p.message_id
+WHERE p.kind = 'preempting' AND f.ts <= p.ts + INTERVAL {HORIZON_MS // 3_600_000} HOUR""")
+def stream_decommission_join(t):
+    """Notices and ends as two streams, joined over a bounded interval."""
+    ended = scratch_path(t.spark, "ends")
+    finished = rd.ends(_reduced(t))
+    drain(finished, ended, scratch_path(t.spark, "checkpoint"))
+    ends = table_stream(t.spark, ended, finished.schema, FILES_PER_TRIGGER)
+    return drain_to_table(rd.decommissions(_stream(t), ends, HORIZON_MS, DECOMMISSION_GRACE_MS))
