@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from runlens.plans.event_queries import _STATES, DECOMMISSION_GRACE_MS
+from runlens.operators.lifecycle import resume_points
+from runlens.plans.event_queries import _IDS, _RUNNING, _STATES, DECOMMISSION_GRACE_MS
 from runlens.plans.fixtures import JOB_EVENTS_CTE, KNOWN_CTE, job_events
 from runlens.plans.registry import query
 from runlens.session import scratch_path
+from runlens.sources.event_log import read_log_from, write_log
 from runlens.sources.event_stream import QUARANTINE, event_source, table_stream
 from runlens.streaming import lifecycle as sl
 from runlens.streaming import reduced as rd
+from runlens.streaming.carried import Carried
 from runlens.streaming.run import drain, drain_batches, drain_to_table
 
 
@@ -160,3 +163,38 @@ def stream_decommission_join(t):
     drain(finished, ended, scratch_path(t.spark, "checkpoint"))
     ends = table_stream(t.spark, ended, finished.schema, FILES_PER_TRIGGER)
     return drain_to_table(rd.decommissions(_stream(t), ends, HORIZON_MS, DECOMMISSION_GRACE_MS))
+
+
+@query("stream_log_resume", f"""WITH {JOB_EVENTS_CTE},
+half AS (SELECT max(message_id) // 2 AS half_id FROM job_events),
+points AS (SELECT job_set, max(message_id) AS last_id FROM job_events, half WHERE message_id <= half_id AND kind <> 'running' GROUP BY job_set)
+SELECT e.message_id, e.job_set, e.job_id, e.kind FROM job_events e LEFT JOIN points p ON p.job_set = e.job_set WHERE e.message_id > coalesce(last_id, -1)""")
+def stream_log_resume(t):
+    """The log is read on from the last id of each job set, without a checkpoint."""
+    e = job_events(t)
+    path = scratch_path(t.spark, "event-log")
+    write_log(e, path, width=100_000)
+    half = e.agg(F.expr("max(message_id) div 2")).first()[0] or 0
+    points = resume_points(e.filter((F.col("message_id") <= half) & (F.col("kind") != "running")))
+    return drain_to_table(read_log_from(t.spark, path, points).select("message_id", "job_set", "job_id", "kind"))
+
+
+def _carried(t, batches: int = 3):
+    """The events in three batches, each reduced and carried on from the tails of the one before."""
+    e = job_events(t)
+    last = (e.agg(F.max("message_id")).first()[0] or 0) + 1
+    reducer, carried, mark = rd.Reducer(scratch_path(t.spark, "reduced")), Carried(scratch_path(t.spark, "carried")), scratch_path(t.spark, "checkpoint")
+    for batch in range(batches):
+        reducer(e.filter(F.expr(f"message_id * {batches} div {last} = {batch}")), batch)
+        drain_batches(rd.changes(reducer.stream(t.spark, FILES_PER_TRIGGER)), carried, mark)
+    return carried
+
+
+@query("carried_counts", f"{_RUNNING} SELECT * FROM running")
+def carried_counts(t):
+    return _carried(t).counts(t.spark)
+
+
+@query("carried_ids", f"WITH {_IDS} SELECT job_id, job_set, record_id, executor_id, set_executor_id FROM ids")
+def carried_ids(t):
+    return _carried(t).ids(t.spark)

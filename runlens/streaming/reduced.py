@@ -24,7 +24,7 @@ from runlens.operators.lifecycle import first_recorded, job_states, loss_attribu
 from runlens.operators.skew import HOT_ROWS, lookup_join
 
 LOSS = "message_id long, ts timestamp_ntz, job_set string, loss_kind string, code int, app_caused boolean, message string"
-REDUCED = ("job_id string, record_id long, submit_id long, register_id long, first_ms long, last_ms long, end_ms long, "
+REDUCED = ("job_id string, job_set string, record_id long, submit_id long, register_id long, first_ms long, last_ms long, end_ms long, "
            f"any_end struct<{LOSS.replace(' ', ':').replace(',:', ',')}>, known_end struct<{LOSS.replace(' ', ':').replace(',:', ',')}>")
 STATE = "recorded long, submitted long, registered long, ended long, batch long"
 
@@ -34,10 +34,11 @@ def reduced(events: DataFrame, hot_rows: int = HOT_ROWS, path: str | None = None
     their loss attribution: the first terminal event (`any_end`), and the first one after the recording in this batch (`known_end`)."""
     kind, mid = F.col("kind"), F.col("message_id")
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
-    flagged = lookup_join(events.select("job_id", "message_id", "kind", ms.alias("ms")), first_recorded(events), "job_id",
+    flagged = lookup_join(events.select("job_id", "job_set", "message_id", "kind", ms.alias("ms")), first_recorded(events), "job_id",
                           ["first_record_id"], "n_events", hot_rows=hot_rows, path=path)
     end = F.when(ev.is_terminal(kind), mid)
-    per_job = flagged.groupBy("job_id").agg(
+    # a job belongs to one set; as a grouping column it keeps the buffers free of text
+    per_job = flagged.groupBy("job_id", "job_set").agg(
         F.min("first_record_id").alias("record_id"), F.min(F.when(kind == "submitted", mid)).alias("submit_id"),
         F.min(F.when(kind == ev.REGISTRATION, mid)).alias("register_id"), F.min("ms").alias("first_ms"), F.max("ms").alias("last_ms"),
         F.min(F.when(ev.is_terminal(kind), F.col("ms"))).alias("end_ms"),
@@ -114,6 +115,28 @@ class Ends(_JobState):
                 yield Row(job_id=key[0], record_id=after[0], **(end if isinstance(end, dict) else end.asDict()))
 
 
+class Changes(_JobState):
+    """What each event does to the counts of its set: recorded, registered, pending, active."""
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        for row, before, after, _ in self._steps(rows):
+            new = [b if a is None else None for a, b in zip(before, after, strict=True)]
+            recorded, submitted, registered, ended = new
+            waited = before[1] is not None or (submitted is not None and (after[2] is None or submitted < after[2]))
+            steps = []
+            if recorded is not None:
+                steps.append((recorded, 1, 0, 0, 1))
+            if submitted is not None and before[2] is None and waited:
+                steps.append((submitted, 0, 0, 1, 0))
+            if registered is not None:
+                steps.append((registered, 0, 1, -int(waited), 0))
+            if ended is not None:
+                steps.append((ended, 0, -int(after[2] is not None), -int(after[2] is None and after[1] is not None), -1))
+            for message_id, *change in steps:
+                yield Row(job_id=key[0], job_set=row["job_set"], message_id=message_id, d_recorded=change[0], d_registered=change[1],
+                          d_pending=change[2], d_active=change[3])
+
+
 class Overdue(StatefulProcessor):
     """Reports a job with no terminal event within the limit after its first event."""
 
@@ -180,6 +203,13 @@ def ends(rows: DataFrame, start: GroupedData | None = None) -> DataFrame:
                   f"job_id string, record_id long, {LOSS}", start)
 
 
+def changes(rows: DataFrame, start: GroupedData | None = None) -> DataFrame:
+    """(job_id, job_set, message_id, d_recorded, d_registered, d_pending, d_active) of known jobs, several rows an event where it does several things."""
+    acting = F.col("record_id").isNotNull() | F.col("any_end").isNotNull()
+    return _keyed(rows.filter(acting).select("batch", "job_id", "job_set", "record_id", "submit_id", "register_id", "any_end", "known_end"), Changes(),
+                  "job_id string, job_set string, message_id long, d_recorded long, d_registered long, d_pending long, d_active long", start)
+
+
 def overdue(rows: DataFrame, limit_ms: int, delay: str = "0 seconds") -> DataFrame:
     """(job_id, started_ms, deadline_ms) of the jobs that time out; a limit of 0 means never."""
     timed = rows.withColumn("event_time", F.timestamp_millis("last_ms")).withWatermark("event_time", delay)

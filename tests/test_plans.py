@@ -6,7 +6,7 @@ from conftest import SF
 import __spark_entry__ as entry
 from runlens.plans import QUERIES
 
-LAZY = sorted(n for n in QUERIES if not n.startswith(("stream_", "event_source", "bench_suite", "conf_dir")))
+LAZY = sorted(n for n in QUERIES if not n.startswith(("stream_", "carried_", "event_source", "bench_suite", "conf_dir")))
 
 
 def plan(df) -> str:
