@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from runlens.functions import capacity as cap, text as tx
-from runlens.operators import documents as docs, layers as ly, snapshots as sn
+from runlens.operators import documents as docs, layers as ly, selectors as sl, snapshots as sn, variants as va
 from runlens.plans.fixtures import JOB_EVENTS_CTE, job_events
 from runlens.plans.registry import query
 from runlens.session import scratch_path
@@ -596,6 +596,29 @@ def label_select_per_test(t):
     return sn.select_per_test(pods(t), checks).select("snapshot", "pod", "test_id")
 
 
+_APP_PODS = _PODS + """,
+selectors AS (SELECT 'order-' || o_orderkey AS selector_id, 'app-' || o_custkey AS app, 'executor' AS role,
+    CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 'building' ELSE 'machinery' END AS segment, NULL AS test_id FROM orders
+  UNION ALL SELECT 'nation-' || n_nationkey, NULL, 'driver', NULL, 'test-' || n_nationkey FROM nation
+  UNION ALL SELECT 'role-' || r_regionkey, NULL, CASE r_regionkey WHEN 0 THEN 'driver' WHEN 1 THEN 'executor' ELSE 'nobody' END, NULL, NULL FROM region)"""
+
+
+@query("label_select_many", f"""WITH {_APP_PODS}
+SELECT selector_id, snapshot, pod FROM selectors s JOIN pods p ON s.app = 'app-' || p.pod_no AND s.role = p.role AND (s.segment IS NULL OR s.segment = p.segment)
+UNION ALL SELECT selector_id, snapshot, pod FROM selectors s JOIN pods p ON s.test_id = p.test_id AND s.role = p.role WHERE s.app IS NULL
+UNION ALL SELECT selector_id, snapshot, pod FROM selectors s JOIN pods p ON s.role = p.role WHERE s.app IS NULL AND s.test_id IS NULL""")
+def label_select_many(t):
+    """One selector per order, nation and region against all pods."""
+    held = pods(t).withColumn("labels", F.map_concat("labels", F.create_map(F.lit("app"), F.concat(F.lit("app-"), F.col("pod_no").cast("string")))))
+    orders = t["orders"].selectExpr("concat('order-', o_orderkey) as selector_id", """map_filter(map('app', concat('app-', o_custkey), 'spark-role', 'executor',
+        'segment', case o_orderkey % 3 when 0 then null when 1 then 'building' else 'machinery' end), (k, v) -> v is not null) as selector""")
+    nations = t["nation"].selectExpr("concat('nation-', n_nationkey) as selector_id", "map('spark-role', 'driver', 'test-id', concat('test-', n_nationkey)) as selector")
+    roles = t["region"].selectExpr("concat('role-', r_regionkey) as selector_id",
+                                   "map('spark-role', case r_regionkey when 0 then 'driver' when 1 then 'executor' else 'nobody' end) as selector")
+    found = sl.select_many(held, orders.unionByName(nations).unionByName(roles))
+    return found.select("selector_id", "snapshot", "pod")
+
+
 @query("pod_count_check", f"""WITH {_PODS},
 checks AS (SELECT s AS snapshot, 'test-' || n_nationkey AS test_id, role, CASE role WHEN 'driver' THEN 5 ELSE 40 + n_nationkey % 3 END AS expected
   FROM nation, (VALUES (1), (2), (3)) AS v(s), (VALUES ('driver'), ('executor')) AS r(role)),
@@ -710,16 +733,18 @@ def _doc_rows(nodes):
 SELECT doc_id, p AS path, k AS kind, coalesce(v, '') AS value, CAST(-1 AS BIGINT) AS pos, -1 AS item_layer FROM nodes
 UNION ALL SELECT doc_id, p, 'item', v, CAST(pos AS BIGINT), layer FROM items""")
 def deep_merge(t):
+    item = F.col("kind") == "item"
+    return _merged_nodes(t).select("doc_id", F.array_join("path", "/").alias("path"), "kind", F.coalesce("value", F.lit("")).alias("value"),
+                                   F.coalesce("pos", F.lit(-1)).alias("pos"), F.when(item, F.col("layer")).otherwise(-1).alias("item_layer"))
+
+
+def _merged_nodes(t):
     c = t["customer"]
 
     def nodes(doc: str):
-        texts = c.select(F.col("c_custkey").alias("doc_id"), F.expr(doc).alias("doc"))
-        return docs.write_nodes(texts)
+        return va.flatten(c.select(F.col("c_custkey").alias("doc_id"), F.expr(doc).alias("doc")))
 
-    merged = docs.merge_nodes(nodes(BASE_DOC), nodes(OVER_DOC))
-    item = F.col("kind") == "item"
-    return merged.select("doc_id", F.array_join("path", "/").alias("path"), "kind", F.coalesce("value", F.lit("")).alias("value"),
-                         F.coalesce("pos", F.lit(-1)).alias("pos"), F.when(item, F.col("layer")).otherwise(-1).alias("item_layer"))
+    return docs.merge_nodes(nodes(BASE_DOC), nodes(OVER_DOC))
 
 
 @query("deep_merge_documents", f"""WITH {_DOC_NODES}
@@ -730,3 +755,14 @@ def deep_merge_documents(t):
     merged = pairs.select(F.col("c_custkey").alias("doc_id"), docs.merge_documents(F.expr(BASE_DOC), F.expr(OVER_DOC)).alias("doc"))
     return docs.flatten_documents(merged).select(
         "doc_id", F.array_join("path", "/").alias("path"), "kind", F.coalesce("value", F.lit("")).alias("value"), F.coalesce("pos", F.lit(-1)).alias("pos"))
+
+
+@query("deep_merge_rebuilt", f"""WITH {_DOC_NODES}
+SELECT doc_id, p AS path, k AS kind, coalesce(v, '') AS value, CAST(-1 AS BIGINT) AS pos FROM nodes
+UNION ALL SELECT doc_id, p, 'item', v, CAST(place AS BIGINT) FROM items""")
+def deep_merge_rebuilt(t):
+    """The merged documents as texts, taken apart again."""
+    texts = va.rebuild(_merged_nodes(t))
+    return va.flatten(texts).select(
+        "doc_id", F.array_join("path", "/").alias("path"), "kind", F.coalesce("value", F.lit("")).alias("value"), F.coalesce("pos", F.lit(-1)).alias("pos"))
+
