@@ -18,6 +18,7 @@ TERMINAL = ["succeeded", "failed", "cancelled", "preempted"]
 UNKNOWN_FAILURE = "Unknown failure"
 JOB_CANCELLED = "Job cancelled"
 PREEMPTION_MARKER = "preempt"
+KILLED = "Executor killed by Spark"
 NO_EXIT_CODE = -1
 
 
@@ -79,6 +80,7 @@ def loss_message(kind: Column, loss_kind: Column, full_reason: Column, job_id: C
     return (
         F.when(loss_kind == "failed", F.concat(head, F.lit(" failed: "), full_reason))
         .when(loss_kind == "preempted", F.concat(head, F.lit(" was preempted: "), preempted_by))
+        .when((loss_kind == "cancelled") & (full_reason == KILLED), KILLED)
         .when(loss_kind == "cancelled", F.concat(head, F.lit(" was cancelled")))
         .when(loss_kind == "succeeded", F.concat(head, F.lit(" succeeded")))
     )

@@ -50,25 +50,26 @@ def exclude_drivers(events: DataFrame, drivers: DataFrame) -> DataFrame:
 def executor_events(events: DataFrame, drivers: DataFrame | None = None, kills: DataFrame | None = None) -> DataFrame:
     """What a scheduler records: no driver's events, and nothing that ends an executor after it was asked to be killed.
 
-    `kills` (job_id, kill_id) names requests by their place among the message ids. A request ends a recorded executor at once, as
-    `cancelled`; what its later terminal events say changes nothing. The result feeds every other operator of this module.
+    `kills` (job_id, kill_id, and kill_ts if known) names requests by their place among the message ids. The first request between a job's recording and its
+    first terminal event ends the executor at once: a row `cancelled` that says so takes the place of the job's terminal events from there on.
+    Earlier and later requests do nothing. The result feeds every other operator of this module.
     """
     if drivers is not None:
         events = exclude_drivers(events, drivers)
     if kills is None:
         return events
-    first = kills.groupBy("job_id").agg(F.min("kill_id").alias("kill_id"), F.count(F.lit(1)).alias("n_kills"))
-    sizes = events.groupBy("job_id").agg(
-        F.min(F.when(ev.is_recording(F.col("kind")), F.col("message_id"))).alias("record_id"), F.count(F.lit(1)).alias("n_events"))
-    # a request for a job that is not recorded yet does nothing
-    effective = sizes.join(first, "job_id").filter(F.col("kill_id") >= F.col("record_id"))
-    marked = lookup_join(events, effective.select("job_id", "kill_id", "n_events"), "job_id", ["kill_id"], "n_events")
-    late = ev.is_terminal(F.col("kind")) & (F.col("message_id") > F.col("kill_id"))
-    # the request takes the place of the message that shares its id or comes next: it is a row of its own
-    requests = effective.join(events.select("job_id", "job_set").distinct(), "job_id").select(
-        F.col("kill_id").alias("message_id"), "job_id", "job_set", F.lit("cancelled").alias("kind"))
+    asked = kills.select("job_id", "kill_id", (F.col("kill_ts") if "kill_ts" in kills.columns else F.lit(None)).cast(events.schema["ts"].dataType).alias("kill_ts"))
+    known = asked.groupBy("job_id").agg(F.count(F.lit(1)).alias("n_kills")).join(job_states(events).select("job_id", "job_set", "record_id", "terminal_id"), "job_id")
+    counted = lookup_join(asked, known, "job_id", ["job_set", "record_id", "terminal_id"], "n_kills").filter(
+        (F.col("kill_id") >= F.col("record_id")) & (F.col("terminal_id").isNull() | (F.col("kill_id") <= F.col("terminal_id"))))
+    first = written(counted.groupBy("job_id", "job_set").agg(F.min_by("kill_ts", "kill_id").alias("kill_ts"), F.min("kill_id").alias("kill_id")), "kills")
+    sizes = events.groupBy("job_id").agg(F.count(F.lit(1)).alias("n_events")).join(first.select("job_id", "kill_id"), "job_id")
+    marked = lookup_join(events, sizes, "job_id", ["kill_id"], "n_events")
+    late = ev.is_terminal(F.col("kind")) & (F.col("message_id") >= F.col("kill_id"))
+    requests = first.select(F.col("kill_id").alias("message_id"), F.col("kill_ts").alias("ts"), "job_id", "job_set", F.lit("cancelled").alias("kind"),
+                            F.lit(ev.KILLED).alias("reason"))
     kept = marked.filter(~F.coalesce(late, F.lit(False))).drop("kill_id")
-    return kept.unionByName(requests, allowMissingColumns=True)
+    return kept.unionByName(requests.select([c for c in requests.columns if c in events.columns]), allowMissingColumns=True)
 
 
 def loss_attribution(events: DataFrame) -> DataFrame:

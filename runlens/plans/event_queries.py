@@ -148,13 +148,14 @@ def readiness_ratio(t):
 
 
 @query("state_counts_of_executors", f"""WITH {JOB_EVENTS_CTE} {_DRIVERS},
-kills AS (SELECT job_id, min(message_id) AS kill_id FROM job_events WHERE kind = 'utilisation' AND k >= 70 GROUP BY job_id),
+requests AS (SELECT job_id, message_id AS kill_id FROM job_events WHERE kind = 'utilisation' AND k >= 70),
 recorded AS (SELECT job_id, min(message_id) AS record_id FROM job_events WHERE kind IN ('submitted', 'registered')
   AND job_id NOT IN (SELECT job_id FROM drivers) GROUP BY job_id),
+kills AS (SELECT job_id, min(kill_id) AS kill_id FROM requests JOIN recorded USING (job_id) WHERE kill_id >= record_id GROUP BY job_id),
 ends AS (SELECT r.job_id, r.record_id, min(e.message_id) FILTER (kind = 'submitted') AS submit_id,
     min(e.message_id) FILTER (kind = 'registered') AS register_id,
     least(coalesce(min(e.message_id) FILTER (kind IN ('succeeded','failed','cancelled','preempted')), 9e18),
-      coalesce(min(kill_id) FILTER (kill_id >= record_id), 9e18)) AS terminal_id
+      coalesce(min(kill_id), 9e18)) AS terminal_id
   FROM recorded r JOIN job_events e ON e.job_id = r.job_id AND e.message_id >= r.record_id LEFT JOIN kills k ON k.job_id = r.job_id GROUP BY r.job_id, r.record_id)
 SELECT count(*) FILTER (terminal_id > 8e18 AND register_id IS NOT NULL) AS registered,
   count(*) FILTER (terminal_id > 8e18 AND register_id IS NULL AND submit_id IS NOT NULL) AS pending,
@@ -164,6 +165,32 @@ def state_counts_of_executors(t):
     return lc.state_counts(lc.executor_events(job_events(t), driver_jobs(t), kills))
 
 
+_OF_EXECUTORS = KNOWN_CTE + _DRIVERS + """,
+recorded AS (SELECT job_id, min(job_set) AS job_set, min(message_id) AS record_id FROM known WHERE job_id NOT IN (SELECT job_id FROM drivers) GROUP BY job_id),
+kills AS (SELECT r.job_id, min(e.message_id) AS kill_id FROM recorded r JOIN job_events e ON e.job_id = r.job_id AND e.message_id >= r.record_id
+  WHERE e.kind = 'utilisation' AND e.k >= 70 GROUP BY r.job_id),
+outcomes AS (SELECT r.job_id, r.job_set, least(f.message_id, kill_id) AS message_id, coalesce(kill_id <= f.message_id, kill_id IS NOT NULL) AS killed,
+    f.loss_kind, f.code, f.app_caused, f.message
+  FROM recorded r LEFT JOIN kills USING (job_id) LEFT JOIN first_terminal f ON f.job_id = r.job_id WHERE kill_id IS NOT NULL OR f.message_id IS NOT NULL),
+ended AS (SELECT job_id, job_set, message_id, CASE WHEN killed THEN 'cancelled' ELSE loss_kind END AS loss_kind, CASE WHEN killed THEN -1 ELSE code END AS code,
+    NOT killed AND app_caused AS app_caused, CASE WHEN killed THEN 'Executor killed by Spark' ELSE message END AS message FROM outcomes)"""
+
+
+def _executor_events(t):
+    return lc.executor_events(job_events(t), driver_jobs(t), kill_requests(t))
+
+
+@query("first_terminal_of_executors", f"""WITH {_OF_EXECUTORS}
+SELECT job_id, message_id, job_set, loss_kind, CAST(code AS INTEGER) AS code, app_caused, message FROM ended""")
+def first_terminal_of_executors(t):
+    return lc.first_terminal(_executor_events(t)).drop("ts")
+
+
+@query("loss_summary_of_executors", f"WITH {_OF_EXECUTORS} SELECT loss_kind, app_caused, count(*) AS n_jobs FROM ended GROUP BY ALL")
+def loss_summary_of_executors(t):
+    return lc.loss_summary(_executor_events(t))
+
+
 KILL_GRACE_MS = 2 * 86_400_000
 
 
