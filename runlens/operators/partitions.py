@@ -6,7 +6,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 COUNTS = "hits long, total long"
 
@@ -17,6 +18,20 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[p
     return df.mapInPandas(fn, schema)
 
 
+def register_batches(spark: SparkSession, name: str, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> None:
+    """Make a generator function a table function of SQL: `SELECT * FROM name(TABLE(SELECT ...))`, with `PARTITION BY` where groups matter.
+
+    The function sees one Arrow batch at a time, of one partition or, with `PARTITION BY`, of one group. The schema is fixed: table functions over Arrow
+    batches cannot work it out from their input.
+    """
+    class Batches:
+        def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
+            for out in fn(iter([batch.to_pandas()])):
+                yield pa.Table.from_pandas(out, preserve_index=False)
+
+    spark.udtf.register(name, F.arrow_udtf(Batches, returnType=schema))
+
+
 def count_hits(seed: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """One random point per row; (hits inside the unit circle, rows) per batch."""
     def points(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

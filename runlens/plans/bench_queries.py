@@ -176,3 +176,14 @@ def map_partitions(t):
                                   ((F.col("l_orderkey") * 104723 + F.col("l_linenumber") * 31) % SIDE).alias("y"))
     return partitions.pi_from_counts(
         partitions.map_batches(points, partitions.lattice_counts(SIDE), partitions.COUNTS))
+
+
+@query("map_partitions_sql", f"""SELECT CAST(sum(CASE WHEN x * x + y * y < {SIDE * SIDE} THEN 1 ELSE 0 END) AS BIGINT) AS hits,
+  count(*) AS total, 4.0::DOUBLE * sum(CASE WHEN x * x + y * y < {SIDE * SIDE} THEN 1 ELSE 0 END) / count(*) AS pi
+FROM (SELECT l_suppkey * 7907 % {SIDE} AS x, (l_orderkey * 104723 + l_linenumber * 31) % {SIDE} AS y FROM lineitem)""")
+def map_partitions_sql(t):
+    """The same function called from SQL."""
+    partitions.register_batches(t.spark, "lattice_counts", partitions.lattice_counts(SIDE), partitions.COUNTS)
+    counts = t.spark.sql(f"""SELECT * FROM lattice_counts(TABLE(SELECT l_suppkey * 7907 % {SIDE} AS x,
+        (l_orderkey * 104723 + l_linenumber * 31) % {SIDE} AS y FROM {{lines}}))""", lines=t["lineitem"])
+    return partitions.pi_from_counts(counts)
