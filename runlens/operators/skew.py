@@ -32,8 +32,8 @@ def lookup_join(facts: DataFrame, per_key: DataFrame, key: str, payload: list[st
     return answered.unionByName(others)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast `df` if it has at most `max_rows` rows; beyond that leave the join to the planner."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int) -> DataFrame:
+    """Broadcast `df` if it has at most `max_rows` rows of at most `max_bytes` in all, written as JSON; beyond that leave the join to the planner."""
+    size = df.select(F.octet_length(F.to_json(F.struct("*"))).alias("bytes")).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if size["rows"] <= max_rows and size["bytes"] <= max_bytes else df

@@ -65,8 +65,11 @@ FROM lineitem JOIN part ON l_partkey = p_partkey
 WHERE p_type = 'PROMO' AND month(l_shipdate) = 11
 GROUP BY ALL ORDER BY year, revenue DESC, p_brand LIMIT 100""")
 def w01(t):
+    return star_top_groups(t, t["lineitem"].filter(F.month("l_shipdate") == 11))
+
+
+def star_top_groups(t, lines: DataFrame) -> DataFrame:
     part = t["part"].filter("p_type = 'PROMO'").select("p_partkey", "p_brand")
-    lines = t["lineitem"].filter(F.month("l_shipdate") == 11)
     return (lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
             .groupBy(year().alias("year"), "p_brand")
             .agg(money(F.col("l_extendedprice")).alias("revenue"), count().alias("n_lines"))
@@ -243,8 +246,12 @@ SELECT p_type, p_brand, revenue, revenue * 100 / round(sum(revenue) OVER (PARTIT
 FROM (SELECT p_type, p_brand, round(sum(l_extendedprice), 2) AS revenue FROM lineitem JOIN part ON p_partkey = l_partkey
   WHERE year(l_shipdate) = 1999 GROUP BY ALL)""")
 def w12(t):
+    return partition_share(t, t["lineitem"].filter(years("l_shipdate", 1999)))
+
+
+def partition_share(t, lines: DataFrame) -> DataFrame:
     # one row per part reaches the join
-    parts = t["lineitem"].filter(years("l_shipdate", 1999)).groupBy("l_partkey").agg(F.sum("l_extendedprice").alias("price"))
+    parts = lines.groupBy("l_partkey").agg(F.sum("l_extendedprice").alias("price"))
     cells = parts.join(t["part"], F.col("l_partkey") == F.col("p_partkey")).groupBy("p_type", "p_brand").agg(
         money(F.col("price")).alias("revenue"))
     whole = F.round(F.sum("revenue").over(Window.partitionBy("p_type")), 2)
@@ -287,6 +294,10 @@ def w14(t):
         & (F.col("next_deviation") / F.col("next_mean") > 0.5)).drop("next_month")
 
 
+# first day, day of the change, day after the last
+AROUND = ("1998-03-01", "1998-06-01", "1998-09-01")
+
+
 @query("w15_before_after", """
 SELECT * FROM (SELECT l_suppkey,
     round(sum(CASE WHEN l_shipdate < DATE '1998-06-01' THEN l_extendedprice ELSE 0 END), 2) AS before,
@@ -295,9 +306,17 @@ SELECT * FROM (SELECT l_suppkey,
   WHERE l_shipdate >= DATE '1998-03-01' AND l_shipdate < DATE '1998-09-01' GROUP BY l_suppkey)
 WHERE before > 0 AND after / before BETWEEN 2.0 / 3 AND 3.0 / 2""")
 def w15(t):
-    d = F.col("l_shipdate")
-    lo, mid, hi = (F.lit(x).cast("timestamp_ntz") for x in ("1998-03-01", "1998-06-01", "1998-09-01"))
-    sums = t["lineitem"].filter((d >= lo) & (d < hi)).groupBy("l_suppkey").agg(
+    lo, _, hi = around()
+    return before_after(t["lineitem"].filter((F.col("l_shipdate") >= lo) & (F.col("l_shipdate") < hi)))
+
+
+def around() -> list[Column]:
+    return [F.lit(day).cast("timestamp_ntz") for day in AROUND]
+
+
+def before_after(lines: DataFrame) -> DataFrame:
+    d, mid = F.col("l_shipdate"), around()[1]
+    sums = lines.groupBy("l_suppkey").agg(
         money(F.when(d < mid, F.col("l_extendedprice")).otherwise(0.0)).alias("before"),
         money(F.when(d >= mid, F.col("l_extendedprice")).otherwise(0.0)).alias("after"))
     return sums.filter((F.col("before") > 0) & (F.col("after") / F.col("before")).between(2.0 / 3, 3.0 / 2))

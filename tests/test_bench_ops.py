@@ -133,3 +133,13 @@ def test_suite_measures_as_often_as_it_writes(spark):
 
     lines = bench.run_suite(spark, {"q1": build}, path).collect()
     assert len(calls) == 3 and lines[0]["result_hash"] == bench.HASH_SENTINEL
+
+
+def test_a_lookup_is_sent_by_rows_and_bytes(spark):
+    from runlens.operators.lookup import distribute_lookup
+
+    requests = spark.range(50).select((F.col("id") % 10).alias("line_no"))
+    lookup = spark.range(10).select(F.col("id").alias("line_no"), F.repeat(F.lit("x"), 1000).alias("line"))
+    plan = lambda **bounds: distribute_lookup(requests, lookup, **bounds)._jdf.queryExecution().logical().toString()
+    assert "broadcast" in plan() and "broadcast" not in plan(max_rows=9) and "broadcast" not in plan(max_bytes=10_000)
+    assert distribute_lookup(requests, lookup, max_bytes=10).count() == distribute_lookup(requests, lookup).count() == 50
