@@ -3,6 +3,7 @@
 The turns of a conversation are collected as structs, sorted, and written with one header per run of equal roles; the
 texts of such a run are set apart by a mark, so the formatted text tells every turn. Control strings inside texts and
 roles are escaped reversibly: a `~` goes after their first character (`<~|`, `[~INST]`); one `~` more where there are some already.
+A role is one line: its line breaks are written `\\n` and its backslashes `\\b`, each as two characters.
 
 The output of a conversation is the list of `segments` (text, loss) and their concatenation `formatted`; `loss` is true for
 exactly the assistant's texts. A conversation is one output row by nature.
@@ -32,6 +33,15 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, F.lit(UNESCAPE), F.lit("$1"))
 
 
+def escape_role(role: Column) -> Column:
+    return escape(F.replace(F.replace(role, F.lit("\\"), F.lit("\\b")), F.lit("\n"), F.lit("\\n")))
+
+
+def unescape_role(role: Column) -> Column:
+    """Every backslash of an escaped role starts a pair."""
+    return F.replace(F.replace(unescape(role), F.lit("\\n"), F.lit("\n")), F.lit("\\b"), F.lit("\\"))
+
+
 def formatted(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
               text_col: str = "text", learn_role: str = ASSISTANT) -> DataFrame:
     """One row per conversation: conv id, `segments`, `formatted`."""
@@ -43,7 +53,7 @@ def formatted(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
     def pieces(turn: Column, i: Column) -> Column:
         goes_on = (i > 0) & (F.get("_turns", i - 1)["role"] == turn["role"])
         mark = F.when(goes_on, F.lit(PART)).otherwise(
-            F.concat(F.when(i > 0, F.lit(f"{END}\n")).otherwise(F.lit("")), F.lit(START), escape(turn["role"]), F.lit("\n")))
+            F.concat(F.when(i > 0, F.lit(f"{END}\n")).otherwise(F.lit("")), F.lit(START), escape_role(turn["role"]), F.lit("\n")))
         return F.array(F.struct(mark.alias("text"), F.lit(False).alias("loss")),
                        F.struct(escape(turn["text"]).alias("text"), (turn["role"] == learn_role).alias("loss")))
 
@@ -62,7 +72,7 @@ def read_back(formatted_text: Column) -> Column:
     def turns(block: Column) -> Column:
         at = F.instr(block, "\n")
         body = block.substr(at + 1, F.char_length(block) - at - tail)
-        role = unescape(block.substr(F.lit(1), at - 1))
+        role = unescape_role(block.substr(F.lit(1), at - 1))
         return F.transform(F.split(body, r"\Q" + PART + r"\E"), lambda t: F.struct(role.alias("role"), unescape(t).alias("text")))
 
     return F.flatten(F.transform(blocks, turns))

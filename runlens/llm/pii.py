@@ -8,10 +8,14 @@ all documents, so they remain linked. Different values of a format stay differen
 * cards and account numbers: all digits but the last are permuted, and the last keeps its distance from the Luhn digit; with `luhn`
   only numbers whose last digit is the Luhn digit count, others (order numbers, ISBNs, time stamps) stay as they are. A run of
   digit groups is searched for them, so that a card is also found beside other numbers;
-* IBANs: the digits of the account part are permuted, letters stay, check digits are computed anew;
+* IBANs, in one piece or printed in groups of four: the digits of the account part are permuted, letters stay, check digits are computed
+  anew. Printed ones are known by the length that their country gives them;
+* phones: the country code stays, the digits behind it are permuted, however they are grouped;
 * IPv4 addresses: two halves of 16 bits;
-* dates: the day within its 400-year calendar cycle (146097 = 189 * 773 days);
-* e-mail addresses, which have no fixed format, get a keyed digest as local part and a reserved domain.
+* dates (`yyyy-MM-dd`, `dd.MM.yyyy`, `dd/MM/yyyy`, `MM/dd/yyyy`, two digits each): the day within its 400-year calendar cycle
+  (146097 = 189 * 773 days), so that a day is linked whatever its form. With slashes the part above 12 is the day; where both may be
+  months, the month is first, or the day with `day_first`. What day-first and month-first forms become may look alike;
+* e-mail addresses, which have no fixed format, get a keyed digest as local part (`email_digits` hex digits) and a reserved domain.
 
 Only built-in expressions; each row is handled on its own. A null text stays null; repeated rows give equal rows; only the
 id and the text column are read.
@@ -26,22 +30,49 @@ ROUNDS = 8
 CYCLE_DAYS, DAYS_LEFT, DAYS_RIGHT = 146097, 189, 773
 FIRST_DAY = "1000-01-01"
 
-_DAY = r"[1-9][0-9]{3}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9-])"
+_ISO = r"[1-9][0-9]{3}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9-])"
+_DD, _MM, _YYYY = "(?:0[1-9]|[12][0-9]|3[01])", "(?:0[1-9]|1[0-2])", "[1-9][0-9]{3}"
+_DOTTED = rf"{_DD}\.{_MM}\.{_YYYY}(?![0-9]|\.[0-9])"
+_SLASHED = rf"(?:{_DD}/{_MM}|{_MM}/{_DD})/{_YYYY}(?![0-9/])"
+_DAY = f"(?:{_ISO}|{_DOTTED}|{_SLASHED})"
 _SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _LOCAL = r"[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"
 
+# fixed values: length of an IBAN by country
+IBAN_LENGTHS: dict[int, str] = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "GI IL IQ TL", 24: "AD AE CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC"}
+
+
+def _printed_iban() -> str:
+    """Groups of four behind country and check digits, the last one shorter where the length asks for it."""
+    forms = []
+    for length, countries in IBAN_LENGTHS.items():
+        groups, rest = divmod(length - 4, 4)
+        tail = rf"[ -][A-Z0-9]{{{rest}}}" if rest else ""
+        forms.append(rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:[ -][A-Z0-9]{{4}}){{{groups}}}{tail}(?![A-Za-z0-9])")
+    return r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2}[ -])(?:" + "|".join(forms) + ")"
+
+
+# fixed values: country codes of telephone numbers; those that are not listed have three digits
+CALLING_CODE = r"\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+
 # fixed values: formats, in the order in which they are tried at a place
 FORMATS: tuple[tuple[str, str], ...] = (
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9](?:[A-Za-z0-9-]*+\.)+[A-Za-z]{2,24}+(?![A-Za-z0-9])"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}+(?![A-Za-z0-9])"),
+    ("iban", _printed_iban()),
     ("ip", r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])"),
-    ("date", r"(?<![0-9-])" + _DAY),
+    ("date", r"(?<![0-9-])" + _ISO), ("date", r"(?<![0-9.])" + _DOTTED), ("date", r"(?<![0-9/])" + _SLASHED),
     ("phone", r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"),
     ("ssn", r"(?<![0-9-])" + _SSN),
     # a run of digit groups, up to a group that starts another format
     ("card", r"(?<![0-9A-Za-z])(?=[0-9](?:[ -]?[0-9]){12})[0-9]{1,19}+(?![0-9A-Za-z])"
      rf"(?:(?! (?:{_DAY}|{_SSN}|{_LOCAL}))[ -][0-9]{{1,19}}+(?![0-9A-Za-z]))*+"),
     ("phone", r"(?<![0-9])\+[0-9]{8,15}(?![0-9])"),
+    # any grouping behind a country code, as many groups as 15 digits allow
+    ("phone", r"(?<![0-9])\+[0-9](?:[ .-]?\(?[0-9]\)?){7,14}(?![0-9])"),
 )
 # digits in the groups of a printed card
 PRINTED = "^(?:4 4 4 [1-4]|4 4 4 4 [1-3]|4 6 [45]|6 13)$"
@@ -171,13 +202,18 @@ def _number(value: Column, key: str) -> Column:
     return _once(_only_digits(value), made)
 
 
+def _compact(iban: Column) -> Column:
+    return F.translate(iban, " -", "")
+
+
 def _iban(value: Column, key: str) -> Column:
-    country, account = value.substr(F.lit(1), F.lit(2)), value.substr(F.lit(5), F.char_length(value))
+    plain = _compact(value)
+    country, account = plain.substr(F.lit(1), F.lit(2)), plain.substr(F.lit(5), F.char_length(plain))
 
     def made(digits: Column) -> Column:
         new = F.when(F.char_length(digits) >= 2, permuted_digits(digits, key, "iban")).otherwise(digits)
-        return _once(_once(new, lambda d: _refilled(account, d)), lambda a: F.concat(
-            country, F.lpad((98 - mod97(F.concat(a, country, F.lit("00")))).cast("string"), 2, "0"), a))
+        return _once(_once(new, lambda d: _refilled(account, d)), lambda a: _refilled(value, F.concat(
+            F.lpad((98 - mod97(F.concat(a, country, F.lit("00")))).cast("string"), 2, "0"), _only_digits(a))))
 
     return _once(_only_digits(account), made)
 
@@ -189,28 +225,37 @@ def _ip(value: Column, key: str) -> Column:
         ".", *[x.cast("string") for x in (F.shiftright(p["l"], 8), p["l"] % 256, F.shiftright(p["r"], 8), p["r"] % 256)]))
 
 
-def _date(value: Column, key: str) -> Column:
-    day = F.datediff(F.try_to_timestamp(value, F.lit("yyyy-MM-dd")).cast("date"), F.lit(FIRST_DAY).cast("date"))
+def date_form(value: Column, day_first: bool) -> Column:
+    """The pattern that a date is written in; with slashes the first of two readings that is a day."""
+    forms = ["dd/MM/yyyy", "MM/dd/yyyy"] if day_first else ["MM/dd/yyyy", "dd/MM/yyyy"]
+    slashed = F.when(F.try_to_timestamp(value, F.lit(forms[0])).isNotNull(), forms[0]).otherwise(forms[1])
+    return F.when(value.contains("."), "dd.MM.yyyy").when(value.contains("/"), slashed).otherwise("yyyy-MM-dd")
 
+
+def _date(value: Column, key: str, day_first: bool) -> Column:
     def made(d: Column) -> Column:
         within = F.pmod(d, F.lit(CYCLE_DAYS))
         pair = feistel(F.floor(within / DAYS_RIGHT), within % DAYS_RIGHT, F.lit(DAYS_LEFT).cast("bigint"),
                        F.lit(DAYS_RIGHT).cast("bigint"), key, "date", F.lit(CYCLE_DAYS))
-        return _once(pair, lambda p: F.date_format(F.date_add(
-            F.lit(FIRST_DAY).cast("date"), (d - within + p["l"] * DAYS_RIGHT + p["r"]).cast("int")), "yyyy-MM-dd"))
+        return _once(pair, lambda p: F.date_add(F.lit(FIRST_DAY).cast("date"), (d - within + p["l"] * DAYS_RIGHT + p["r"]).cast("int")))
+
+    def written_as(form: Column) -> Column:
+        day = F.datediff(F.try_to_timestamp(value, form).cast("date"), F.lit(FIRST_DAY).cast("date"))
+        return F.call_function("date_format", _once(day, made), form)
 
-    return _once(day, made)
+    return _once(date_form(value, day_first), written_as)
 
 
 def _phone(value: Column, key: str) -> Column:
-    """The country code stays; all other digits are permuted."""
-    code = F.regexp_extract(value, r"^(\+[0-9]{1,3})[ .(-]", 1)
-    rest = value.substr(F.char_length(code) + 1, F.char_length(value))
-    return F.concat(code, _refilled(rest, permuted_digits(_only_digits(rest), key, "phone")))
+    """The country code stays, as it is set apart or as the list of codes has it; all other digits are permuted."""
+    apart = F.regexp_extract(value, r"^(\+[0-9]{1,3})[ .(-]", 1)
+    code = F.when(apart != "", apart).otherwise(F.regexp_extract(value, f"^({CALLING_CODE})", 1))
+    return _once(code, lambda c: F.concat(c, _once(value.substr(F.char_length(c) + 1, F.char_length(value)), lambda rest: _refilled(
+        rest, permuted_digits(_only_digits(rest), key, "phone")))))
 
 
 def is_iban(value: Column) -> Column:
-    return mod97(F.concat(value.substr(F.lit(5), F.char_length(value)), value.substr(F.lit(1), F.lit(4)))) == 1
+    return _once(_compact(value), lambda v: mod97(F.concat(v.substr(F.lit(5), F.char_length(v)), v.substr(F.lit(1), F.lit(4)))) == 1)
 
 
 def shaped(value: Column) -> Column:
@@ -219,11 +264,11 @@ def shaped(value: Column) -> Column:
         value.rlike(_whole("date")), "date").when(value.rlike(_whole("phone")), "phone").when(value.rlike(_whole("ssn")), "ssn").otherwise("card")
 
 
-def classified(value: Column, form: Column, pieces: Column) -> Column:
+def classified(value: Column, form: Column, pieces: Column, day_first: bool) -> Column:
     """Kind of a match, or null where its check fails (an IBAN's remainder, a day that no month has, a run without a card)."""
-    as_day = F.try_to_timestamp(value, F.lit("yyyy-MM-dd"))
+    as_day = F.try_to_timestamp(value, date_form(value, day_first))
     return (F.when(form == "iban", F.when(is_iban(value), form))
-            .when(form == "date", F.when(as_day.isNotNull() & (value < "9800"), form))
+            .when(form == "date", F.when(F.year(as_day) < 9800, form))
             .when(form == "card", F.when(F.exists(pieces, lambda p: p["card"]), form))
             .otherwise(form))
 
@@ -231,17 +276,18 @@ def classified(value: Column, form: Column, pieces: Column) -> Column:
 KINDS = ("email", "iban", "ip", "date", "phone", "ssn", "card")
 
 
-def pseudonym(value: Column, kind: Column, pieces: Column, key: str) -> Column:
-    digest = F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), F.lower(value)), 256), 1, 12)
+def pseudonym(value: Column, kind: Column, pieces: Column, key: str, day_first: bool, email_digits: int) -> Column:
+    digest = F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), F.lower(value)), 256), 1, email_digits)
     return (F.when(kind == "email", F.concat(F.lit("user-"), digest, F.lit("@example.invalid")))
-            .when(kind == "iban", _iban(value, key)).when(kind == "ip", _ip(value, key)).when(kind == "date", _date(value, key))
+            .when(kind == "iban", _iban(value, key)).when(kind == "ip", _ip(value, key)).when(kind == "date", _date(value, key, day_first))
             .when(kind == "phone", _phone(value, key))
             .when(kind == "ssn", _refilled(value, permuted_digits(_only_digits(value), key, "ssn")))
             .when(kind == "card", F.array_join(F.transform(pieces, lambda p: F.when(
                 p["card"], _number(p["t"], key)).otherwise(p["t"])), "")).otherwise(value))
 
 
-def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", luhn: bool = False) -> DataFrame:
+def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", luhn: bool = False,
+                  day_first: bool = False, email_digits: int = 12) -> DataFrame:
     """One row per input row: id, text with pseudonyms in place, n_{kind} for each kind, n_pii. With `luhn` a card or account number
     counts only if its Luhn digit is right; without, each number of 13 to 19 digits does."""
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
@@ -249,8 +295,8 @@ def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: s
     found = rows.withColumn("_found", F.when(F.col("_text").rlike(HINT), F.regexp_extract_all("_text", F.lit(ANY), F.lit(0))).otherwise(none))
     forms = found.withColumn("_forms", F.transform("_found", lambda v: _once(shaped(v), lambda f: F.struct(
         v.alias("v"), f.alias("f"), F.when(f == "card", card_pieces(v, luhn)).alias("p")))))
-    kinds = forms.withColumn("_kinds", F.transform("_forms", lambda x: classified(x["v"], x["f"], x["p"])))
-    new = kinds.withColumn("_new", F.zip_with("_forms", "_kinds", lambda x, k: pseudonym(x["v"], k, x["p"], key)))
+    kinds = forms.withColumn("_kinds", F.transform("_forms", lambda x: classified(x["v"], x["f"], x["p"], day_first)))
+    new = kinds.withColumn("_new", F.zip_with("_forms", "_kinds", lambda x, k: pseudonym(x["v"], k, x["p"], key, day_first, email_digits)))
     # split keeps what lies between the same matches, one piece more than there are matches
     whole = F.array_join(F.flatten(F.zip_with(F.split("_text", ANY, -1), F.col("_new"), lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
     out = new.withColumn("_out", F.when(F.size("_found") > 0, whole).otherwise(F.col("_text")))

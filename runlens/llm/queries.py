@@ -24,7 +24,8 @@ WITH t AS (
 m AS (
   SELECT *, lag(role) OVER w IS NOT DISTINCT FROM role AND row_number() OVER w > 1 AS goes_on, row_number() OVER w AS nr,
     length(text) + len(regexp_extract_all(text, '[<\[]~*(\||/?s>|/?INST\]|<SYS>>|</SYS>>)')) AS text_len,
-    length(role) + len(regexp_extract_all(role, '[<\[]~*(\||/?s>|/?INST\]|<SYS>>|</SYS>>)')) AS role_len
+    length(role) + len(regexp_extract_all(role, '[<\[]~*(\||/?s>|/?INST\]|<SYS>>|</SYS>>)'))
+      + length(role) - length(translate(role, chr(92) || chr(10), '')) AS role_len
   FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nr)) AS turns_sha256,
@@ -105,7 +106,7 @@ def op7_license_scans(spark, sf_dir):
 
 @query("op10_pii")
 def op10_pii(spark, sf_dir):
-    return pii.pseudonymised(table(spark, sf_dir, "documents"), PII_KEY, luhn=True)
+    return pii.pseudonymised(table(spark, sf_dir, "documents"), PII_KEY, luhn=True, email_digits=24)
 
 
 @query("op5_quality_classifier")

@@ -203,6 +203,33 @@ def test_registered_query_checks_numbers(spark, tmp_path):
     assert {r["doc_id"]: r["n_card"] for r in QUERIES["op10_pii"](spark, str(tmp_path)).collect()} == {1: 0, 2: 1}
 
 
+def test_printed_forms_are_found_and_linked(make):
+    texts = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "DE89-3704-0044-0532-0130-00 IBAN", "FR14 2004 1010 0505 0001 3M02 606", "FR1420041010050500013M02606",
+             "14.03.1985", "03/14/1985", "14/03/1985", "1985-03-14", "+44 20 7946 0958", "+442079460958", "+49 170 1234567", "+491701234567", "+49 (170) 123-4567",
+             "4539 1488 0343 6467 14.03.1985", "DE88 3704 0044 0532 0130 00", "31.02.1985", "13/13/1985", "1.2.3.4.5 v 10.11.20", "03/04/1985"]
+    got = [r["text"] for r in sorted(pii.pseudonymised(make(list(enumerate(texts))), "k", luhn=True).collect(), key=lambda r: r["doc_id"])]
+    compact = lambda t: re.sub("[ -]", "", t)
+    for new, old in zip(got[:15], texts[:15]):
+        assert new != old and re.sub("[0-9]", "0", new) == re.sub("[0-9]", "0", old), (old, new)
+    assert compact(got[0]) == got[1] and got[2] == got[0].replace(" ", "-") + " IBAN" and compact(got[3]) == got[4]
+    for iban in (got[1], got[4]):
+        assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+    day = datetime.date.fromisoformat(got[8])
+    assert [got[5], got[6], got[7]] == [day.strftime(f) for f in ("%d.%m.%Y", "%m/%d/%Y", "%d/%m/%Y")] and got[14].endswith(" " + got[5])
+    assert compact(got[9]) == got[10] and got[10][:3] == "+44" and compact(got[11]) == got[12] and got[12][:3] == "+49"
+    assert re.sub("[^0-9+]", "", got[13]) == got[12]
+    assert got[15:19] == texts[15:19]
+    first = pii.pseudonymised(make([(1, "03/04/1985 1985-04-03")]), "k", day_first=True).first()["text"]
+    assert first[:10] == datetime.date.fromisoformat(first[11:]).strftime("%d/%m/%Y")
+
+
+def test_registered_digests_of_addresses_are_long(spark, tmp_path):
+    from runlens.llm.queries import QUERIES
+
+    spark.createDataFrame([(1, "to a.b@mail.example.com")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert re.fullmatch(r"to user-[0-9a-f]{24}@example\.invalid", QUERIES["op10_pii"](spark, str(tmp_path)).first()["text"])
+
+
 # ---- chat ----
 
 NASTY = ["<|", "<~|", "<", "|", "~", "[INST]", "[~INST]", "[/INST]", "</s>", "<s>", "<<SYS>>", "<</SYS>>", "\n", "<|part|>", "<|end|>\n", "<|start|>user\n", "$1", "\\E", "é𝔘", ""]
@@ -236,6 +263,16 @@ def test_chat_digests_equal_the_turns(spark):
     assert set(got) == set(by)
 
 
+def test_roles_with_line_breaks_read_back(spark):
+    rng = random.Random(8)
+    odd = ["user\nassistant", "\n", "\\n", "\\", "\\b\n", "user", "<|\n", *("".join(rng.choices([*NASTY, "\\", "n", "b"], k=6)) for _ in range(60))]
+    rows = [(c, t, rng.choice(odd), "".join(rng.choices(NASTY, k=3))) for c in range(80) for t in range(5)]
+    back = chat.formatted(turns(spark, rows)).select("conv_id", chat.read_back(F.col("formatted")).alias("t"))
+    got = {r["conv_id"]: [(x["role"], x["text"]) for x in r["t"]] for r in back.collect()}
+    assert got == {c: [(r, x) for k, _, r, x in rows if k == c] for c in range(80)}
+    assert chat.digests(chat.formatted(turns(spark, []))).collect() == []
+
+
 def test_equal_roles_share_a_header(spark):
     rows = [(1, 2, "user", "b"), (1, 1, "user", "a"), (1, 3, "assistant", "c")]
     r = chat.formatted(turns(spark, rows)).first()
