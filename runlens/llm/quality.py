@@ -2,14 +2,16 @@
 
 A few small networks over the shape of a text are trained by the non-negative unbiased risk of positive-unlabelled learning: the
 risk of unlabelled text as negatives, less the share of positives in it (the class prior), is kept from falling below zero.
-The prior is the share of positives among the labelled rows that may be learned from; labels of negatives serve nothing else. The mean
-of the networks is then shifted so that `THRESHOLD` lies in the widest gap that the scores of the unlabelled sample leave near this share.
+The prior is estimated from positives and unlabelled text (`class_prior`); labels of negatives are never read. The mean
+of the networks is then shifted so that `THRESHOLD` lies in the widest gap that the scores of the unlabelled sample leave near this share:
+that suits text in two clusters; elsewhere the threshold accepts about the estimated share.
 
-Training reads at most `SAMPLE` positives and `SAMPLE` unlabelled documents, chosen by a hash of their id; scoring reads every
-whole text, in small Arrow batches. Inputs of a score are the bytes of the text alone.
+Training reads at most `SAMPLE` positives and `SAMPLE` unlabelled documents, chosen by a hash of their id, one row of each id; scoring reads
+every whole text, in small Arrow batches. Inputs of a score are the bytes of the text alone.
 
 Nulls and repeats: a null text is empty and gets the score of an empty text; rows with a null id are scored and never learned from;
-repeated rows give equal rows. Without positives every score is the prior 0.5.
+repeated rows give equal rows. Without positives every score is 0.5; a sample of fewer than four texts
+counts as a prior of 0.5.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from runlens.llm.language import fold
 SAMPLE = 4000
 THRESHOLD = 0.7
 NETWORKS, HIDDEN, STEPS, BATCH, RATE = 3, 24, 1500, 256, 0.005
+CONFIDENCE = 0.1
 
 
 def _mask(chars: bytes) -> np.ndarray:
@@ -55,8 +58,8 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _network(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int, seed: int) -> dict:
-    """Non-negative unbiased risk with the logistic loss, by Adam."""
+def _network(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, steps: int, seed: int) -> dict:
+    """Non-negative unbiased risk with the logistic loss, by Adam; without a prior, the plain risk of telling the samples apart."""
     rng = np.random.default_rng(seed)
     mean, std = unlabelled.mean(0), unlabelled.std(0) + 1e-3
     xp, xu = (positive - mean) / std, (unlabelled - mean) / std
@@ -69,9 +72,11 @@ def _network(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps:
         z = h @ p["w2"] + p["b2"]
         s = _sigmoid(z)
         # loss as a positive: log(1 + exp(-z)); as a negative: log(1 + exp(z))
-        negative_risk = np.logaddexp(0, z[BATCH:]).mean() - prior * np.logaddexp(0, z[:BATCH]).mean()
+        negative_risk = np.logaddexp(0, z[BATCH:]).mean() - (prior or 0) * np.logaddexp(0, z[:BATCH]).mean()
         as_positive, as_negative_p, as_negative_u = (s[:BATCH] - 1) / BATCH, s[:BATCH] / BATCH, s[BATCH:] / BATCH
-        if negative_risk >= 0:
+        if prior is None:  # tell the two samples apart
+            g = np.concatenate([as_positive, as_negative_u])
+        elif negative_risk >= 0:
             g = np.concatenate([prior * as_positive - prior * as_negative_p, as_negative_u])
         else:  # go back up where the estimate fell below zero
             g = np.concatenate([prior * as_negative_p, -as_negative_u])
@@ -105,6 +110,27 @@ def _gap(scores: np.ndarray, share: float) -> float | None:
     return float(ordered[at] + ordered[at + over]) / 2
 
 
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray, steps: int = STEPS, seed: int = 5) -> float:
+    """Share of positives in unlabelled text, from two samples without a label of a negative.
+
+    Above any score lie at least as many of the unlabelled as the positives' share of all times the share of positives there. So the
+    least ratio of the two shares bounds the prior, and meets it where few negatives score as high. Scores are those of a network that tells
+    the samples apart, each half scored by the network of the other half; the score is chosen with what chance may do to both shares.
+    """
+    if min(len(positive), len(unlabelled)) < 4:
+        return 0.5
+    found = []
+    for half in (0, 1):
+        model = _network(positive[half::2], unlabelled[half::2], None, steps, seed + half)
+        p, u = (np.sort(_raw(model, x[1 - half::2])) for x in (positive, unlabelled))
+        above_p = np.arange(len(p), 0, -1) / len(p)
+        above_u = 1 - np.searchsorted(u, p) / len(u)
+        chance = np.sqrt(np.log(4 / CONFIDENCE) / 2 / len(p)) + np.sqrt(np.log(4 / CONFIDENCE) / 2 / len(u))
+        best = ((above_u + chance) / above_p).argmin()
+        found.append(above_u[best] / above_p[best])
+    return float(np.clip(np.mean(found), 0.01, 0.99))
+
+
 def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS, seed: int = 5) -> dict:
     model = {"networks": [_network(positive, unlabelled, prior, steps, seed + n) for n in range(NETWORKS)], "shift": 0.0}
     gap = _gap(logits(model, unlabelled), 1 - prior)
@@ -120,13 +146,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
         return df.orderBy(F.xxhash64("_id"), "_id").limit(sample)
 
     ids = docs.filter(learn).select(F.col(f"`{id_col}`").alias("_id")).filter("_id IS NOT NULL")
-    told = labels.filter(learn).select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{label_col}`").alias("_label")).filter("_label IS NOT NULL")
-    told = told.join(ids, "_id", "left_semi").groupBy("_id").agg(F.max("_label").alias("_label"))
-    counted = told.agg(F.avg(F.when(F.col("_label") == 1, 1.0).otherwise(0.0)).alias("prior")).first()
-    if not counted["prior"]:
-        return None
+    told = labels.filter(learn).filter(F.col(f"`{label_col}`") == 1).select(F.col(f"`{id_col}`").alias("_id")).distinct()
     # both samples are bounded, and fetched by one scan
-    chosen = first(told.filter("_label = 1").select("_id")).withColumn("_part", F.lit("p")).unionByName(
+    chosen = first(told.join(ids, "_id", "left_semi")).withColumn("_part", F.lit("p")).unionByName(
         first(ids.distinct()).withColumn("_part", F.lit("u")))
     texts = id_text(docs.filter(learn), id_col, text_col).join(F.broadcast(chosen), "_id")
     small_batches(docs.sparkSession)
@@ -137,10 +159,14 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(0), pa.array(rows, pa.binary())], names=["part", "id", "x"])
 
     kind = dict(texts.dtypes)["_id"]
-    found = texts.select("_id", "_text", "_part").mapInArrow(batches, f"part string, id {kind}, x binary").collect()
-    found.sort(key=lambda r: (r["part"], r["id"], r["x"]))
+    rows = texts.select("_id", "_text", "_part").mapInArrow(batches, f"part string, id {kind}, x binary")
+    # an id may have any number of rows: one of them, the least, reaches the driver
+    found = rows.groupBy("part", "id").agg(F.min("x").alias("x")).collect()
+    if not any(r["part"] == "p" for r in found):
+        return None
+    found.sort(key=lambda r: (r["part"], r["id"]))
     part = {k: np.stack([np.frombuffer(r["x"], np.float32) for r in found if r["part"] == k]).astype(np.float64) for k in "pu"}
-    return train(part["p"], part["u"], min(0.99, max(0.01, counted["prior"])))
+    return train(part["p"], part["u"], class_prior(part["p"], part["u"]))
 
 
 def _scores(model: dict | None, texts: list[str]) -> np.ndarray:

@@ -124,6 +124,31 @@ def test_labels_of_held_out_rows_are_not_read(spark, make):
     assert a["shift"] == b["shift"] and all(np.array_equal(x[k], y[k]) for x, y in zip(a["networks"], b["networks"], strict=True) for k in x)
 
 
+def test_quality_without_any_negative_label(spark):
+    """Rows of label 0 change nothing: prior and scores come from positives and unlabelled text."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    all_, ones = (quality.fit(docs, x, quality.learnable()) for x in (labels, labels.filter("quality = 1")))
+    assert all_["shift"] == ones["shift"] and all(np.array_equal(x[k], y[k]) for x, y in zip(all_["networks"], ones["networks"], strict=True) for k in x)
+
+
+@pytest.mark.parametrize("prior", [0.2, 0.5, 0.86])
+def test_the_class_prior_is_estimated(prior):
+    rng = np.random.default_rng(4)
+    good, bad = (lambda n: rng.normal(0, 1, (n, 6))), (lambda n: rng.normal(0, 1, (n, 6)) + [3, 2, 0, 0, 0, 0])
+    n = int(3000 * prior)
+    found = quality.class_prior(good(2000), rng.permutation(np.concatenate([good(n), bad(3000 - n)])))
+    assert abs(found - prior) < 0.06
+
+
+def test_one_row_of_an_id_is_learned_from(spark, make):
+    rows = [(n, "good words in a row " * (1 + n % 5) if n % 2 else "%% $$ && ## " * 9) for n in range(200)]
+    labels = spark.createDataFrame([(n, n % 2) for n in range(200)], "doc_id long, quality int")
+    hot = next(n for n in range(1, 200, 2) if zlib.crc32(str(n).encode()) % 4 != 2)
+    a, b = (quality.fit(make(x), labels, quality.learnable()) for x in (rows, rows + [rows[hot]] * 400))
+    assert a["shift"] == b["shift"]
+
+
 def test_quality_of_odd_texts(spark, make, edge):
     none = spark.createDataFrame([], "doc_id long, quality int")
     got = [tuple(r) for r in quality.learn_and_score(make(edge), none).collect()]
