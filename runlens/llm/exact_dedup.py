@@ -58,11 +58,11 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", su
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: float = SUPPORT) -> DataFrame:
     """The rows that stay, with all their columns. Rows of heavy digests are dropped where they lie."""
     rows = written(digests(docs, id_col, text_col), "digests")
-    heavy, rare = duplicate_groups(rows, support)
-    # how often the winning id occurs in its group: more than once only where rows repeat
-    groups = written(rows.join(heavy.unionByName(rare.filter("_size > 1")), "_digest").groupBy("_digest").agg(
-        F.max("_top._id").alias("_keep"), F.count_if(F.col("_id").eqNullSafe(F.col("_top._id"))).alias("_tops")),
-        "digest-groups")
+    heavy = written(heavy_winners(rows, support), "heavy-digests")
+    # counted by digest and id first, so that no task meets a group; the winning id occurs more than once only where rows repeat
+    counted = rows.groupBy("_digest", "_id").agg(F.count("*").alias("_t")).groupBy("_digest").agg(
+        F.max(F.struct("_id", "_t")).alias("_top"), F.sum("_t").alias("_size"))
+    groups = written(counted.filter("_size > 1").select("_digest", F.col("_top._id").alias("_keep"), F.col("_top._t").alias("_tops")), "digest-groups")
     hot = groups.join(F.broadcast(heavy.select("_digest")), "_digest", "left_semi")
     cool = groups.join(F.broadcast(heavy.select("_digest")), "_digest", "left_anti")
     keyed = packed(docs, id_col, text_col).withColumn("_digest", F.sha2(ascii_lower(F.col("_text")), 256)).drop("_text")
