@@ -2,8 +2,8 @@
 
 Bytes of the lower-cased text are embedded, filters of several widths slide over windows of fixed length, each filter's largest value
 in a window goes to a softmax layer, and a document's answer is the mean over all its windows, weighted by their bytes. The network
-is trained in numpy on a bounded sample: at most `DOCS_PER_LANGUAGE` labelled documents of each language, `WINDOWS_PER_DOC`
-windows of each. It is then applied to every window of every whole text.
+is trained in numpy on a bounded sample: at most `DOCS_PER_LANGUAGE` labelled documents of each language, one row of each, `WINDOWS_PER_DOC`
+windows of each, and at most `MAX_LANGUAGES` languages (more raise an error). It is then applied to every window of every whole text.
 
 For speed a trained filter becomes tables over pairs of bytes; sums of table rows equal the convolution.
 
@@ -24,7 +24,7 @@ from runlens.llm.common import id_text, small_batches
 
 WINDOW = 256
 WIDTHS, FILTERS, EMBEDDED = (2, 3, 4), 16, 8
-DOCS_PER_LANGUAGE, WINDOWS_PER_DOC = 1000, 4
+DOCS_PER_LANGUAGE, WINDOWS_PER_DOC, MAX_LANGUAGES = 1000, 4, 200
 STEPS, BATCH, RATE = 1200, 64, 0.004
 UNKNOWN = "und"
 
@@ -34,17 +34,38 @@ def fold(id_: Column, folds: int) -> Column:
     return F.crc32(id_.cast("string").cast("binary")) % folds
 
 
-def training_windows(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                     per_language: int = DOCS_PER_LANGUAGE, per_doc: int = WINDOWS_PER_DOC) -> list[tuple[str, str]]:
-    """(lang, text of a window) of the sampled documents. The sample is ordered by a hash of the id, and bounded."""
+def _sampled_ids(able: DataFrame, per_language: int, max_languages: int) -> DataFrame:
+    """(_id, _lang) of the ids with the least hashes of each language, at most `per_language` of each.
+
+    A share of the hashes that holds about twice as many is cut first, where the rows lie, so that the ranking meets a few thousand ids
+    of a language however many rows it has. The ids are counted apart from their repeats.
+    """
+    sizes = able.groupBy("_lang").agg(F.approx_count_distinct("_id").alias("_ids"))
+    found = sizes.limit(max_languages + 1).collect()
+    if len(found) > max_languages:
+        raise ValueError(f"more than {max_languages} languages to learn; pass a larger max_languages")
+    known = able.sparkSession.createDataFrame(found, sizes.schema)
+    place = F.xxhash64("_id") / F.lit(2.0**64) + 0.5
+    least = able.join(F.broadcast(known), "_lang").filter(place * F.col("_ids") <= 2 * per_language).select("_id", "_lang").distinct()
     order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    able = docs.filter(learn & F.col(f"`{lang_col}`").isNotNull()).select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{lang_col}`").alias("_lang"))
-    chosen = able.withColumn("_nr", F.row_number().over(order)).filter(F.col("_nr") <= per_language).select("_id").distinct()
-    rows = docs.filter(learn).select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"), F.col(f"`{lang_col}`").alias("_lang"))
-    texts = rows.join(F.broadcast(chosen), "_id", "left_semi").filter("_lang IS NOT NULL AND length(_text) > 0")
+    return least.withColumn("_nr", F.row_number().over(order)).filter(F.col("_nr") <= per_language).drop("_nr")
+
+
+def training_windows(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                     per_language: int = DOCS_PER_LANGUAGE, per_doc: int = WINDOWS_PER_DOC,
+                     max_languages: int = MAX_LANGUAGES) -> list[tuple[str, str]]:
+    """(lang, text of a window) of the sampled documents: at most max_languages * per_language * per_doc windows.
+
+    Of rows that share id and language the one whose text has the least hash teaches, so that repeats reach neither driver nor weights.
+    """
+    rows = docs.filter(learn).select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{lang_col}`").alias("_lang"), F.col(f"`{text_col}`").alias("_text"))
+    rows = rows.filter("_id IS NOT NULL AND _lang IS NOT NULL")
+    chosen = _sampled_ids(rows.select("_id", "_lang"), per_language, max_languages)
+    texts = rows.join(F.broadcast(chosen), ["_id", "_lang"], "left_semi").filter("length(_text) > 0")
     spread = F.transform(F.sequence(F.lit(0), F.lit(per_doc - 1)), lambda j: F.col("_text").substr(
         (F.floor(F.char_length("_text") * j / per_doc) + 1).cast("int"), F.lit(WINDOW)))
-    return [(r["_lang"], w) for r in texts.select("_id", "_lang", spread.alias("_w")).sort("_id", "_lang").collect() for w in r["_w"] if w]
+    one = texts.select("_id", "_lang", F.struct(F.xxhash64("_text").alias("h"), spread.alias("w")).alias("_w")).groupBy("_id", "_lang").agg(F.min("_w").alias("_w"))
+    return [(r["_lang"], w) for r in one.select("_id", "_lang", "_w.w").sort("_id", "_lang").collect() for w in r["w"] if w]
 
 
 def to_windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

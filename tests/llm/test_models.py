@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pytest
 from llm_tables import edge, make  # noqa: F401
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from runlens.llm import language, packing, quality
@@ -92,6 +93,18 @@ def test_language_on_held_out_rows(spark):
     assert got.score.between(0, 1).all()
 
 
+def test_language_sample_is_bounded_in_rows_and_languages(make):
+    rows = [(7, f"text number {i} of one id", "en") for i in range(400)] + [(100 + i, "wort und satz", f"l{i % 3}") for i in range(90)]
+    docs = make(rows + [(8, None, "en"), (None, "no id", "en"), (9, "no language", None)])
+    got = language.training_windows(docs, F.lit(True), per_language=20, per_doc=2)
+    assert sum(lang == "en" for lang, _ in got) == 2  # two windows of one row of id 7
+    assert {w for lang, w in got if lang == "en"} <= {w for i in range(400) for t in [f"text number {i} of one id"] for w in (t, t[len(t) // 2:])}
+    assert all(sum(lang == f"l{k}" for lang, _ in got) == 40 for k in range(3))
+    assert got == language.training_windows(docs.repartition(5), F.lit(True), per_language=20, per_doc=2)
+    with pytest.raises(ValueError):
+        language.training_windows(docs, F.lit(True), max_languages=3)
+
+
 def test_language_of_odd_texts(make, edge):
     rows = edge + [(n + 10, "the and of " * 20 if n % 2 else "der und die " * 20, "en" if n % 2 else "de") for n in range(40)] + [(60, "123 !!", None)]
     got = {}
