@@ -65,6 +65,52 @@ def test_random_strings_of_one_case_and_behind_names_are_found():
         assert secrets.random_spans(text) == [], text
 
 
+def test_known_digests_and_identifiers_are_left_out():
+    import base64
+    import string
+    import uuid
+
+    rng = random.Random(11)
+    b58 = "".join(sorted(set(string.ascii_letters + string.digits) - set("0OIl")))
+    digest = lambda name: base64.b64encode(hashlib.new(name, rng.randbytes(30)).digest()).decode()
+    day = lambda: datetime.datetime(2000, 1, 1) + datetime.timedelta(seconds=rng.randrange(8 * 10**8))
+
+    def iban():
+        body = "37040044" + "".join(rng.choices(string.digits, k=10))
+        return f"DE{98 - int(body + '131400') % 97:02d}{body}"
+
+    for _ in range(100):
+        known = [f"sha256-{digest('sha256')}", f"sha384-{digest('sha384')}", f"sha512-{digest('sha512')}", f"SHA256:{digest('sha256').rstrip('=')}",
+                 f"sha1-{digest('sha1')}", f"integrity=sha512-{digest('sha512')}", "Qm" + "".join(rng.choices(b58, k=44)),
+                 "bafy" + "".join(rng.choices(string.ascii_lowercase + "234567", k=55)), iban(), f"IMG_{day():%Y%m%d_%H%M%S}",
+                 f"backup-{day():%Y-%m-%dT%H-%M-%S}Z", f"node-{uuid.UUID(int=rng.getrandbits(128))}", f"commit-{rng.getrandbits(160):040x}"]
+        for text in known:
+            assert [s for s in secrets.spans(f"see {text} here") if s[1] == 3] == [], text
+    # a key beside a known part is still found, an IBAN with a wrong remainder and a digest of a wrong length are no identifiers
+    drawn = lambda n: "".join(rng.choices(string.ascii_letters + string.digits, k=n))
+    for _ in range(100):
+        key = drawn(32)
+        for head, tail in ((f"IMG_{day():%Y%m%d}_", ""), ("", f"_{uuid.UUID(int=rng.getrandbits(128))}"), (f"sha256-{digest('sha256')}/", "")):
+            assert secrets.random_spans(head + key + tail) == [(len(head), len(head) + len(key))], head + key + tail
+        assert [(a, b) for a, k, b in secrets.spans(f"SHA256:{key}") if k == 3] == [(7, 39)]
+
+
+def test_recall_and_precision_of_random_spans():
+    import base64
+    import string
+
+    rng = random.Random(12)
+    alphabets = (string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_lowercase + string.digits)
+    keys = ["".join(rng.choices(a, k=n)) for a in alphabets for n in (20, 32, 40, 64) for _ in range(100)]
+    keys += [base64.b64encode(rng.randbytes(n)).decode() for n in (16, 24, 32) for _ in range(100)]
+    found = sum(any(k == 3 and a < len("key ") + len(key) and b > 4 for a, k, b in secrets.spans(f"key {key} end")) for key in keys)
+    assert found >= 0.99 * len(keys)
+    words = ("configuration", "internationalization", "organisation", "Verantwortung", "management", "distributed", "pipeline", "gouvernement", "responsabilidad",
+             "transformation", "ArrayIndexOutOfBounds", "requestHandler", "ontwikkeling", "Datenverarbeitung", "characteristics")
+    plain = [rng.choice("/_-").join(rng.choices(words, k=rng.randint(2, 6))) for _ in range(500)] + [w for w in words if len(w) >= 16]
+    assert [t for t in plain if any(k == 3 for _, k, _ in secrets.spans(t))] == []
+
+
 # ---- licences ----
 
 
