@@ -204,11 +204,12 @@ def _typed(kind: str, unit: str, text: Column) -> Column:
 def _checked(kind: str, check: str, text: Column, number: Column) -> Column:
     """Whether a given text passes the check of its setting."""
     if kind == "text":
+        # built only for the check at hand
         return {
-            "": F.lit(True), "http": text.startswith("http"), "nonempty": text != "", "path": path_source(text) != "invalid",
-            "label_key": (text == "") | key_valid(text), "labels": entries_valid(kv_entries(text)),
-            "annotations": entries_valid(kv_entries(text, "annotation")),
-        }[check]
+            "": lambda: F.lit(True), "http": lambda: text.startswith("http"), "nonempty": lambda: text != "",
+            "path": lambda: path_source(text) != "invalid", "label_key": lambda: (text == "") | key_valid(text),
+            "labels": lambda: entries_valid(kv_entries(text)), "annotations": lambda: entries_valid(kv_entries(text, "annotation")),
+        }[check]()
     limits = {"": F.lit(True), "positive": number > 0, "non_negative": number >= 0}
     # NaN is larger than any number
     return F.coalesce(limits[check] & ~F.isnan(number), F.lit(False)) if check else number.isNotNull()
@@ -220,21 +221,33 @@ def typed_settings(entries: DataFrame, settings: list[tuple], owner: str = "app_
     `settings` lists (key, kind, unit, default, check): kinds are time, integer, long, number, boolean and text; checks
     positive and non_negative for numbers; http, nonempty, path, label_key, labels and annotations for texts.
 
-    The last text per owner and setting is combined map-side; after that an owner has at most one
-    entry per setting, which makes a small map. Each setting is evaluated by the rules of its own kind only.
+    The last text per owner and setting is combined map-side. Each given text is evaluated once, on its own row, by the rules of its own
+    setting; defaults are constants of the plan. An owner's rows then meet the defaults of the settings that it does not give.
     """
-    known = F.when(F.col("key").isin([key for key, *_ in settings]) & F.col("value").isNotNull(), F.col("key"))
-    last = entries.groupBy(owner, known.alias("key")).agg(F.max_by("value", order).alias("value"))
-    pair = F.when(F.col("key").isNotNull(), F.struct("key", "value"))
-    given = last.groupBy(owner).agg(F.map_from_entries(F.collect_list(pair)).alias("given"))
-
-    def setting(key: str, kind: str, unit: str, default: str | None, check: str) -> Column:
-        value = F.try_element_at("given", F.lit(key))
-        text = F.coalesce(value, F.lit(default).cast("string"))
+    rules = {key: (kind, unit, check) for key, kind, unit, _, check in settings}
+    known = F.when(F.col("key").isin(list(rules)) & F.col("value").isNotNull(), F.col("key"))
+    last = entries.groupBy(owner, known.alias("key")).agg(F.max_by("value", order).alias("text"))
+
+    def by_rule(part: list[int], value) -> Column:
+        """`value` of each distinct rule, looking only at `part` of (kind, unit, check), for the keys that have it."""
+        keys: dict[tuple, list[str]] = {}
+        for key, rule in rules.items():
+            keys.setdefault(tuple(rule[i] for i in part), []).append(key)
+        chain = F
+        for rule, own in keys.items():
+            chain = chain.when(F.col("key").isin(own), value(*rule))
+        return chain
+
+    typed = last.withColumn("number", by_rule([0, 1], lambda kind, unit: _typed(kind, unit, F.col("text"))))
+    valid = by_rule([0, 2], lambda kind, check: _checked(kind, check, F.col("text"), F.col("number")))
+    one = F.struct("key", F.lit(True).alias("given"), "text", "number", valid.alias("valid"))
+    given = typed.groupBy(owner).agg(F.collect_list(F.when(F.col("key").isNotNull(), one)).alias("own"))
+
+    def standard(key: str, kind: str, unit: str, default: str | None, check: str) -> Column:
+        text = F.lit(default).cast("string")
         number = _typed(kind, unit, text)
-        ok = F.when(text.isNull(), True).otherwise(_checked(kind, check, text, number))
-        return F.struct(F.lit(key).alias("key"), value.isNotNull().alias("given"), text.alias("text"),
-                        number.alias("number"), ok.alias("valid"))
+        ok = F.lit(True) if default is None else _checked(kind, check, text, number)
+        return F.struct(F.lit(key).alias("key"), F.lit(False).alias("given"), text.alias("text"), number.alias("number"), ok.alias("valid"))
 
-    rows = F.explode(F.array(*[setting(*s) for s in settings]))
-    return given.select(owner, rows.alias("s")).select(owner, "s.*")
+    absent = F.filter(F.array(*[standard(*s) for s in settings]), lambda d: ~F.exists("own", lambda g: g["key"] == d["key"]))
+    return given.select(owner, F.inline(F.concat("own", absent)))

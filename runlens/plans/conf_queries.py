@@ -365,7 +365,7 @@ def auth_rules(t):
                               "login_url", "redeem_url", "validate_url", "jwks_url"))
 
 
-# Settings of an example site: (key, kind, unit, default, check). The defaults and the checks.
+# Fixed values: (key, kind, unit, default, check); keys without their common prefix. Only `dashboardUrl` is a name of our own, as that key bears a product's.
 SETTINGS = [
     ("executor.connectionTimeout", "time", "s", "300s", "positive"),
     ("dashboardUrl", "text", "", "http://localhost:30000", "http"),
@@ -386,7 +386,7 @@ SETTINGS = [
     ("pod.labels", "text", "", None, "labels"),
     ("driver.ingress.annotations", "text", "", None, "annotations"),
     ("jobTemplate", "text", "", None, "path"),
-    ("proxy.port", "integer", "", "4180", "positive"),
+    ("oauth.proxy.port", "integer", "", "4180", "positive"),
 ]
 _SETTING_KEYS = [key for key, *_ in SETTINGS]
 SETTING_KEY = f"CASE CAST(o_orderkey % {len(SETTINGS) + 2} AS INT) " + " ".join(

@@ -267,11 +267,24 @@ def test_each_check_of_a_setting(spark):
              ("scheduling.nodeUniformity", "", True), ("scheduling.nodeUniformity", "example.com/zone", True), ("scheduling.nodeUniformity", "-x", False),
              ("pod.labels", "a=b,c=d", True), ("pod.labels", "a=has blank", False), ("driver.ingress.annotations", "a=has blank", True),
              ("driver.ingress.annotations", "blank key=x", False), ("jobTemplate", "", False), ("jobTemplate", "FILE:///x", True), ("jobTemplate", "ftp://x", False),
-             ("jobTemplate", "conf/x.yaml", True), ("proxy.port", "0", False), ("proxy.port", "8080", True), ("dashboardUrl", "https://h", True), ("dashboardUrl", "", False)]
+             ("jobTemplate", "conf/x.yaml", True), ("oauth.proxy.port", "0", False), ("oauth.proxy.port", "8080", True), ("dashboardUrl", "https://h", True), ("dashboardUrl", "", False)]
     df = spark.createDataFrame([(n, 1, k, v) for n, (k, v, _) in enumerate(cases)], "app_id int, pos int, key string, value string")
     got = {(r["app_id"], r["key"]): r["valid"] for r in ly.typed_settings(df, SETTINGS).collect()}
     assert [(c, got[n, c[0]]) for n, c in enumerate(cases) if got[n, c[0]] != c[2]] == []
-    assert got[0, "proxy.port"] is True
+    assert got[0, "oauth.proxy.port"] is True
+
+
+def test_settings_are_evaluated_on_their_own_rows(spark):
+    """Each owner has every setting once; texts of equal form under other settings keep their own rule; nothing is parsed per owner and setting."""
+    df = spark.createDataFrame([(1, n, k, v) for n, (k, v) in enumerate([("killGracePeriod", "5"), ("health.checkTimeout", "5"), ("runAsUser", "5"), ("other", "5"),
+                               ("runAsUser", None)])] + [(2, 1, None, None), (None, 1, "runAsUser", "7")], "app_id int, pos int, key string, value string")
+    out = ly.typed_settings(df, SETTINGS)
+    got = {(r["app_id"], r["key"]): r for r in out.collect()}
+    assert out.count() == len(got) == 3 * len(SETTINGS)
+    assert [got[1, k]["number"] for k in ("killGracePeriod", "health.checkTimeout", "runAsUser")] == [5.0, 5.0, 5.0]
+    assert not any(r["given"] for (app, _), r in got.items() if app == 2) and got[2, "killGracePeriod"]["number"] == 5000.0
+    assert got[None, "runAsUser"]["number"] == 7.0 and out.columns == ["app_id", "key", "given", "text", "number", "valid"]
+    assert ly.typed_settings(df.limit(0), SETTINGS).count() == 0
 
 
 def test_proxy_port_has_its_own_default(spark):
