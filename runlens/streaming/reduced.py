@@ -220,18 +220,28 @@ def overdue(rows: DataFrame, limit_ms: int, delay: str = "0 seconds") -> DataFra
         outputMode="Append", timeMode="EventTime")
 
 
+def replay_delay(events: DataFrame) -> str:
+    """A delay that no row of a table exceeds, in whatever order its files are replayed."""
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    span = events.agg(F.max(ms) - F.min(ms)).first()[0] or 0
+    # the watermark is in whole milliseconds, and a row exactly on it counts as late
+    return f"{span + 1000} milliseconds"
+
+
 def decommissions(events: DataFrame, ended: DataFrame, horizon_ms: int, grace_ms: int, delay: str = "1 hour") -> DataFrame:
     """Preemption notices with the event that ends their job at most `horizon_ms` later, as an interval join of two streams.
 
     `events` is the stream of events, `ended` the stream of what `ends` emits. A notice counts between the job's recording and its end.
-    Either side waits in the state store until the watermark shows that no partner can come: a notice for the horizon, an end for none. Rows
-    that come later than `delay` behind the newest of their stream are not paired.
+    Arrival is the order of the ids; the clock of an end may run up to `delay` behind that of its notice. Either side waits in the state store
+    until the watermark shows that no partner can come: a notice for the horizon, an end for `delay`. Rows that come `delay` or more behind the
+    newest of their stream are not paired, so `delay` has to cover the disorder of both streams: files of one batch that do not fit one
+    trigger are in no order, and neither is a table that is replayed (see `replay_delay`).
     """
     notices = events.filter(F.col("kind") == "preempting").select(
         "message_id", "job_id", F.col("ts").cast("timestamp").alias("noticed")).withWatermark("noticed", delay)
     finished = ended.select(F.col("job_id").alias("_job"), "record_id", F.col("message_id").alias("terminal_id"),
                             F.col("ts").cast("timestamp").alias("finished")).withWatermark("finished", delay)
-    inside = F.expr(f"job_id = _job and finished >= noticed and finished <= noticed + interval {horizon_ms} milliseconds")
+    inside = F.expr(f"job_id = _job and finished >= noticed - interval {delay} and finished <= noticed + interval {horizon_ms} milliseconds")
     gap = F.unix_micros("finished") - F.unix_micros("noticed")
     return notices.join(finished, inside).filter(F.col("message_id").between(F.col("record_id"), F.col("terminal_id"))).select(
         "message_id", "job_id", "terminal_id", gap.alias("gap_us"), (gap <= grace_ms * 1000).alias("within_grace"))

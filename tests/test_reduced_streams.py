@@ -1,10 +1,13 @@
 """Streams over reduced batches against the batch operators: five batches, a hot job, history as the start, state read back."""
 
+import duckdb
 import pytest
 from conftest import rows
+from oracle_check import compare
 from pyspark.sql import functions as F
 
 from runlens.operators import lifecycle as lc
+from runlens.plans import ORACLES, runner, stream_queries
 from runlens.plans.fixtures import job_events
 from runlens.session import scratch_path
 from runlens.sources.event_stream import table_stream
@@ -149,3 +152,20 @@ def test_decommissions_equal_the_batch_and_let_go_of_state(spark, reducer, event
     n_all = events.filter("kind = 'preempting'").count() + ends.count()
     assert max(held) < n_all and held[-1] < max(held)
     assert sum(p["stateOperators"][0]["numRowsRemoved"] for p in query.recentProgress if p["stateOperators"]) > 0
+
+
+def test_decommission_join_of_files_in_no_order_of_time(spark, tables, monkeypatch):
+    """Ends and notices in more files than a trigger takes, and an end whose clock is behind its notice."""
+    folder = scratch_path(spark, "disordered")
+    e = tables["events"]
+    split = e.withColumn("_n", F.expr("crc32(cast(user_id as string)) % 3"))
+    # the ids of a job stay in order within a file; clocks run backwards for every second user
+    late = F.when(F.col("user_id") % 2 == 0, F.expr("ts - make_dt_interval(0, event_id % 4)")).otherwise(F.col("ts"))
+    for part in (2, 0, 1):
+        split.filter(F.col("_n") == part).withColumn("ts", late).drop("_n").coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+    monkeypatch.setattr(stream_queries, "FILES_PER_TRIGGER", 1)
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{folder}/events.parquet/*.parquet')")
+    name = "stream_decommission_join"
+    assert compare(spark, con, name, runner(name), ORACLES[name], folder) == []
