@@ -34,8 +34,13 @@ def years(column: str, first: int, last: int | None = None) -> Column:
         c < F.lit(f"{(last or first) + 1}-01-01").cast("timestamp_ntz"))
 
 
+def amount(column: Column) -> Column:
+    """Exact sum of finite amounts of at most six digits after the point: it does not depend on the order in which rows and partial sums meet."""
+    return F.sum(column.cast("decimal(28,6)"))
+
+
 def money(column: Column, digits: int = 2) -> Column:
-    return F.round(F.sum(column), digits)
+    return F.round(amount(column), digits).cast("double")
 
 
 def sales(t, lines: DataFrame | None = None, line_cols: list[str] | None = None) -> DataFrame:
@@ -127,8 +132,8 @@ def w04(t):
     supplier = t["supplier"].select("s_suppkey", "s_nationkey")
     # totals per cell first; names are joined to, and the rollup expands, a few rows instead of every line
     cells = s.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).groupBy("channel", "s_nationkey").agg(
-        F.sum(F.when(~returned, F.col("l_extendedprice")).otherwise(0.0)).alias("sold"),
-        F.sum(F.when(returned, F.col("l_extendedprice")).otherwise(0.0)).alias("returned"))
+        amount(F.when(~returned, F.col("l_extendedprice")).otherwise(0.0)).alias("sold"),
+        amount(F.when(returned, F.col("l_extendedprice")).otherwise(0.0)).alias("returned"))
     named = cells.join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey"))
     return named.rollup("channel", "n_name").agg(
         money(F.col("sold")).alias("sold"), money(F.col("returned")).alias("returned")).select(
@@ -221,7 +226,7 @@ WHERE EXISTS (SELECT 1 FROM lineitem b WHERE b.l_orderkey = a.l_orderkey AND b.l
 def w10(t):
     per_order = t["lineitem"].groupBy("l_orderkey").agg(
         F.min("l_suppkey").alias("lo"), F.max("l_suppkey").alias("hi"),
-        F.coalesce(F.max(F.expr(RETURNED)), F.lit(False)).alias("returned"), F.sum("l_extendedprice").alias("total"))
+        F.coalesce(F.max(F.expr(RETURNED)), F.lit(False)).alias("returned"), amount(F.col("l_extendedprice")).alias("total"))
     return per_order.filter("lo <> hi and not returned").agg(
         count().alias("n_orders"), money(F.col("total")).alias("total"))
 
@@ -237,7 +242,7 @@ def w11(t):
     wanted = part.join(brands, "p_brand", "left_semi")
     s = sales(t, t["lineitem"].filter(years("l_shipdate", 1997)), ["l_partkey", "l_extendedprice"])
     per_channel = s.join(wanted, F.col("l_partkey") == F.col("p_partkey")).groupBy("channel", "p_brand").agg(
-        F.sum("l_extendedprice").alias("total"))
+        amount(F.col("l_extendedprice")).alias("total"))
     return per_channel.groupBy("p_brand").agg(money(F.col("total")).alias("total"), count().alias("n_channels"))
 
 
@@ -251,10 +256,10 @@ def w12(t):
 
 def partition_share(t, lines: DataFrame) -> DataFrame:
     # one row per part reaches the join
-    parts = lines.groupBy("l_partkey").agg(F.sum("l_extendedprice").alias("price"))
+    parts = lines.groupBy("l_partkey").agg(amount(F.col("l_extendedprice")).alias("price"))
     cells = parts.join(t["part"], F.col("l_partkey") == F.col("p_partkey")).groupBy("p_type", "p_brand").agg(
         money(F.col("price")).alias("revenue"))
-    whole = F.round(F.sum("revenue").over(Window.partitionBy("p_type")), 2)
+    whole = F.round(amount(F.col("revenue")).over(Window.partitionBy("p_type")), 2).cast("double")
     return cells.withColumn("share", F.col("revenue") * 100 / whole)
 
 
@@ -335,7 +340,7 @@ def w16(t):
     places = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
     keys = ["r_name", "n_name", "c_mktsegment"]
     cells = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("c_nationkey", "c_mktsegment").agg(
-        F.sum("l_quantity").alias("q"), F.sum("l_extendedprice").alias("p"), count().alias("n")).join(
+        F.sum("l_quantity").alias("q"), amount(F.col("l_extendedprice")).alias("p"), count().alias("n")).join(
         places, F.col("c_nationkey") == F.col("n_nationkey"))
     return cells.rollup(*keys).agg(
         (F.sum("q") / F.sum("n")).alias("mean_quantity"), (money(F.col("p")) / F.sum("n")).alias("mean_price"),
@@ -354,8 +359,8 @@ def w17(t):
     part = t["part"].select("p_partkey", "p_type", "p_brand")
     # one row per part reaches the join
     parts = t["lineitem"].groupBy("l_partkey").agg(
-        F.sum("l_extendedprice").alias("whole"),
-        F.sum(F.when(F.expr(RETURNED), F.col("l_extendedprice")).otherwise(0.0)).alias("back"))
+        amount(F.col("l_extendedprice")).alias("whole"),
+        amount(F.when(F.expr(RETURNED), F.col("l_extendedprice")).otherwise(0.0)).alias("back"))
     cells = parts.join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_type", "p_brand").agg(
         F.sum("whole").alias("whole"), F.sum("back").alias("back"))
     shares = cells.rollup("p_type", "p_brand").agg(
@@ -376,7 +381,7 @@ SELECT * FROM (SELECT coalesce(p_type, 'ALL') AS p_type, coalesce(p_brand, 'ALL'
 WHERE place <= 100""")
 def w18(t):
     part = t["part"].select("p_partkey", "p_type", "p_brand")
-    per_part = t["lineitem"].groupBy("l_partkey").agg(F.sum("l_extendedprice").alias("total"))
+    per_part = t["lineitem"].groupBy("l_partkey").agg(amount(F.col("l_extendedprice")).alias("total"))
     cells = per_part.join(part, F.col("l_partkey") == F.col("p_partkey"))
     totals = cells.rollup("p_type", "p_brand", "l_partkey").agg(money(F.col("total")).alias("total"))
     # the rank filter is applied per task before the shuffle (window group limit)
@@ -431,7 +436,7 @@ def w21(t):
     whole = Window.partitionBy("p_brand", "year")
     ordered = Window.partitionBy("p_brand").orderBy("year", "month")
     framed = monthly.select(
-        "*", (F.round(F.sum("total").over(whole), 2) / count().over(whole)).alias("mean"),
+        "*", (F.round(amount(F.col("total")).over(whole), 2).cast("double") / count().over(whole)).alias("mean"),
         F.coalesce(F.lag("total").over(ordered), F.lit(0.0)).alias("previous"),
         F.coalesce(F.lead("total").over(ordered), F.lit(0.0)).alias("next"))
     return framed.filter((F.col("year") == 1999) & (F.abs(F.col("total") - F.col("mean")) / F.col("mean") > 0.1))
@@ -515,7 +520,7 @@ FROM (SELECT round(sum(l_extendedprice), 2) AS promo FROM lineitem JOIN part ON
 def w25(t):
     # one row per part reaches the join
     parts = t["lineitem"].groupBy("l_partkey").agg(
-        F.sum("l_extendedprice").alias("price"),
+        amount(F.col("l_extendedprice")).alias("price"),
         F.count_if(F.month("l_shipdate") <= 6).alias("early"), F.count_if(F.month("l_shipdate") > 6).alias("late"))
     joined = parts.join(t["part"].select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
     one = joined.agg(
@@ -659,8 +664,8 @@ def w32(t):
     # pairs of lines follow from sums and counts per month
     back, again, price = store & returned, ~store & ~returned, F.col("l_extendedprice")
     monthly = s.filter(back | again).groupBy("o_custkey", "l_partkey", (year() * 12 + month()).alias("mon")).agg(
-        F.sum(F.when(back, price)).alias("rv"), F.count_if(back).alias("rn"),
-        F.sum(F.when(again, price)).alias("bv"), F.count_if(again).alias("bn"))
+        amount(F.when(back, price)).alias("rv"), F.count_if(back).alias("rn"),
+        amount(F.when(again, price)).alias("bv"), F.count_if(again).alias("bn"))
     later = Window.partitionBy("o_custkey", "l_partkey").orderBy("mon").rangeBetween(0, 6)
     pairs = monthly.select("l_partkey", "rv", "rn", F.sum("bv").over(later).alias("bv"), F.sum("bn").over(later).alias("bn")).filter(
         "rn > 0 and bn > 0")
