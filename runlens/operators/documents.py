@@ -13,7 +13,7 @@ null; the items of a named array are rows of kind `item` under the path of the a
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -33,8 +33,8 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def compact(value) -> str:
-    return json.dumps(value, separators=(",", ":"), sort_keys=True, ensure_ascii=False)
+# made once: json.dumps builds an encoder for every call with settings of its own
+compact = json.JSONEncoder(separators=(",", ":"), sort_keys=True, ensure_ascii=False).encode
 
 
 def item_name(item) -> str | None:
@@ -88,27 +88,47 @@ def _nodes(value, path: list[str]):
         yield path, "null" if value is None else "scalar", None, None, None if value is None else compact(value)
 
 
+def _node_batch(ids: pa.Array, values: Iterable) -> pa.RecordBatch:
+    """Node rows of a batch of parsed documents."""
+    places, columns = [], ([], [], [], [], [])
+    for position, value in enumerate(values):
+        for node in _nodes(value, []):
+            places.append(position)
+            for column, field in zip(columns, node):
+                column.append(field)
+    texts = [pa.array(columns[i], pa.string()) for i in (1, 2, 4)]
+    return pa.RecordBatch.from_arrays(
+        [ids.take(pa.array(places, pa.int32())), pa.array(columns[0], pa.list_(pa.string())),
+         texts[0], texts[1], pa.array(columns[3], pa.int64()), texts[2]],
+        ["doc_id", "path", "kind", "name", "pos", "value"])
+
+
 def flatten_documents(docs: DataFrame, text: str = "doc", doc_id: str = "doc_id") -> DataFrame:
     """Node rows of JSON texts of any depth."""
     def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, columns = [], ([], [], [], [], [])
-            for position, document in enumerate(batch.column(1).to_pylist()):
-                for node in _nodes(json.loads(document), []):
-                    ids.append(position)
-                    for column, value in zip(columns, node):
-                        column.append(value)
-            texts = [pa.array(columns[i], pa.string()) for i in (1, 2, 4)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(ids, pa.int32())), pa.array(columns[0], pa.list_(pa.string())),
-                 texts[0], texts[1], pa.array(columns[3], pa.int64()), texts[2]],
-                ["doc_id", "path", "kind", "name", "pos", "value"])
+            yield _node_batch(batch.column(0), (json.loads(d) for d in batch.column(1).to_pylist()))
 
     filled = docs.filter(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("doc"))
     id_type = filled.schema["doc_id"].dataType.simpleString()
     return spread(filled).mapInArrow(nodes, NODE_SCHEMA.format(id_type=id_type))
 
 
+def merged_nodes(docs: DataFrame, base: Column, over: Column, doc_id: str = "doc_id") -> DataFrame:
+    """Node rows of what `merge_documents` makes of two JSON texts, in one pass: the merged text is not written and parsed again."""
+    def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parse(text):
+            return None if text is None else json.loads(text)
+
+        for batch in batches:
+            pairs = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
+            yield _node_batch(batch.column(0), (merge_values(parse(b), parse(o)) for b, o in pairs))
+
+    # dealt before the texts are made
+    both = spread(docs).select(F.col(doc_id).alias("doc_id"), base.alias("base"), over.alias("over"))
+    return both.mapInArrow(nodes, NODE_SCHEMA.format(id_type=both.schema["doc_id"].dataType.simpleString()))
+
+
 def merge_nodes(base: DataFrame, over: DataFrame) -> DataFrame:
     """Node rows of the merged documents, with `layer` 0 for rows of the base and 1 for the override.
 

@@ -752,9 +752,7 @@ def _merged_nodes(t):
 SELECT doc_id, p AS path, k AS kind, coalesce(v, '') AS value, CAST(-1 AS BIGINT) AS pos FROM nodes
 UNION ALL SELECT doc_id, p, 'item', v, CAST(place AS BIGINT) FROM items""")
 def deep_merge_documents(t):
-    pairs = docs.spread(t["customer"])
-    merged = pairs.select(F.col("c_custkey").alias("doc_id"), docs.merge_documents(F.expr(BASE_DOC), F.expr(OVER_DOC)).alias("doc"))
-    return docs.flatten_documents(merged).select(
+    return docs.merged_nodes(t["customer"], F.expr(BASE_DOC), F.expr(OVER_DOC), "c_custkey").select(
         "doc_id", F.array_join("path", "/").alias("path"), "kind", F.coalesce("value", F.lit("")).alias("value"), F.coalesce("pos", F.lit(-1)).alias("pos"))
 
 

@@ -5,10 +5,13 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from runlens.operators import documents as docs
 from runlens.operators import variants as va
+from runlens.plans import QUERIES
+from runlens.sources.tables import Tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -69,3 +72,15 @@ def test_empty_tables(spark):
 def test_the_registered_merge_runs_no_python(spark):
     plan = entry.queries()["deep_merge"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InArrow" not in plan and "InPandas" not in plan
+
+
+def test_merge_and_flatten_in_one_pass(spark):
+    """The same nodes as those of the merged texts, with one Python step in the plan instead of two."""
+    texts = [(1, '{"a":{"b":[1,{"z":1,"y":2}]},"spec":{"volumes":[{"name":"v"},{"name":"w"}]}}', '{"a":null,"spec":{"volumes":[{"name":"v","k":1}]}}'),
+             (2, None, '{"a":"\u00e9"}'), (3, '[1]', None), (4, None, None), (5, '{"a":{"b":1}}', '{"a":[]}')]
+    pairs = spark.createDataFrame(texts, "doc_id int, base string, over string")
+    one = docs.merged_nodes(pairs, F.col("base"), F.col("over"))
+    two = docs.flatten_documents(pairs.select("doc_id", docs.merge_documents(F.col("base"), F.col("over")).alias("doc")))
+    assert rows(one) == rows(two) != []
+    steps = str(QUERIES["deep_merge_documents"](Tables(spark, SF))._jdf.queryExecution().optimizedPlan())
+    assert steps.count("MapInArrow") == 1 and "ArrowEvalPython" not in steps
