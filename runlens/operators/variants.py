@@ -76,16 +76,18 @@ def flatten(docs: DataFrame, text: str = "doc", doc_id: str = "doc_id", levels:
 def rebuild(nodes: DataFrame) -> DataFrame:
     """(doc_id, doc): the JSON text of every document, with keys in order, from its node rows (merged ones with `layer`, or plain ones).
 
-    Values are joined to the text of their parent from the deepest level up: one aggregate per level.
+    Values are joined to the text of their parent from the deepest level up: one aggregate per level, several levels in one pass.
     """
     layer = F.col("layer") if "layer" in nodes.columns else F.lit(0)
-    kept = written(nodes.select("doc_id", "path", "kind", "pos", "value", layer.alias("layer")), "nodes-to-rebuild")
-    items = kept.filter("kind = 'item'").groupBy("doc_id", "path").agg(F.array_sort(F.collect_list(F.struct("layer", "pos", "value"))).alias("items")).select(
-        "doc_id", "path", F.concat(F.lit("["), F.array_join(F.transform("items", lambda i: i["value"]), ","), F.lit("]")).alias("listed"))
+    item = F.col("kind") == "item"
+    # one aggregate brings a named array and its items together
+    own = nodes.select("doc_id", "path", "kind", "pos", "value", layer.alias("layer")).groupBy("doc_id", "path").agg(
+        F.max(F.when(~item, F.struct("kind", "value"))).alias("n"), F.array_sort(F.collect_list(F.when(item, F.struct("layer", "pos", "value")))).alias("items")).filter("n is not null")
     # a named array without items is empty
-    own = kept.filter("kind <> 'item'").join(items, ["doc_id", "path"], "left").select(
-        "doc_id", "path", F.size("path").alias("depth"), "kind",
-        F.when(F.col("kind") == "null", "null").when(F.col("kind") == "array", F.coalesce("value", "listed", F.lit("[]"))).otherwise(F.col("value")).alias("text"))
+    listed = F.concat(F.lit("["), F.array_join(F.transform("items", lambda i: i["value"]), ","), F.lit("]"))
+    own = own.select(
+        "doc_id", "path", F.size("path").alias("depth"), F.col("n.kind").alias("kind"),
+        F.when(F.col("n.kind") == "null", "null").when(F.col("n.kind") == "array", F.coalesce("n.value", listed)).otherwise(F.col("n.value")).alias("text"))
     own = written(own, "node-texts")
     depth = own.agg(F.max("depth")).first()[0]
     if depth is None:
@@ -95,7 +97,9 @@ def rebuild(nodes: DataFrame) -> DataFrame:
         here = own.filter(F.col("depth") == d)
         if below is not None:
             here = here.join(below, ["doc_id", "path"], "left").withColumn("text", F.coalesce("text", "members")).drop("members")
-        here = written(here.withColumn("text", F.when(F.col("kind") == "object", F.coalesce("text", F.lit("{}"))).otherwise(F.col("text"))), "texts-of-level")
+        here = here.withColumn("text", F.when(F.col("kind") == "object", F.coalesce("text", F.lit("{}"))).otherwise(F.col("text")))
+        if d and d % LEVELS == 0:  # a plan of few levels at a time
+            here = written(here, "texts-of-level")
         if d == 0:
             return here.select("doc_id", F.col("text").alias("doc"))
         key = F.element_at("path", -1)

@@ -84,3 +84,14 @@ def test_merge_and_flatten_in_one_pass(spark):
     assert rows(one) == rows(two) != []
     steps = str(QUERIES["deep_merge_documents"](Tables(spark, SF))._jdf.queryExecution().optimizedPlan())
     assert steps.count("MapInArrow") == 1 and "ArrowEvalPython" not in steps
+
+
+def test_rebuild_writes_several_levels_at_once(spark, monkeypatch):
+    """One table of node texts and one per `LEVELS` levels, instead of two and one per level."""
+    names, real = [], va.written
+    monkeypatch.setattr(va, "written", lambda df, name, path=None: names.append(name) or real(df, name, path))
+    deep = '{"x":' * 8 + '{"a":[1],"b":{}}' + "}" * 8
+    texts = [(1, '{"metadata":{"labels":{"a":null}},"spec":{"containers":[{"name":"m"}],"volumes":[]}}'), (2, deep), (3, "{}"), (4, "7")]
+    nodes = docs.flatten_documents(spark.createDataFrame(texts, "doc_id int, doc string"))
+    assert rows(va.rebuild(nodes)) == sorted(((t, i) for i, t in texts), key=repr)
+    assert names == ["node-texts", "texts-of-level"]
