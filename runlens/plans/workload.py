@@ -52,6 +52,15 @@ def sales(t, lines: DataFrame | None = None, line_cols: list[str] | None = None)
     return lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
+TASK_BYTES = 16 << 20
+
+
+def task_count(table: DataFrame) -> int:
+    """Tasks for a table, one per core at least and per `TASK_BYTES` of its files. Its size is the planner's estimate, no job."""
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(table.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+
+
 def year() -> Column:
     return F.year("l_shipdate").cast("long")
 
@@ -554,8 +563,8 @@ FROM sold LEFT JOIN back ON back.l_orderkey = sold.l_orderkey AND back.l_partkey
 JOIN orders ON o_orderkey = sold.l_orderkey GROUP BY o_custkey""")
 def w27(t):
     returned, q = F.expr(RETURNED), F.col("l_quantity")
-    # dealt by order once: that serves both aggregates and the join
-    lines = t["lineitem"].select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag").repartition("l_orderkey")
+    # dealt by order once: that serves both aggregates and the join; the number follows the table, as the hash tables of a task take many times its bytes
+    lines = t["lineitem"].select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag").repartition(task_count(t["lineitem"]), "l_orderkey")
     pairs = lines.groupBy("l_orderkey", "l_partkey").agg(
         F.sum(F.when(~returned, q)).alias("sold"), F.sum(F.when(returned, q)).alias("back")).filter("sold is not null")
     kept = F.greatest(F.col("sold") - F.coalesce("back", F.lit(0.0)), F.lit(0.0))

@@ -50,3 +50,19 @@ def test_top_ranks_are_cut_before_the_shuffle(spark):
 def test_small_state_aggregates_by_hash(spark):
     assert "SortAggregate" not in plan(entry.queries()["state_counts"](spark, SF))
     assert "SortAggregate" not in plan(entry.queries()["loss_summary"](spark, SF))
+
+
+def test_tasks_of_adjusted_join_follow_the_table(spark, monkeypatch):
+    """Twice the table, twice the tasks: what one task holds does not grow."""
+    import re
+
+    from runlens.plans import workload
+    from runlens.sources.tables import Tables
+
+    def dealt(task_bytes):
+        monkeypatch.setattr(workload, "TASK_BYTES", task_bytes)
+        plan = workload.w27(Tables(spark, "/root/testdata/sf0.01"))._jdf.queryExecution().optimizedPlan().toString()
+        return int(re.search(r"RepartitionByExpression \[l_orderkey#\d+L\], (\d+)", plan).group(1))
+
+    assert dealt(1 << 40) == spark.sparkContext.defaultParallelism
+    assert dealt(10_000) == pytest.approx(2 * dealt(20_000), abs=1) and dealt(10_000) > 50
