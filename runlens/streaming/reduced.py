@@ -52,13 +52,17 @@ def reduced(events: DataFrame, hot_rows: int = HOT_ROWS, path: str | None = None
 
 
 class Reducer:
-    """Writes each micro-batch of events reduced below `path`. A repeated batch replaces its own folder."""
+    """Writes each micro-batch of events reduced below `path`, in at most `files` files. A repeated batch replaces its own folder.
 
-    def __init__(self, path: str, hot_rows: int = HOT_ROWS):
-        self.path, self.keys, self.hot_rows = f"{path}/jobs", f"{path}/batch-keys", hot_rows
+    A stream that takes `files` files per trigger takes a whole batch at once: every trigger starts a Python worker and a
+    state store for each shuffle partition, whatever it reads.
+    """
+
+    def __init__(self, path: str, hot_rows: int = HOT_ROWS, files: int = 64):
+        self.path, self.keys, self.hot_rows, self.files = f"{path}/jobs", f"{path}/batch-keys", hot_rows, files
 
     def __call__(self, events: DataFrame, batch_id: int) -> None:
-        reduced(events, self.hot_rows, self.keys).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        reduced(events, self.hot_rows, self.keys).coalesce(self.files).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
 
     def stream(self, spark: SparkSession, files_per_trigger: int) -> DataFrame:
         return spark.readStream.schema(f"{REDUCED}, batch long").option("maxFilesPerTrigger", files_per_trigger).parquet(self.path)
@@ -75,7 +79,8 @@ class _JobState(StatefulProcessor):
 
     def _steps(self, rows: Iterator[Row]) -> Iterator[tuple[Row, tuple, tuple, Row | None]]:
         """Each batch of the job with the state before and after it, and the terminal event if the job ends in it."""
-        *state, done = self.state.get() if self.state.exists() else (None, None, None, None, -1)
+        # every call goes to the state server and back: `get` alone tells whether there is a state
+        *state, done = self.state.get() or (None, None, None, None, -1)
         for row in sorted(rows, key=lambda r: r["batch"]):
             if row["batch"] <= done:
                 continue  # a batch that was written again
@@ -148,7 +153,7 @@ class Overdue(StatefulProcessor):
         self.state = handle.getValueState("watch", "started_ms long, ended_ms long")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        old, ended = self.state.get() if self.state.exists() else (None, None)
+        old, ended = self.state.get() or (None, None)
         started = old
         for row in rows:
             started = row["first_ms"] if started is None else min(started, row["first_ms"])
@@ -190,6 +195,8 @@ def _keyed(rows: DataFrame, processor: StatefulProcessor, schema: str, start: Gr
 
 def transitions(rows: DataFrame, start: GroupedData | None = None) -> DataFrame:
     """(job_id, message_id, transition) of known jobs from a stream of reduced rows."""
+    # other rows change no state
+    rows = rows.filter(F.col("record_id").isNotNull() | F.col("any_end").isNotNull())
     narrow = rows.withColumns({c: F.struct(F.col(f"{c}.message_id")) for c in ("any_end", "known_end")})
     narrow = narrow.withColumns({c: F.when(F.col(f"{c}.message_id").isNotNull(), F.col(c)) for c in ("any_end", "known_end")})
     return _keyed(narrow.select("batch", "job_id", "record_id", "submit_id", "register_id", "any_end", "known_end"), Transitions(),

@@ -169,3 +169,10 @@ def test_decommission_join_of_files_in_no_order_of_time(spark, tables, monkeypat
     con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{folder}/events.parquet/*.parquet')")
     name = "stream_decommission_join"
     assert compare(spark, con, name, runner(name), ORACLES[name], folder) == []
+
+
+def test_a_reduced_batch_fits_one_trigger(spark, tables):
+    path = scratch_path(spark, "few-files")
+    rd.Reducer(path, files=2)(job_events(tables).repartition(8), 0)
+    read = spark.read.parquet(f"{path}/jobs")
+    assert len(read.inputFiles()) <= 2 and read.count() == job_events(tables).select("job_id").distinct().count()
