@@ -43,3 +43,60 @@ def test_hundred_thousand_selectors(spark):
                                        F.create_map(F.lit("role"), F.lit("executor"), F.lit("app"), (F.col("id") % 5000).cast("string")).alias("selector"))
     found = sl.select_many(rows, many, part_rows=1000, hot_rows=1000)
     assert found.count() == 100_000  # half of the selectors name an app that exists, two rows each
+
+
+ROWS, SELECTORS = "n long, labels map<string,string>", "selector_id string, selector map<string,string>"
+
+
+# as for a larger table: most selectors look up an entry that is not common, and those are not few
+LIMITS = {"common_entries": 40, "sent_rows": 500}
+
+
+def some_rows():
+    return [(n, {"role": "xy"[n % 2], "app": str(n % 40), "zone": None if n % 5 else "z"}) for n in range(200)]
+
+
+@pytest.mark.parametrize(("common_entries", "sent_rows"), [(1000, 10_000), (1000, 0), (2, 10_000), (2, 0), (0, 0)])
+def test_selectors_that_share_an_id(spark, common_entries, sent_rows):
+    """Each finds its own rows, whichever way its entry is looked up."""
+    selectors = [("one", {"app": "7"}), ("one", {"app": "8", "role": "x"}), ("one", {"role": "y"}), ("one", {"zone": "z", "role": "x"}), ("one", {"zone": "z", "never": "there"}),
+                 ("two", {"app": "9", "zone": None}), ("two", {}), ("two", None)]
+    out = sl.select_many(spark.createDataFrame(some_rows(), ROWS), spark.createDataFrame(selectors, SELECTORS), part_rows=30, hot_rows=1000, common_entries=common_entries, sent_rows=sent_rows)
+    assert sorted((r["n"], r["selector_id"]) for r in out.collect()) == brute(some_rows(), selectors)
+
+
+@pytest.mark.parametrize("sent_rows", [10_000, 0])
+def test_entries_that_share_a_hash(spark, monkeypatch, sent_rows):
+    """The hash of an entry only chooses rows to compare."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(sl, "_entries", lambda labels, of_null: F.transform(
+        F.map_entries(labels), lambda e: F.when(e["value"].isNull(), of_null).otherwise(F.length(e["key"]).cast("long"))))
+    selectors = [("a", {"app": "7"}), ("b", {"role": "x", "zone": "z"}), ("c", {"role": "x", "app": "8"}), ("d", {}), ("e", {"disk": "x"})]
+    out = sl.select_many(spark.createDataFrame(some_rows(), ROWS), spark.createDataFrame(selectors, SELECTORS), common_entries=1, sent_rows=sent_rows)
+    assert sorted((r["n"], r["selector_id"]) for r in out.collect()) == brute(some_rows(), selectors)
+
+
+def test_only_what_is_asked_for_is_moved(spark, monkeypatch):
+    """Columns nobody reads stay out of the join, and no side of unknown size is sent."""
+    from functools import partial
+
+    from conftest import SF
+    from runlens.plans import runner
+
+    monkeypatch.setattr(sl, "select_many", partial(sl.select_many, **LIMITS))
+    plan = runner("label_select_many")(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "zone-" not in plan
+    assert "SortMergeJoin" in plan and plan.count("BroadcastExchange") == 1  # the selectors of nations and regions
+
+
+def test_one_entry_left_asks_for_no_count(spark, monkeypatch):
+    """Selectors of one entry besides common ones are not taken apart."""
+    kept = {}
+    write = sl.written
+    monkeypatch.setattr(sl, "written", lambda df, name: kept.setdefault(name, write(df, name)))
+    rows = [(n, {"role": "x", "app": str(n)}) for n in range(100)]
+    selectors = [(f"s{n}", {"role": "x", "app": str(n)}) for n in range(100)] + [("two", {"app": "1", "none": "2"})]
+    out = sl.select_many(spark.createDataFrame(rows, ROWS), spark.createDataFrame(selectors, SELECTORS), common_entries=2)
+    assert out.count() == 100
+    assert kept["selectors"].filter("_n > 1").count() == 1 and kept["settled-selectors"].count() == 0
