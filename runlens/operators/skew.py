@@ -9,6 +9,8 @@ from runlens.session import written
 # A key with more rows than this is joined by broadcast. There can be at most
 # total_rows / HOT_ROWS such keys, so the broadcast side stays small whatever the skew.
 HOT_ROWS = 1_000_000
+# What is sent to all tasks, as JSON, unless a caller says otherwise.
+MAX_SENT_BYTES = 64 << 20
 
 
 def lookup_join(facts: DataFrame, per_key: DataFrame, key: str, payload: list[str], rows: str,
@@ -32,7 +34,7 @@ def lookup_join(facts: DataFrame, per_key: DataFrame, key: str, payload: list[st
     return answered.unionByName(others)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_SENT_BYTES) -> DataFrame:
     """Broadcast `df` if it has at most `max_rows` rows of at most `max_bytes` in all, written as JSON; beyond that leave the join to the planner."""
     size = df.select(F.octet_length(F.to_json(F.struct("*"))).alias("bytes")).agg(
         F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
