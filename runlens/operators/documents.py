@@ -129,6 +129,15 @@ def merged_nodes(docs: DataFrame, base: Column, over: Column, doc_id: str = "doc
     return both.mapInArrow(nodes, NODE_SCHEMA.format(id_type=both.schema["doc_id"].dataType.simpleString()))
 
 
+def sorted_side(df: DataFrame) -> DataFrame:
+    """For the right side of a join over nodes: sorted, never a hash table of the driver or of a task.
+
+    The planner takes the size of a table for that of its files, by the columns' usual widths. Paths and texts of nodes compress a
+    hundredfold, and a VARIANT counts as 2 kB, so it takes tables of gigabytes for a few MB and sends them through the driver.
+    """
+    return df.hint("merge")
+
+
 def merge_nodes(base: DataFrame, over: DataFrame) -> DataFrame:
     """Node rows of the merged documents, with `layer` 0 for rows of the base and 1 for the override.
 
@@ -156,14 +165,14 @@ def merge_nodes(base: DataFrame, over: DataFrame) -> DataFrame:
     replaced = nodes.filter("replaces").select("doc_id", F.col("path").alias("above"))
     ancestors = F.transform(F.sequence(F.lit(1), F.size("path")), lambda n: F.slice("path", F.lit(1), n - 1))
     below = (nodes.filter("layer = 0 and size(path) > 0").select(*keys, F.explode(ancestors).alias("above"))
-             .join(replaced, ["doc_id", "above"], "left_semi").select(*keys).distinct())
-    kept = nodes.filter("layer = 0").join(below, keys, "left_anti").unionByName(nodes.filter("layer = 1")).select(*columns)
+             .join(sorted_side(replaced), ["doc_id", "above"], "left_semi").select(*keys).distinct())
+    kept = nodes.filter("layer = 0").join(sorted_side(below), keys, "left_anti").unionByName(nodes.filter("layer = 1")).select(*columns)
 
     # items of the base stay where an array stayed, unless the override has an item of that name
     arrays = kept.filter("kind = 'array'").select(*keys)
     taken = items.filter("layer = 1 and name is not null").select(*keys, "name").distinct()
-    base_items = (items.filter("layer = 0").join(arrays, keys, "left_semi")
-                  .join(taken, [*keys, "name"], "left_anti").select(*columns))
+    base_items = (items.filter("layer = 0").join(sorted_side(arrays), keys, "left_semi")
+                  .join(sorted_side(taken), [*keys, "name"], "left_anti").select(*columns))
     return kept.unionByName(base_items).unionByName(items.filter("layer = 1"))
 
 

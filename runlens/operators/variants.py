@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from runlens.operators.documents import NAMED_ARRAYS
+from runlens.operators.documents import NAMED_ARRAYS, sorted_side
 from runlens.session import written
 
 SMALL_BYTES, LEVELS = 16 << 20, 6
@@ -41,34 +41,43 @@ def _dealt(docs: DataFrame) -> DataFrame:
 
 
 def _opened(nodes: DataFrame) -> DataFrame:
-    """One level more: every open node gives itself and, if it is an object, its members as open nodes."""
-    members = F.transform(F.map_entries(F.try_variant_get("v", "$", OBJECT)), lambda e: F.struct(
-        F.concat("path", F.array(e["key"])).alias("path"), e["value"].alias("v"), F.lit(True).alias("open")))
-    itself = F.array(F.struct("path", "v", F.lit(False).alias("open")))
-    both = F.when(F.col("open"), F.concat(itself, F.coalesce(members, F.array().cast("array<struct<path:array<string>,v:variant,open:boolean>>")))).otherwise(itself)
-    return nodes.select("doc_id", F.inline(both))
+    """One level more: an open object with members gives way to its members as open nodes, every other node is closed.
+
+    `firsts` counts the objects above a node whose first leaf it is: they have no row here and get it from that one.
+    """
+    v, key = F.col("v"), F.col("key")
+    held = nodes.withColumn("_object", F.when(F.col("open") & F.try_variant_get(v, "$", OBJECT).isNotNull(), v))
+    members = nodes.sparkSession.tvf.variant_explode_outer(F.col("_object").outer())
+    return held.lateralJoin(members).select(
+        "doc_id", F.when(key.isNull(), F.col("path")).otherwise(F.concat("path", F.array(key))).alias("path"), F.coalesce("value", v).alias("v"), key.isNotNull().alias("open"),
+        F.when(key.isNull(), F.col("firsts")).when(F.col("pos") == 0, F.col("firsts") + 1).otherwise(0).alias("firsts"))
 
 
 def flatten(docs: DataFrame, text: str = "doc", doc_id: str = "doc_id", levels: int = LEVELS) -> DataFrame:
     """Node rows (doc_id, path, kind, name, pos, value) of JSON texts of any depth; `levels` of them in one pass, each pass written once."""
-    v, none, found = F.col("v"), F.lit(None), []
+    v, kind, n, found = F.col("v"), F.col("kind"), F.col("n"), []
     nodes = _dealt(docs.filter(F.col(text).isNotNull())).select(
-        F.col(doc_id).alias("doc_id"), F.array().cast("array<string>").alias("path"), F.parse_json(F.col(text)).alias("v"), F.lit(True).alias("open"))
+        F.col(doc_id).alias("doc_id"), F.array().cast("array<string>").alias("path"), F.parse_json(F.col(text)).alias("v"))
     while True:
+        nodes = nodes.select("doc_id", "path", "v", F.lit(True).alias("open"), F.lit(0).alias("firsts"))
         for _ in range(levels):
             nodes = _opened(nodes)
-        first = F.substring(F.to_json(v), 1, 1)
-        kind = F.when(F.is_variant_null(v), "null").when(first == "{", "object").when(first == "[", "array").otherwise("scalar")
-        kinds = nodes.withColumn("kind", kind)
-        named = F.array_join("path", ".").isin(NAMED_ARRAYS) & (F.col("kind") == "array")
-        more = F.col("open") & (F.col("kind") == "object")
-        value = F.when((F.col("kind") == "scalar") | ((F.col("kind") == "array") & ~named), F.to_json(v))
-        placed = written(kinds.select("doc_id", "path", "kind", value.alias("value"), F.when(named | more, v).alias("v"), more.alias("open")), "variant-nodes")
-        done = placed.filter("not open")
-        found.append(done.select("doc_id", "path", "kind", none.cast("string").alias("name"), none.cast("long").alias("pos"), "value"))
-        found.append(done.filter(v.isNotNull()).select("doc_id", "path", F.posexplode(F.try_variant_get(v, "$", ARRAY)).alias("pos", "v")).select(
-            "doc_id", "path", F.lit("item").alias("kind"), _item_name(v).alias("name"), F.col("pos").cast("long").alias("pos"), _text(v).alias("value")))
-        nodes = placed.filter("open").select("doc_id", "path", "v", "open")
+        kinds = nodes.withColumn("kind", F.when(F.is_variant_null(v), "null").when(F.try_variant_get(v, "$", OBJECT).isNotNull(), "object").when(
+            F.try_variant_get(v, "$", ARRAY).isNotNull(), "array").otherwise("scalar"))
+        named = (kind == "array") & F.array_join("path", ".").isin(NAMED_ARRAYS)
+        # at n = 0 a node itself, above that the objects it stands for, at -1 its items
+        each = kinds.withColumn("named", named).withColumn("n", F.explode(F.sequence(F.when(F.col("named"), -1).otherwise(0), F.col("firsts"))))
+        listed = each.select(
+            "doc_id", F.when(n > 0, F.slice("path", F.lit(1), F.size("path") - n)).otherwise(F.col("path")).alias("path"),
+            F.when(n > 0, "object").when(n < 0, "item").otherwise(kind).alias("kind"), (F.col("open") & (kind == "object") & (n == 0)).alias("open"),
+            F.when(n == 0, F.when(~F.col("named"), v)).alias("v"), F.when(n < 0, v).alias("_items"))
+        items = listed.sparkSession.tvf.variant_explode_outer(F.col("_items").outer())
+        item = F.col("value")
+        placed = written(listed.lateralJoin(items).filter((kind != "item") | F.col("pos").isNotNull()).select(
+            "doc_id", "path", "kind", F.when(kind == "item", _item_name(item)).alias("name"), F.col("pos").cast("long").alias("pos"),
+            F.when(kind == "item", _text(item)).when(kind.isin("scalar", "array"), F.to_json(v)).alias("value"), F.when(F.col("open"), v).alias("v"), "open"), "variant-nodes")
+        found.append(placed.filter("not open").select("doc_id", "path", "kind", "name", "pos", "value"))
+        nodes = placed.filter("open").select("doc_id", "path", "v")
         if nodes.isEmpty():
             return reduce(DataFrame.unionByName, found)
 
@@ -96,7 +105,7 @@ def rebuild(nodes: DataFrame) -> DataFrame:
     for d in range(depth, -1, -1):
         here = own.filter(F.col("depth") == d)
         if below is not None:
-            here = here.join(below, ["doc_id", "path"], "left").withColumn("text", F.coalesce("text", "members")).drop("members")
+            here = here.join(sorted_side(below), ["doc_id", "path"], "left").withColumn("text", F.coalesce("text", "members")).drop("members")
         here = here.withColumn("text", F.when(F.col("kind") == "object", F.coalesce("text", F.lit("{}"))).otherwise(F.col("text")))
         if d and d % LEVELS == 0:  # a plan of few levels at a time
             here = written(here, "texts-of-level")

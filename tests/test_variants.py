@@ -95,3 +95,28 @@ def test_rebuild_writes_several_levels_at_once(spark, monkeypatch):
     nodes = docs.flatten_documents(spark.createDataFrame(texts, "doc_id int, doc string"))
     assert rows(va.rebuild(nodes)) == sorted(((t, i) for i, t in texts), key=repr)
     assert names == ["node-texts", "texts-of-level"]
+
+
+@pytest.mark.parametrize("name", ["deep_merge", "deep_merge_rebuilt"])
+def test_no_join_of_nodes_builds_a_hash_table(spark, monkeypatch, name):
+    """Files of nodes are a hundredth of their rows: joins planned by that size sent gigabytes through the driver."""
+    plans, real = [], va.written
+
+    def planned(df, *rest):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, *rest)
+
+    monkeypatch.setattr(va, "written", planned)
+    monkeypatch.setattr(docs, "written", planned)
+    planned(QUERIES[name](Tables(spark, SF)), "result")
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 4
+    assert not [p for p in plans if "Broadcast" in p or "ShuffledHashJoin" in p]
+
+
+def test_objects_come_once_from_their_first_leaf(spark):
+    """Also empty ones, and where a pass ends between an object and its members."""
+    texts = [(1, '{"b":{"c":{"d":{}},"a":[],"n":null},"a":{"x":{"y":1},"z":{}}}'), (2, "{}"), (3, "null"), (4, "[{}]"),
+             (5, '{"spec":{"containers":[],"volumes":[{"name":"v"},null,1]}}'), (6, '{"spec":{"volumes":{"spec":{"volumes":[1]}}}}')]
+    df = spark.createDataFrame(texts, "doc_id int, doc string")
+    for levels in (1, 2, 3, 4):
+        assert rows(va.flatten(df, levels=levels)) == rows(docs.flatten_documents(df)) != []
