@@ -132,8 +132,8 @@ def merged_nodes(docs: DataFrame, base: Column, over: Column, doc_id: str = "doc
 def sorted_side(df: DataFrame) -> DataFrame:
     """For the right side of a join over nodes: sorted, never a hash table of the driver or of a task.
 
-    The planner takes the size of a table for that of its files, by the columns' usual widths. Paths and texts of nodes compress a
-    hundredfold, and a VARIANT counts as 2 kB, so it takes tables of gigabytes for a few MB and sends them through the driver.
+    The planner goes by the size of files and the usual widths of columns. Files of nodes are far smaller than their rows, so large
+    tables look like a few MB to it, and the driver would get them whole.
     """
     return df.hint("merge")
 
